@@ -78,5 +78,6 @@ def importances(model: object, names: list[str]) -> list[tuple[str, float]] | No
 def top_features(spark: SparkSession, model: object, names: list[str]) -> DataFrame:
     """Features by falling absolute weight; one row per feature, none for other models."""
     rows = importances(model, names) or []
-    made = spark.createDataFrame(rows, "feature string, value double")
-    return made.withColumn("abs_value", F.abs("value")).orderBy(F.desc("abs_value"), "feature")
+    made = spark.createDataFrame(rows, "feature string, value double").coalesce(1)
+    ranked = made.withColumn("abs_value", F.abs("value"))
+    return ranked.sortWithinPartitions(F.desc("abs_value"), "feature")

@@ -6,7 +6,9 @@ be joined back after scoring.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
@@ -114,76 +116,96 @@ class _Columns(Params):
         return self.getOrDefault(self.columns)
 
 
-class _Fitted(_Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """A model whose whole state is one list of numbers per column list."""
+class NumericStatistics(NamedTuple):
+    """What imputing and scaling need of one column."""
 
+    median: float
+    mean: float
+    deviation: float
 
-class MedianImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """Exact medians; a column without any value is left out of the model."""
 
-    @keyword_only
-    def __init__(self, *, columns=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
+def numeric_statistics(
+    frame: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS
+) -> dict[str, NumericStatistics]:
+    """Exact median, and mean and population deviation after nulls have become the median.
 
-    def _fit(self, dataset: DataFrame, direct_rows: int = DIRECT_ROWS) -> "MedianModel":
-        values = {c: quoted(c) for c in self.names()}
-        found = exact_quantiles(dataset, values, (0.5,), direct_rows)
-        medians = {c: m[0] for c, (_, m) in found.items() if m is not None}
-        return MedianModel(columns=list(medians), medians=list(medians.values()))
-
-
-class MedianModel(Model, _Fitted):
-    medians = Param(Params._dummy(), "medians", "medians", TypeConverters.toListFloat)
-
-    @keyword_only
-    def __init__(self, *, columns=None, medians=None):
-        super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        pairs = zip(self.names(), self.getOrDefault(self.medians))
-        filled = {c: F.coalesce(quoted(c), F.lit(m)) for c, m in pairs}
-        return dataset.withColumns(filled) if filled else dataset
+    A column without any value is left out; one without spread is divided by one. The moments
+    with the median filled in follow from those without, so they cost no second pass.
+    """
+    if not columns:
+        return {}
+    found = frame.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            F.struct(
+                F.count(quoted(c)).alias("count"),
+                F.avg(quoted(c)).alias("mean"),
+                F.var_pop(quoted(c)).alias("variance"),
+            ).alias(f"s{i}")
+            for i, c in enumerate(columns)
+        ],
+    ).first()
+    known = {c: found[f"s{i}"] for i, c in enumerate(columns) if found[f"s{i}"]["count"]}
+    medians = exact_quantiles(
+        frame,
+        {c: quoted(c) for c in known},
+        (0.5,),
+        direct_rows,
+        counts={c: k["count"] for c, k in known.items()},
+    )
+    made = {}
+    for c, k in known.items():
+        median, present, total = medians[c][1][0], k["count"], found["n"]
+        mean = (present * k["mean"] + (total - present) * median) / total
+        squares = present * (k["variance"] + (k["mean"] - mean) ** 2)
+        squares += (total - present) * (median - mean) ** 2
+        deviation = math.sqrt(max(squares, 0.0) / total)
+        # A constant column can show a spread of a few rounding errors.
+        flat = deviation <= abs(mean) * 1e-14
+        made[c] = NumericStatistics(median, mean, 1.0 if flat else deviation)
+    return made
 
 
-class PopulationScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """Mean and population deviation; a column without spread is divided by one."""
+class MedianScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+    """Nulls become the median, then mean zero and population deviation one."""
 
     @keyword_only
     def __init__(self, *, columns=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> "ScalerModel":
-        names = self.names()
-        if not names:
-            return ScalerModel(columns=[], means=[], deviations=[])
-        row = dataset.agg(
-            *[F.avg(quoted(c)) for c in names],
-            *[F.stddev_pop(quoted(c)) for c in names],
-        ).first()
-        means, spreads = list(row[: len(names)]), list(row[len(names) :])
-        # A constant column can show a spread of a few rounding errors.
-        flat = [abs(m) * 1e-14 for m in means]
-        deviations = [s if s > f else 1.0 for s, f in zip(spreads, flat)]
-        return ScalerModel(columns=names, means=means, deviations=deviations)
+    def _fit(self, dataset: DataFrame) -> "MedianScalerModel":
+        return MedianScalerModel.of(numeric_statistics(dataset, self.names()))
 
 
-class ScalerModel(Model, _Fitted):
+class MedianScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+    medians = Param(Params._dummy(), "medians", "medians", TypeConverters.toListFloat)
     means = Param(Params._dummy(), "means", "means", TypeConverters.toListFloat)
     deviations = Param(Params._dummy(), "deviations", "deviations", TypeConverters.toListFloat)
 
     @keyword_only
-    def __init__(self, *, columns=None, means=None, deviations=None):
+    def __init__(self, *, columns=None, medians=None, means=None, deviations=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
+    @classmethod
+    def of(cls, statistics: dict[str, NumericStatistics]) -> "MedianScalerModel":
+        values = list(statistics.values())
+        return cls(
+            columns=list(statistics),
+            medians=[v.median for v in values],
+            means=[v.mean for v in values],
+            deviations=[v.deviation for v in values],
+        )
+
+    def statistics(self) -> dict[str, NumericStatistics]:
+        lists = (self.getOrDefault(p) for p in (self.medians, self.means, self.deviations))
+        return {c: NumericStatistics(*v) for c, *v in zip(self.names(), *lists)}
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        means, deviations = self.getOrDefault(self.means), self.getOrDefault(self.deviations)
         scaled = {
-            c: (quoted(c) - F.lit(m)) / F.lit(d)
-            for c, m, d in zip(self.names(), means, deviations)
+            c: (F.coalesce(quoted(c), F.lit(s.median)) - F.lit(s.mean)) / F.lit(s.deviation)
+            for c, s in self.statistics().items()
         }
         return dataset.withColumns(scaled) if scaled else dataset
 
@@ -372,9 +394,8 @@ class FeaturePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritabl
         stages: list[Transformer] = []
         outputs: list[str] = []
         if numeric:
-            imputer = MedianImputer(columns=numeric).fit(dataset)
-            scaler = PopulationScaler(columns=imputer.names()).fit(imputer.transform(dataset))
-            stages += [imputer, scaler]
+            scaler = MedianScaler(columns=numeric).fit(dataset)
+            stages.append(scaler)
             outputs += scaler.names()
         if categorical:
             encoder = FrequencyEncoder(columns=categorical).fit(dataset)
@@ -384,6 +405,7 @@ class FeaturePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritabl
         return PipelineModel(stages)
 
 
-def vector_names(preprocessor: PipelineModel) -> list[str]:
-    """The feature behind each vector element."""
-    return [c.removeprefix(PREFIX) for c in preprocessor.stages[-1].getInputCols()]
+def vector_names(stages: Sequence[Transformer]) -> list[str]:
+    """The feature behind each element of the vector these stages assemble."""
+    assembler = next(s for s in stages if isinstance(s, VectorAssembler))
+    return [c.removeprefix(PREFIX) for c in assembler.getInputCols()]

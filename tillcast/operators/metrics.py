@@ -45,13 +45,14 @@ def metric_columns(actual: Column, prediction: Column, with_range: bool = True)
 def pearson_columns(actual: Column, prediction: Column) -> list[Column]:
     """Correlation, null for fewer than two rows or a side without spread; and the row count."""
     p = not_below_zero(prediction)
+    spread_y, spread_p = F.stddev_pop(actual), F.stddev_pop(p)
     defined = (
-        (F.count(actual) >= 2)
-        & (F.stddev_pop(actual) > CLOSE_ABSOLUTE)
-        & (F.stddev_pop(p) > CLOSE_ABSOLUTE)
+        (F.count(actual) >= 2) & (spread_y > CLOSE_ABSOLUTE) & (spread_p > CLOSE_ABSOLUTE)
     )
+    # The built-in correlation fails on a side without spread, guarded or not.
+    r = F.covar_pop(actual, p) / (spread_y * spread_p)
     return [
-        F.when(defined, F.corr(actual, p)).alias("pearson_corr"),
+        F.when(defined, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("pearson_corr"),
         F.count(actual).alias("valid_rows"),
     ]
 

@@ -48,15 +48,20 @@ def exact_quantiles(
     shares: Sequence[float],
     direct_rows: int = DIRECT_ROWS,
     accuracy: int = SKETCH_ACCURACY,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, tuple[int, list[float] | None]]:
-    """Count of values and linearly interpolated quantiles of each column, nulls left out."""
+    """Count of values and linearly interpolated quantiles of each column, nulls left out.
+
+    ``counts`` saves the counting pass if they are known.
+    """
     names = list(columns)
     if not names:
         return {}
     short = {name: f"c{i}" for i, name in enumerate(names)}
     base = frame.select(*[columns[name].cast("double").alias(short[name]) for name in names])
-    counted = base.agg(*[F.count(short[name]).alias(short[name]) for name in names]).first()
-    counts = {name: counted[short[name]] for name in names}
+    if counts is None:
+        counted = base.agg(*[F.count(short[name]).alias(short[name]) for name in names]).first()
+        counts = {name: counted[short[name]] for name in names}
 
     found: dict[str, list[float] | None] = {n: None for n in names}
     direct = [n for n in names if 0 < counts[n] <= direct_rows]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillcast.session import settled
+from tillcast.session import settled_in_place
 
 ONE_TASK_ROWS = 1_000_000
 # monotonically_increasing_id keeps the row's place in its partition in the lower 33 bits.
@@ -30,7 +30,7 @@ def dense_index(
         return frame.withColumn(
             name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long")
         )
-    ordered = settled(frame.repartitionByRange(*order).sortWithinPartitions(*order))
+    ordered = settled_in_place(frame.repartitionByRange(*order).sortWithinPartitions(*order))
     placed = ordered.withColumn("_at", F.monotonically_increasing_id())
     part = F.shiftright("_at", PLACE_BITS)
     # One row per partition, so the window below is small.

@@ -107,9 +107,8 @@ def write_diagnostics(
     keys = {"batch_id": F.lit(batch_id).cast("long"), "model_name": F.lit(name)}
     rows = residuals(predictions, params.time_column)
     workspace.predictions.write(rows.withColumns(keys))
-    preprocessor, estimator = model.stages
-    ranked = top_features(workspace.spark, estimator, vector_names(preprocessor))
-    workspace.importances.write(ranked.withColumns(keys).coalesce(1))
+    ranked = top_features(workspace.spark, model.stages[-1], vector_names(model.stages))
+    workspace.importances.write(ranked.withColumns(keys))
 
 
 def metric_rows(spark: SparkSession, rows: list[dict[str, object]]) -> DataFrame:

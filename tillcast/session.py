@@ -44,6 +44,13 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 
 
 def settled(frame: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and read on from there."""
+    """Write the frame once to the shared folder and read on from there."""
+    path = work_path(frame.sparkSession, "settled")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def settled_in_place(frame: DataFrame) -> DataFrame:
+    """The same with every row staying in its partition and at its place there."""
     shared_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)

@@ -11,7 +11,7 @@ makes a batch count as done.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.ml import PipelineModel
@@ -54,6 +54,8 @@ class Replay:
     make: EstimatorFor | None = None
     before_commit: Callable[[int], None] | None = None
     with_quality: bool = True
+    _split: Split | None = field(default=None, init=False)
+    _loaded: tuple[str, PipelineModel] | None = field(default=None, init=False)
 
     def cursor(self) -> int:
         """The next batch to commit."""
@@ -67,7 +69,7 @@ class Replay:
         """
         spark = self.workspace.spark
         days = settled(calendar(self.source(), self.params))
-        split_periods(self.source(), self.params, days)
+        self._split = split_periods(self.source(), self.params, days)
         first = self.cursor()
         table = self.workspace.table("notices")
         announced = set()
@@ -147,7 +149,7 @@ class Replay:
             record.update(input_rows=size, output_rows=size, model_path=path)
             if self.before_commit is not None:
                 self.before_commit(batch_id)
-            self._commit(raw, notice, split_periods(source, params))
+            self._commit(raw, notice, self._split or split_periods(source, params))
 
     def _landed(self, table, batch_id: int) -> DataFrame:
         return table.read().where(F.col("batch_id") == batch_id).drop("batch_id")
@@ -157,7 +159,10 @@ class Replay:
         workspace, params = self.workspace, self.params
         registry = workspace.registry(params)
         version = _before(registry, notice["batch_id"])
-        model = registry.load(version, "current")
+        if self._loaded is not None and self._loaded[0] == version["model_path"]:
+            model = self._loaded[1]
+        else:
+            model = registry.load(version, "current")
         batch_id, name = notice["batch_id"], params.model.selected
         predictions = predict(model, batch, params, keep=[params.time_column]).persist()
         row = {
@@ -185,6 +190,7 @@ class Replay:
             train_window_date_max=window["date_max"],
         )
         path = registry.register(updated, batch_id, name, row)
+        self._loaded = (path, updated)
         row.update(updated_model_path=path, model_path=path)
         rows = metric_rows(workspace.spark, [row])
         workspace.metrics.write(append_metrics(None, rows, params.model.primary_metric))
@@ -232,11 +238,11 @@ def updated_model(
     """
     strategy, name = params.model.update_strategy, params.model.selected
     if strategy == "incremental":
-        preprocessor, estimator = model.stages
+        *earlier, estimator = model.stages
         if name != "sgd_regression" or not supports_incremental_update(estimator):
             raise ValueError(f"{name} cannot be updated incrementally")
-        vectors = preprocessor.transform(training_rows(batch, params))
-        updated = PipelineModel([preprocessor, estimator.updated(vectors)])
+        vectors = PipelineModel(earlier).transform(training_rows(batch, params))
+        updated = PipelineModel([*earlier, estimator.updated(vectors)])
         return updated, window_metadata(batch, params).first()
     choose = known_rows if strategy == "full_refit" else rolling_rows
     # The day range comes first, so that it reaches the scan.
