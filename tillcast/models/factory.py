@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillcast.models.knn import KnnRegressor
 from tillcast.models.linear import GradientModel, GradientRegressor, RidgeRegressor
 from tillcast.params import ModelParams, canonical_model_name
+from tillcast.sources.tables import records
 
 MAX_DEPTH = 30  # the library's limit, used where no depth is set
 MAX_BINS = 256
@@ -78,6 +79,6 @@ def importances(model: object, names: list[str]) -> list[tuple[str, float]] | No
 def top_features(spark: SparkSession, model: object, names: list[str]) -> DataFrame:
     """Features by falling absolute weight; one row per feature, none for other models."""
     rows = importances(model, names) or []
-    made = spark.createDataFrame(rows, "feature string, value double").coalesce(1)
+    made = records(spark, rows, "feature string, value double")
     ranked = made.withColumn("abs_value", F.abs("value"))
     return ranked.sortWithinPartitions(F.desc("abs_value"), "feature")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from tillcast.models.factory import signature
 from tillcast.operators.features import PREPROCESSING_VERSION
 from tillcast.params import ModelParams, canonical_model_name
-from tillcast.sources.tables import KeyedTable, schema
+from tillcast.sources.tables import KeyedTable, records, schema
 
 PRETRAIN_BATCH = -1
 VERSIONS = schema(
@@ -90,7 +90,7 @@ class ModelRegistry:
             numbers,
             datetime.now(timezone.utc),
         )
-        self.table.write(self.spark.createDataFrame([row], VERSIONS).coalesce(1))
+        self.table.write(records(self.spark, [row], VERSIONS))
         return path
 
     def current(self) -> Row | None:

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillcast.operators.diagnostics import daily_timeline
-from tillcast.sources.tables import METRIC_COLUMNS, OPERATIONS, KeyedTable
+from tillcast.sources.tables import METRIC_COLUMNS, OPERATIONS, KeyedTable, records
 
 TAIL_ROWS = 5
 
@@ -129,7 +129,7 @@ class Operations:
                 "error_message": error,
             }
             values = tuple(row.get(f.name) for f in OPERATIONS.fields)
-            self.table.write(self.spark.createDataFrame([values], OPERATIONS).coalesce(1))
+            self.table.write(records(self.spark, [values], OPERATIONS))
 
     def read(self) -> DataFrame:
         return self.table.read(OPERATIONS)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillcast.functions.columns import iso_day, moment, number, quoted, share
 from tillcast.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from tillcast.params import JobParams
+from tillcast.sources.tables import records
 
 DISTINCT_COLUMNS_PER_PASS = 8
 
@@ -161,7 +162,7 @@ def drift(columns: Sequence[str], params: JobParams, serving: bool = False):
 def schema_drift(frame: DataFrame, params: JobParams, serving: bool = False) -> DataFrame:
     missing, extra = drift(frame.columns, params, serving)
     rows = [(c, "missing") for c in missing] + [(c, "extra") for c in extra]
-    return frame.sparkSession.createDataFrame(rows, "column string, kind string")
+    return records(frame.sparkSession, rows, "column string, kind string")
 
 
 def column_profile(frame: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from tillcast.plans.fitting import (
     training_rows,
 )
 from tillcast.sources.files import read_dimension, read_file, read_sources, tag_source
-from tillcast.sources.tables import BATCH_METADATA, KeyedTable
+from tillcast.sources.tables import BATCH_METADATA, KeyedTable, records
 
 
 @dataclass(frozen=True)
@@ -121,7 +121,7 @@ def metric_rows(spark: SparkSession, rows: list[dict[str, object]]) -> DataFrame
         return kinds[type(present[0])] if present else "double"
 
     schema = ", ".join(f"`{name}` {kind(name)}" for name in names)
-    return spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schema)
+    return records(spark, [tuple(row.get(n) for n in names) for row in rows], schema)
 
 
 @dataclass(frozen=True)

@@ -37,12 +37,12 @@ def left_enrich(spark, folder):
 @query(
     "union_sources",
     """WITH united AS (
-        SELECT o_custkey AS buyer, NULL AS part, o_orderdate AS at, o_totalprice AS amount,
+        SELECT o_custkey AS buyer, NULL AS part, o_orderdate AS sold_at, o_totalprice AS amount,
             'orders.parquet' AS source FROM orders
         UNION ALL
         SELECT NULL, l_partkey, l_shipdate, l_extendedprice, 'lineitem.parquet' FROM lineitem)
-    SELECT source, CAST(year(at) AS INTEGER) AS year, count(*) AS rows, count(buyer) AS buyers,
-        count(part) AS parts, round(CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE), 2)
+    SELECT source, CAST(year(sold_at) AS INTEGER) AS year, count(*) AS rows, count(buyer) AS buyers,
+        count(part) AS parts, round(CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) + 1e-7, 2)
             AS amount
     FROM united GROUP BY ALL""",
 )
@@ -51,18 +51,18 @@ def union_sources(spark, folder):
     named = {
         paths[0]: {
             "buyer": F.col("o_custkey"),
-            "at": F.col("o_orderdate"),
+            "sold_at": F.col("o_orderdate"),
             "amount": F.col("o_totalprice"),
         },
         paths[1]: {
             "part": F.col("l_partkey"),
-            "at": F.col("l_shipdate"),
+            "sold_at": F.col("l_shipdate"),
             "amount": F.col("l_extendedprice"),
         },
     }
     united = read_sources(spark, paths, columns=named)
     total = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double")
-    return united.groupBy(F.col("_source_file").alias("source"), F.year("at").alias("year")).agg(
+    return united.groupBy(F.col("_source_file").alias("source"), F.year("sold_at").alias("year")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("buyer").alias("buyers"),
         F.count("part").alias("parts"),
@@ -80,7 +80,7 @@ def _mixed_text(spark, folder):
         .alias("amount"),
         F.when(F.col("o_orderstatus") != "P", iso_day(F.col("o_orderdate")))
         .otherwise(F.col("o_orderpriority"))
-        .alias("at"),
+        .alias("placed_at"),
         F.when(final, iso_day(F.col("o_orderdate")))
         .otherwise(F.lit("unknown"))
         .alias("closed_at"),
@@ -92,7 +92,7 @@ MIXED_SQL = """mixed AS (
         CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS VARCHAR)
             ELSE o_orderpriority END AS amount,
         CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d')
-            ELSE o_orderpriority END AS at,
+            ELSE o_orderpriority END AS placed_at,
         CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d')
             ELSE 'unknown' END AS closed_at
     FROM orders)"""
@@ -110,14 +110,17 @@ def coerce_numeric(spark, folder):
 @query(
     "parse_dates",
     f"""WITH {MIXED_SQL}
-    SELECT o_orderkey, TRY_CAST(at AS DATE) AS at, TRY_CAST(closed_at AS DATE) AS closed_at
-    FROM mixed WHERE TRY_CAST(at AS DATE) IS NOT NULL""",
+    SELECT o_orderkey, TRY_CAST(placed_at AS DATE) AS placed_at,
+        TRY_CAST(closed_at AS DATE) AS closed_at
+    FROM mixed WHERE TRY_CAST(placed_at AS DATE) IS NOT NULL""",
 )
 def parse_dates(spark, folder):
-    params = JobParams(time_column="at", roles=ColumnRoles(datetime=("at", "closed_at")))
+    params = JobParams(
+        time_column="placed_at", roles=ColumnRoles(datetime=("placed_at", "closed_at"))
+    )
     parsed = _mixed_text(spark, folder).transform(parse_time, params)
     return parsed.transform(apply_types, params).select(
-        "o_orderkey", F.to_date("at").alias("at"), F.to_date("closed_at").alias("closed_at")
+        "o_orderkey", F.to_date("placed_at").alias("placed_at"), F.to_date("closed_at").alias("closed_at")
     )
 
 

@@ -27,6 +27,7 @@ from tillcast.queries.data import (
     split_fact,
 )
 from tillcast.queries.registry import query
+from tillcast.sources.tables import records
 
 RANGE_SQL = """min(prediction) AS prediction_min, max(prediction) AS prediction_max,
         avg(CASE WHEN actual = 0 THEN 1 ELSE 0 END) AS actual_zero_rate,
@@ -54,14 +55,14 @@ SEGMENT_SQL = f"""{BASELINE_SQL},
 
 
 def _rounded_sql(columns=METRICS) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"round({c} + 1e-7, 4) AS {c}" for c in columns)
 
 
 @query("baselines", f"WITH {BASELINE_SQL} SELECT model_name, {_rounded_sql()} FROM scored")
 def baselines(spark, folder):
     initial, validation, _ = split_fact(spark, folder)
     found = baseline_metrics(initial, validation, "o_totalprice")
-    return rounded(leaderboard(found), 6, *METRICS)
+    return rounded(leaderboard(found), 4, *METRICS)
 
 
 @query(
@@ -70,14 +71,14 @@ def baselines(spark, folder):
     SELECT {_rounded_sql()} FROM (SELECT {metrics_sql()}, {RANGE_SQL} FROM predicted)""",
 )
 def metrics(spark, folder):
-    return rounded(regression_metrics(segment_predictions(spark, folder)), 6, *METRICS)
+    return rounded(regression_metrics(segment_predictions(spark, folder)), 4, *METRICS)
 
 
 @query(
     "pearson",
     f"""WITH {BATCHED_SQL}
     SELECT model_name, CASE WHEN model_name = 'segment_mean'
-        THEN round(corr(actual, prediction), 6) END AS pearson_corr, count(*) AS valid_rows
+        THEN round(corr(actual, prediction) + 1e-7, 6) END AS pearson_corr, count(*) AS valid_rows
     FROM batched GROUP BY model_name""",
 )
 def pearson(spark, folder):
@@ -99,16 +100,14 @@ def _segment_and_baselines(spark, folder):
 @query(
     "leaderboard",
     f"""WITH {SEGMENT_SQL}
-    SELECT model_name, round(rmse, 6) AS rmse, row_number() OVER (ORDER BY rmse) AS place
+    SELECT model_name, round(rmse + 1e-7, 4) AS rmse, row_number() OVER (ORDER BY rmse) AS place
     FROM every""",
 )
 def ranked(spark, folder):
     found = leaderboard(_segment_and_baselines(spark, folder)).limit(10)
     rows = found.select("model_name", "rmse").collect()
     placed = [(r["model_name"], r["rmse"], i + 1) for i, r in enumerate(rows)]
-    return rounded(
-        spark.createDataFrame(placed, "model_name string, rmse double, place long"), 6, "rmse"
-    )
+    return rounded(records(spark, placed, "model_name string, rmse double, place long"), 4, "rmse")
 
 
 @query(
@@ -129,7 +128,7 @@ def improvement(spark, folder):
     "residuals",
     f"""WITH {PREDICTED_SQL}
     SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, actual,
-        round(prediction, 6) AS prediction, round(actual - prediction, 6) AS residual,
+        round(prediction + 1e-7, 6) AS prediction, round(actual - prediction + 1e-7, 6) AS residual,
         round(ln(1 + greatest(actual, 0)), 9) AS actual_log1p,
         round(ln(1 + greatest(prediction, 0)), 9) AS prediction_log1p
     FROM predicted""",
@@ -145,7 +144,7 @@ def row_residuals(spark, folder):
     f"""WITH {PREDICTED_SQL}, daily AS (
         SELECT CAST(o_orderdate AS DATE) AS date, sum(actual) AS actual,
             sum(prediction) AS prediction FROM predicted GROUP BY 1)
-    SELECT date, round(actual, 4) AS actual, round(prediction, 4) AS prediction,
+    SELECT date, round(actual + 1e-7, 4) AS actual, round(prediction + 1e-7, 4) AS prediction,
         CAST(date - (SELECT min(date) FROM daily) AS INTEGER) AS day_offset FROM daily""",
 )
 def timeline(spark, folder):
@@ -162,8 +161,8 @@ def timeline(spark, folder):
     counted AS (
         SELECT least(CAST(floor((least(greatest(v, lo), hi) - lo) / (hi - lo) * 24) AS INTEGER),
             23) AS bin, count(*) AS rows FROM rest, edge GROUP BY 1)
-    SELECT CAST(b AS INTEGER) AS bin, round(lo + b * (hi - lo) / 24, 4) AS bin_low,
-        round(lo + (b + 1) * (hi - lo) / 24, 4) AS bin_high, coalesce(rows, 0) AS rows
+    SELECT CAST(b AS INTEGER) AS bin, round(lo + b * (hi - lo) / 24 + 1e-7, 4) AS bin_low,
+        round(lo + (b + 1) * (hi - lo) / 24 + 1e-7, 4) AS bin_high, coalesce(rows, 0) AS rows
     FROM range(24) AS bins(b) CROSS JOIN edge LEFT JOIN counted ON counted.bin = b""",
 )
 def residual_histogram(spark, folder):
@@ -222,8 +221,8 @@ SERIES_SQL = f"""WITH {BATCHED_SQL},
     bounds AS (
         SELECT metric, CASE WHEN wide THEN lo - wide_pad ELSE greatest(lo, q_lo - pad) END AS a,
             CASE WHEN wide THEN hi + wide_pad ELSE least(hi, q_hi + pad) END AS b FROM chosen)
-    SELECT batch_id, metric, round(least(greatest(value, a), b), 6) AS value,
-        round(a, 6) AS range_min, round(b, 6) AS range_max
+    SELECT batch_id, metric, round(least(greatest(value, a), b) + 1e-7, 6) AS value,
+        round(a + 1e-7, 6) AS range_min, round(b + 1e-7, 6) AS range_max
     FROM long JOIN bounds USING (metric)"""
 
 

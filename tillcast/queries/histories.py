@@ -72,7 +72,7 @@ HISTORY_SQL = f"""{BATCHED_SQL},
     "metrics_history",
     f"""WITH {HISTORY_SQL}
     SELECT batch_id, model_name, period_type, is_best_in_update,
-        {", ".join(f"round({c}, 5) AS {c}" for c in METRICS)}
+        {", ".join(f"round({c} + 1e-7, 5) AS {c}" for c in METRICS)}
     FROM flagged""",
 )
 def history(spark, folder):
@@ -82,8 +82,8 @@ def history(spark, folder):
 @query(
     "history_tail",
     f"""WITH {HISTORY_SQL}
-    SELECT batch_id, model_name, round(rmse, 5) AS rmse, round(mae, 5) AS mae,
-        round(r2, 5) AS r2, is_best_in_update
+    SELECT batch_id, model_name, round(rmse + 1e-7, 5) AS rmse, round(mae + 1e-7, 5) AS mae,
+        round(r2 + 1e-7, 5) AS r2, is_best_in_update
     FROM flagged ORDER BY batch_id DESC, model_name DESC LIMIT 5""",
 )
 def last_metrics(spark, folder):
@@ -150,8 +150,8 @@ def last_operations(spark, folder):
     last_operation AS (SELECT * FROM log ORDER BY timestamp DESC, operation DESC LIMIT 1)
     SELECT 'sales_forecasting' AS project, b.batch_id AS latest_batch, b.rows,
         CAST(0 AS DOUBLE) AS missing_part, b.copies / b.rows AS duplicate_part,
-        m.model_name AS model, round(m.rmse, 5) AS rmse, round(m.mae, 5) AS mae,
-        round(m.r2, 5) AS r2, o.operation AS latest_operation, o.status AS latest_status
+        m.model_name AS model, round(m.rmse + 1e-7, 5) AS rmse, round(m.mae + 1e-7, 5) AS mae,
+        round(m.r2 + 1e-7, 5) AS r2, o.operation AS latest_operation, o.status AS latest_status
     FROM last_batch b, last_metrics m, last_operation o""",
 )
 def latest_state(spark, folder):
@@ -201,7 +201,7 @@ def model_versions(spark, folder):
             CASE WHEN w.best_signature = v.signature AND w.best_rmse <= v.rmse
                 THEN w.best_rmse ELSE v.rmse END
         FROM walk w JOIN versions v ON v.batch_id = w.batch_id + 1)
-    SELECT batch_id, signature, round(rmse, 5) AS rmse, best_batch_id FROM walk""",
+    SELECT batch_id, signature, round(rmse + 1e-7, 5) AS rmse, best_batch_id FROM walk""",
 )
 def champion(spark, folder):
     found = champions(model_versions(spark, folder), "rmse")
@@ -213,7 +213,7 @@ def champion(spark, folder):
     f"""WITH {BATCHED_SQL}, daily AS (
         SELECT day AS date, sum(actual) AS actual, sum(prediction) AS prediction
         FROM batched WHERE model_name = 'segment_mean' GROUP BY day)
-    SELECT date, round(actual, 4) AS actual, round(prediction, 4) AS prediction,
+    SELECT date, round(actual + 1e-7, 4) AS actual, round(prediction + 1e-7, 4) AS prediction,
         CAST(date - (SELECT min(date) FROM daily) AS INTEGER) AS day_offset FROM daily""",
 )
 def updates(spark, folder):

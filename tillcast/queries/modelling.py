@@ -72,7 +72,7 @@ def _scaled_sql() -> str:
     filled = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM sized_lines)) AS {c}" for c in SIZED)
     scaled = ", ".join(
         f"""round(({c} - (SELECT avg({c}) FROM filled)) / (SELECT CASE WHEN stddev_pop({c}) = 0
-            THEN 1 ELSE stddev_pop({c}) END FROM filled), 6) AS {c}"""
+            THEN 1 ELSE stddev_pop({c}) END FROM filled) + 1e-7, 6) AS {c}"""
         for c in SIZED
     )
     return f"""WITH {SIZED_SQL}, filled AS (
@@ -140,9 +140,9 @@ PREPROCESSED = ("c_acctbal", "o_orderdate_month", "c_mktsegment", "c_mktsegment_
     stats AS (
         SELECT avg(c_acctbal) AS a_mean, stddev_pop(c_acctbal) AS a_dev, avg(m) AS m_mean,
             stddev_pop(m) AS m_dev FROM known)
-    SELECT o_orderkey, round((c_acctbal - a_mean) / a_dev, 6) AS c_acctbal,
-        round((month(o_orderdate) - m_mean) / m_dev, 6) AS o_orderdate_month,
-        CAST(t.code AS DOUBLE) AS c_mktsegment, round(t.frequency, 6) AS c_mktsegment_frequency
+    SELECT o_orderkey, round((c_acctbal - a_mean) / a_dev + 1e-7, 6) AS c_acctbal,
+        round((month(o_orderdate) - m_mean) / m_dev + 1e-7, 6) AS o_orderdate_month,
+        CAST(t.code AS DOUBLE) AS c_mktsegment, round(t.frequency + 1e-7, 6) AS c_mktsegment_frequency
     FROM validation v CROSS JOIN stats LEFT JOIN t_segment t ON t.value = v.c_mktsegment""",
 )
 def preprocess(spark, folder):
@@ -154,8 +154,8 @@ def preprocess(spark, folder):
         F.col("o_orderkey").cast("long").alias("o_orderkey"),
         vector_to_array("features").alias("v"),
     )
-    shown = [F.round(F.col("v")[names.index(c)], 6).alias(c) for c in PREPROCESSED]
-    return made.select("o_orderkey", *shown)
+    shown = [F.col("v")[names.index(c)].alias(c) for c in PREPROCESSED]
+    return rounded(made.select("o_orderkey", *shown), 6, *PREPROCESSED)
 
 
 @query(
@@ -166,7 +166,7 @@ def preprocess(spark, folder):
         SELECT covar_pop(o_totalprice, (c_acctbal - mx) / sx) * count(*)
             / (var_pop((c_acctbal - mx) / sx) * count(*) + 100) AS slope,
             avg(o_totalprice) AS level FROM initial, m)
-    SELECT o_orderkey, round(level + slope * (c_acctbal - mx) / sx, 2) AS prediction
+    SELECT o_orderkey, round(level + slope * (c_acctbal - mx) / sx + 1e-7, 2) AS prediction
     FROM validation, m, s""",
 )
 def ridge(spark, folder):
@@ -177,10 +177,10 @@ def ridge(spark, folder):
     prepare = PipelineModel([scaler, vector])
     rows = prepare.transform(initial).withColumn("label", F.col("o_totalprice"))
     model = RidgeRegressor(alpha=100.0).fit(rows.select("features", "label"))
-    return model.transform(prepare.transform(validation)).select(
-        F.col("o_orderkey").cast("long").alias("o_orderkey"),
-        F.round("prediction", 2).alias("prediction"),
+    predicted = model.transform(prepare.transform(validation)).select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), "prediction"
     )
+    return rounded(predicted, 2, "prediction")
 
 
 @query(
@@ -202,7 +202,7 @@ def ridge(spark, folder):
             + (q.d - t.d) * (q.d - t.d)), 'label': label}}, 8)) AS hit FROM q, t GROUP BY 1)
     SELECT o_orderkey, round(CASE WHEN min(hit.s) = 0
         THEN avg(hit.label) FILTER (WHERE hit.s = 0)
-        ELSE sum(hit.label / nullif(hit.s, 0)) / sum(1 / nullif(hit.s, 0)) END, 3) AS prediction
+        ELSE sum(hit.label / nullif(hit.s, 0)) / sum(1 / nullif(hit.s, 0)) END + 1e-7, 3) AS prediction
     FROM near GROUP BY o_orderkey""",
 )
 def knn(spark, folder):

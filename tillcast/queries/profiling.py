@@ -223,7 +223,7 @@ EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
             AS missing_part,
         0 AS numeric_features, 1 AS categorical_features,
         count(*) FILTER (WHERE value IS NULL) AS target_missing,
-        round(avg(value), 6) AS target_mean, min(value) AS target_min, max(value) AS target_max,
+        round(avg(value) + 1e-7, 6) AS target_mean, min(value) AS target_min, max(value) AS target_max,
         'drop' AS target_missing_strategy, '' AS target_missing_indicator_column,
         strftime(min(ts), '%Y-%m-%d') AS date_min, strftime(max(ts), '%Y-%m-%d') AS date_max,
         count(DISTINCT CAST(ts AS DATE)) AS date_count
@@ -236,9 +236,7 @@ def metadata(spark, folder):
         events.withColumn("day", F.to_date("ts")).join(F.broadcast(days), "day").drop("day")
     )
     made = batch_metadata(placed, EVENTS, by=["batch_id"])
-    return rounded(made, 9, "missing_part").withColumn(
-        "target_mean", F.round("target_mean", 6)
-    )
+    return rounded(rounded(made, 9, "missing_part"), 6, "target_mean")
 
 
 LINE_COLUMNS = (

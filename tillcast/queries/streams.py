@@ -13,6 +13,7 @@ from tillcast.plans.jobs import Workspace
 from tillcast.queries.data import EVENTS, calendar_sql, rounded, table
 from tillcast.queries.registry import query
 from tillcast.session import work_path
+from tillcast.sources.tables import records
 from tillcast.streaming.replay import Replay, updated_model
 
 # Only the time gives features; the model under test is a mean.
@@ -48,7 +49,7 @@ def _replay(spark, folder, params=TIMED, make=_mean, **more) -> Replay:
     f"""WITH {STREAM_SQL}
     SELECT batch_id, 'stream' AS period_type, count(*) AS rows,
         strftime(min(day), '%Y-%m-%d') AS date_min, strftime(max(day), '%Y-%m-%d') AS date_max,
-        count(DISTINCT day) AS date_count, round(avg(value), 6) AS target_mean,
+        count(DISTINCT day) AS date_count, round(avg(value) + 1e-7, 6) AS target_mean,
         (SELECT strftime(min(day), '%Y-%m-%d') FROM cal WHERE period = 'stream')
             AS stream_date_min,
         (SELECT count(*) FROM cal WHERE period = 'stream') AS stream_date_count
@@ -126,7 +127,7 @@ def stream_commit(spark, folder):
         SELECT p.batch_id, p.value AS actual, m.prediction, m.train_rows
         FROM placed p JOIN models m ON m.batch_id = p.batch_id)
     SELECT batch_id, train_rows, count(*) AS valid_rows, {", ".join(
-        f"round({c}, 6) AS {c}" for c in ("rmse", "mae", "smape", "prediction_mean"))}
+        f"round({c} + 1e-7, 6) AS {c}" for c in ("rmse", "mae", "smape", "prediction_mean"))}
     FROM (SELECT batch_id, train_rows, actual, {", ".join((
         "sqrt(avg((prediction - actual) * (prediction - actual)) OVER w) AS rmse",
         "avg(abs(prediction - actual)) OVER w AS mae",
@@ -157,16 +158,15 @@ def _refits(spark, folder, params):
         rows.append(
             (batch["batch_id"], window["rows"], window["date_min"], window["date_max"], value)
         )
-    made = spark.createDataFrame(
-        rows, "batch_id long, train_rows long, date_min string, date_max string, value double"
-    )
+    schema = "batch_id long, train_rows long, date_min string, date_max string, value double"
+    made = records(spark, rows, schema)
     return rounded(made, 6, "value")
 
 
 def _refit_sql(condition: str) -> str:
     return f"""WITH {STREAM_SQL}
     SELECT b.batch_id, count(*) AS train_rows, strftime(min(p.day), '%Y-%m-%d') AS date_min,
-        strftime(max(p.day), '%Y-%m-%d') AS date_max, round(avg(p.value), 6) AS value
+        strftime(max(p.day), '%Y-%m-%d') AS date_max, round(avg(p.value) + 1e-7, 6) AS value
     FROM batches b JOIN placed p ON {condition} GROUP BY b.batch_id"""
 
 
@@ -197,7 +197,7 @@ def sgd_update(spark, folder):
 @query(
     "late_rows",
     f"""WITH {STREAM_SQL}
-    SELECT count(*) AS train_rows, round(avg(value), 6) AS value FROM placed
+    SELECT count(*) AS train_rows, round(avg(value) + 1e-7, 6) AS value FROM placed
     WHERE day <= (SELECT max(day_max) FROM batches WHERE batch_id = 0)""",
 )
 def late_rows(spark, folder):
@@ -206,5 +206,5 @@ def late_rows(spark, folder):
     until = stream_batches(calendar(events, TIMED)).where("batch_id = 0").first()["day_max"]
     model, window = updated_model(None, None, events, until, TIMED, _mean)
     value = model.stages[-1].getOrDefault("value")
-    made = spark.createDataFrame([(window["rows"], value)], "train_rows long, value double")
+    made = records(spark, [(window["rows"], value)], "train_rows long, value double")
     return rounded(made, 6, "value")

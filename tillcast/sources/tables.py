@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.types import StructType
 
 from tillcast.sources.files import path_exists
@@ -38,7 +38,7 @@ class KeyedTable:
         if not self.exists():
             if schema is None:
                 raise FileNotFoundError(f"no such table: {self.path}")
-            return self.spark.createDataFrame([], schema)
+            return records(self.spark, [], schema)
         reader = self.spark.read.option("mergeSchema", True)
         if schema is not None:
             reader = reader.schema(schema)
@@ -60,6 +60,25 @@ def schema(**fields: str) -> StructType:
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in fields.items()])
 
 
+def records(spark: SparkSession, rows: Sequence[Sequence], of: StructType | str) -> DataFrame:
+    """A handful of rows made on the driver, as literals: no Python worker takes part."""
+    kinds = T.StructType.fromDDL(of) if isinstance(of, str) else of
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kinds])
+    made = [
+        F.struct(*[_literal(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kinds)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*made)))
+
+
+def _literal(value: object) -> Column:
+    if isinstance(value, dict):
+        pairs = [F.lit(x) for pair in value.items() for x in pair]
+        return F.create_map(*pairs) if pairs else F.lit(None)
+    return F.lit(value)
+
+
 BATCH_METADATA = schema(
     batch_id="long",
     period_type="string",

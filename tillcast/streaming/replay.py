@@ -36,6 +36,7 @@ from tillcast.params import JobParams
 from tillcast.plans.fitting import EstimatorFor, fit_model, predict, score, training_rows
 from tillcast.plans.jobs import Workspace, metric_rows, pretrain, write_diagnostics
 from tillcast.session import settled
+from tillcast.sources.tables import records
 
 NOTICE = "batch_id long, day_min date, day_max date, date_count long"
 
@@ -83,9 +84,7 @@ class Replay:
         batches = wanted.orderBy("batch_id").collect()
         for batch in batches:
             if batch["batch_id"] not in announced:
-                spark.createDataFrame([tuple(batch)], NOTICE).coalesce(1).write.mode(
-                    "append"
-                ).json(table.path)
+                records(spark, [tuple(batch)], NOTICE).write.mode("append").json(table.path)
         return len(batches)
 
     def update(self, count: int | None = None) -> int:
