@@ -32,6 +32,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillcast.session import settled
+from tillcast.sources.tables import records
 
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 4096
@@ -177,7 +178,14 @@ class KnnRegressor(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsWr
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "KnnModel":
-        rows = settled(dataset.select(vector_to_array("features").alias("x"), "label"))
+        # Stored with a number per row, by which cells are cut into blocks.
+        rows = settled(
+            dataset.select(
+                F.monotonically_increasing_id().alias("row"),
+                vector_to_array("features").alias("x"),
+                "label",
+            )
+        )
         total = rows.count()
         if total == 0:
             raise ValueError("no rows to learn from")
@@ -193,7 +201,7 @@ class KnnRegressor(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsWr
         def cell(x: pd.Series) -> pd.Series:
             return pd.Series(cell_of(np.stack(x.to_numpy()), _geometry(text)))
 
-        placed = rows.select(cell("x").alias("cell"), "x", "label")
+        placed = rows.select("row", cell("x").alias("cell"), "x", "label")
         width = len(sample[0])
         sizes = (
             placed.groupBy("cell")
@@ -305,25 +313,24 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
         ]
         spark = asked.sparkSession
         if not plan:
-            return spark.createDataFrame([], "query long, distance double, label double")
-        blocks = F.broadcast(
-            spark.createDataFrame(plan, "cell int, row_blocks int, query_blocks int")
-        )
+            return records(spark, [], "query long, distance double, label double")
+        table = pd.DataFrame(plan, columns=["cell", "row_blocks", "query_blocks"]).astype("int32")
+        blocks = F.broadcast(spark.createDataFrame(table))
 
         def every(count: str):
             return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-        def spread(count: str):
-            return F.pmod(F.monotonically_increasing_id(), F.col(count)).cast("int")
+        def spread(number: str, count: str):
+            return F.pmod(number, count).cast("int")
 
         rows = (
             self.rows.join(blocks, "cell")
-            .withColumn("row_block", spread("row_blocks"))
+            .withColumn("row_block", spread("row", "row_blocks"))
             .withColumn("query_block", every("query_blocks"))
         )
         queries = (
             asked.join(blocks, "cell")
-            .withColumn("query_block", spread("query_blocks"))
+            .withColumn("query_block", spread("query", "query_blocks"))
             .withColumn("row_block", every("row_blocks"))
         )
         keys = ["cell", "row_block", "query_block"]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillcast.functions.columns import clipped, close, finite, iso_day, not_below_zero, quoted
 from tillcast.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from tillcast.operators.ranking import ONE_TASK_ROWS, dense_index
+from tillcast.sources.tables import records
 
 HISTOGRAM_BINS = 24
 SAMPLE_ROWS = 1000
@@ -103,9 +104,8 @@ def histogram(
     usable = frame.where(finite(quoted(value))).select(quoted(value).alias("v"))
     count, found = exact_quantiles(usable, {"v": F.col("v")}, (0.01, 0.99), direct_rows)["v"]
     if not count:
-        return frame.sparkSession.createDataFrame(
-            [], "bin int, bin_low double, bin_high double, rows long"
-        )
+        schema = "bin int, bin_low double, bin_high double, rows long"
+        return records(frame.sparkSession, [], schema)
     low, high = found
     if low == high:
         low, high = low - 0.5, high + 0.5

@@ -33,6 +33,7 @@ from tillcast.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from tillcast.operators.ranking import ONE_TASK_ROWS, dense_index
 from tillcast.params import JobParams
 from tillcast.session import settled
+from tillcast.sources.tables import records
 
 PREPROCESSING_VERSION = "median_scale_code_frequency_1"
 PREFIX = "x__"
@@ -261,9 +262,8 @@ def category_table(
             part = part.select("column", "value", "first_at", "rows", "code")
             numbered = part if numbered is None else numbered.unionByName(part)
     if numbered is None:
-        return frame.sparkSession.createDataFrame(
-            [], "column string, value string, code double, frequency double"
-        )
+        schema = "column string, value string, code double, frequency double"
+        return records(frame.sparkSession, [], schema)
     totals = F.create_map(*[F.lit(x) for c, (_, t) in sizes.items() for x in (c, t)])
     return numbered.select(
         "column",

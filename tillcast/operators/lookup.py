@@ -65,7 +65,9 @@ def salted_lookup_join(
         .where(quoted(key).isNotNull())
         .select(key, F.lit(True).alias("_hot"))
     )
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    # From the row itself: a task that is run again must send its rows the same way.
+    hashed = [f.name for f in facts.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*map(quoted, hashed)), F.lit(salts)).cast("int")
     # Keyless rows find nothing, they only have to be spread.
     spread = facts.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot") | quoted(key).isNull(), salt).otherwise(F.lit(0))

@@ -58,13 +58,14 @@ def fit_model(
     frame: DataFrame, params: JobParams, name: str, make: EstimatorFor | None = None
 ) -> PipelineModel:
     """Preprocessor and estimator as one model, from cleaned rows."""
-    rows = training_rows(frame, params).persist()
+    rows = training_rows(frame, params)
+    require_rows(rows.select(LABEL), MIN_TRAINING_ROWS, "training")
+    preprocessor = fit_preprocessor(rows, params)
+    vectors = preprocessor.transform(rows).select(FEATURES, LABEL).persist()
     try:
-        require_rows(rows.select(LABEL), MIN_TRAINING_ROWS, "training")
-        preprocessor = FeaturePreprocessor.for_table(frame.columns, params).fit(rows)
-        return fit_on_vectors(preprocessor, preprocessor.transform(rows), params, name, make)
+        return fit_on_vectors(preprocessor, vectors, params, name, make)
     finally:
-        rows.unpersist()
+        vectors.unpersist()
 
 
 def fit_on_vectors(

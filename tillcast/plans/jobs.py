@@ -13,7 +13,7 @@ from tillcast.models.factory import top_features
 from tillcast.models.registry import PRETRAIN_BATCH, ModelRegistry
 from tillcast.operators.clean import apply_types, clean_training, drop_leakage, require_column
 from tillcast.operators.diagnostics import daily_timeline, residuals
-from tillcast.operators.features import LABEL, vector_names, with_features
+from tillcast.operators.features import FEATURES, LABEL, vector_names, with_features
 from tillcast.operators.history import Operations, append_metrics
 from tillcast.operators.lookup import enrich
 from tillcast.operators.metrics import (
@@ -143,12 +143,13 @@ def train_candidates(
 
     The preprocessor is the same for all of them, so it is fitted once.
     """
-    initial = training_rows(period_rows(cleaned, params, split, "initial"), params).persist()
+    initial = training_rows(period_rows(cleaned, params, split, "initial"), params)
     validation = period_rows(cleaned, params, split, "validation")
     require_rows(initial.select(LABEL), 10, "pretraining")
     require_rows(validation, 1, "validation")
     preprocessor = fit_preprocessor(initial, params)
-    vectors = preprocessor.transform(initial).select("features", LABEL).persist()
+    # Each model reads these vectors at least once more.
+    vectors = preprocessor.transform(initial).select(FEATURES, LABEL).persist()
     try:
         made = {}
         for name in names:
@@ -157,7 +158,6 @@ def train_candidates(
         return made
     finally:
         vectors.unpersist()
-        initial.unpersist()
 
 
 def pretrain(
@@ -171,62 +171,61 @@ def pretrain(
     The saved model is the one fitted on the initial period alone.
     """
     spark = source.sparkSession
-    cleaned = clean_training(source, params).persist()
-    try:
-        split = split_periods(source, params)
-        at = quoted(params.time_column)
-        size = cleaned.agg(
-            F.count(F.lit(1)), iso_day(F.min(at)), iso_day(F.max(at))
-        ).first()
-        training = period_rows(cleaned, params, split, "initial").count()
-        names = params.model.to_train()
-        made = train_candidates(cleaned, params, split, names, make)
-        rows = []
-        for name, (model, predictions) in made.items():
-            predictions = predictions.persist()
-            rows.append(
-                {
-                    "model_name": name,
-                    "batch_id": PRETRAIN_BATCH,
-                    "period_type": "validation",
-                    **score(predictions),
-                    "training_mode": params.model.training_mode,
-                    "update_strategy": "pretrain",
-                    "initial_training": True,
-                    "train_rows": training,
-                    "training_rows_total": training,
-                    "train_window_date_min": split.fields["initial_date_min"],
-                    "train_window_date_max": split.fields["initial_date_max"],
-                    "date_min": split.fields["validation_date_min"],
-                    "date_max": split.fields["validation_date_max"],
-                    "date_count": split.fields["validation_date_count"],
-                    "pretrain_rows": size[0],
-                    "pretrain_time_min": size[1],
-                    "pretrain_time_max": size[2],
-                    **split.fields,
-                }
-            )
-            if workspace is not None:
-                write_diagnostics(
-                    workspace, model, predictions, params, PRETRAIN_BATCH, name
-                )
-            predictions.unpersist()
-        best = min(rows, key=lambda row: row[params.model.primary_metric])
-        if workspace is not None:
-            workspace.processed.write(
-                cleaned.withColumn("batch_id", F.lit(PRETRAIN_BATCH).cast("long"))
-            )
-            path = workspace.registry(params).register(
-                made[best["model_name"]][0], PRETRAIN_BATCH, best["model_name"], best
-            )
-            for row in rows:
-                row["model_path"] = path
-        metrics = append_metrics(None, metric_rows(spark, rows), params.model.primary_metric)
+    cleaned = clean_training(source, params)
+    split = split_periods(source, params)
+    at = quoted(params.time_column)
+    inside = (at >= F.lit(split.first("initial"))) & (
+        at < F.date_add(F.lit(split.last("initial")), 1)
+    )
+    usable = inside & quoted(params.target_column).isNotNull()
+    size = cleaned.agg(
+        F.count(F.lit(1)), iso_day(F.min(at)), iso_day(F.max(at)), F.count_if(usable)
+    ).first()
+    training = size[3]
+    names = params.model.to_train()
+    made = train_candidates(cleaned, params, split, names, make)
+    rows = []
+    for name, (model, predictions) in made.items():
+        predictions = predictions.persist()
+        rows.append(
+            {
+                "model_name": name,
+                "batch_id": PRETRAIN_BATCH,
+                "period_type": "validation",
+                **score(predictions),
+                "training_mode": params.model.training_mode,
+                "update_strategy": "pretrain",
+                "initial_training": True,
+                "train_rows": training,
+                "training_rows_total": training,
+                "train_window_date_min": split.fields["initial_date_min"],
+                "train_window_date_max": split.fields["initial_date_max"],
+                "date_min": split.fields["validation_date_min"],
+                "date_max": split.fields["validation_date_max"],
+                "date_count": split.fields["validation_date_count"],
+                "pretrain_rows": size[0],
+                "pretrain_time_min": size[1],
+                "pretrain_time_max": size[2],
+                **split.fields,
+            }
+        )
         if workspace is not None:
-            workspace.metrics.write(metrics)
-        return Pretrained(split, metrics, best["model_name"], made[best["model_name"]][0])
-    finally:
-        cleaned.unpersist()
+            write_diagnostics(workspace, model, predictions, params, PRETRAIN_BATCH, name)
+        predictions.unpersist()
+    best = min(rows, key=lambda row: row[params.model.primary_metric])
+    if workspace is not None:
+        workspace.processed.write(
+            cleaned.withColumn("batch_id", F.lit(PRETRAIN_BATCH).cast("long"))
+        )
+        path = workspace.registry(params).register(
+            made[best["model_name"]][0], PRETRAIN_BATCH, best["model_name"], best
+        )
+        for row in rows:
+            row["model_path"] = path
+    metrics = append_metrics(None, metric_rows(spark, rows), params.model.primary_metric)
+    if workspace is not None:
+        workspace.metrics.write(metrics)
+    return Pretrained(split, metrics, best["model_name"], made[best["model_name"]][0])
 
 
 @dataclass(frozen=True)
@@ -302,15 +301,16 @@ def score_rows(
         )
     prepared = enrich(prepared.select("*", originals), dimension, params.dimension)
     at = moment(prepared, params.time_column)
-    checked = F.when(at.isNotNull(), at).otherwise(
-        F.raise_error(F.lit(f"{params.time_column} does not parse; no row may be lost"))
-    )
-    prepared = prepared.withColumn(params.time_column, checked)
+    whole = at.isNotNull()
+    if params.dimension.check_column in prepared.columns:
+        # Reading the column keeps its own check in the plan, whatever the model uses.
+        whole &= F.coalesce(F.length(quoted(params.dimension.check_column)), F.lit(0)) >= 0
+    prepared = prepared.withColumns({"_whole": whole, params.time_column: at})
     prepared = prepared.transform(apply_types, params).transform(drop_leakage, params)
     scored = model.transform(with_features(prepared, params))
-    return scored.select(
-        "_given.*", not_below_zero(F.col("prediction")).alias("predict")
-    )
+    lost = F.raise_error(F.lit(f"{params.time_column} does not parse; no row may be lost"))
+    predict = F.when(F.col("_whole"), not_below_zero(F.col("prediction"))).otherwise(lost)
+    return scored.select("_given.*", predict.cast("double").alias("predict"))
 
 
 def score_file(

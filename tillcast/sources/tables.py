@@ -33,16 +33,22 @@ class KeyedTable:
             .parquet(self.path)
         )
 
+    def part(self, value: object) -> DataFrame:
+        """The rows of one value of the first key column, without looking at other parts."""
+        return self.spark.read.parquet(f"{self.path}/{self.key[0]}={value}")
+
     def read(self, schema: StructType | str | None = None) -> DataFrame:
-        """The rows; an absent table is an empty frame of the given schema."""
+        """The rows; an absent table is an empty frame of the given schema.
+
+        Without a schema those of all files are merged, which is meant for small histories.
+        """
         if not self.exists():
             if schema is None:
                 raise FileNotFoundError(f"no such table: {self.path}")
             return records(self.spark, [], schema)
-        reader = self.spark.read.option("mergeSchema", True)
         if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(self.path)
+            return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
 
 _KINDS = {

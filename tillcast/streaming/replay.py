@@ -137,12 +137,12 @@ class Replay:
             key = F.lit(batch_id).cast("long")
             workspace.raw.write(rows.withColumn("batch_id", key))
             record["artifact_path"] = workspace.raw.path
-            raw = self._landed(workspace.raw, batch_id)
+            raw = workspace.raw.part(batch_id)
             if self.with_quality:
                 context = {"batch_id": key, "period_type": F.lit("stream")}
                 workspace.quality.write(quality_report(raw, params, context).coalesce(1))
             workspace.processed.write(clean_training(raw, params).withColumn("batch_id", key))
-            batch = self._landed(workspace.processed, batch_id)
+            batch = workspace.processed.part(batch_id)
             path = self._test_then_train(batch, notice, source)
             size = batch.count()
             record.update(input_rows=size, output_rows=size, model_path=path)
@@ -150,9 +150,6 @@ class Replay:
                 self.before_commit(batch_id)
             self._commit(raw, notice, self._split or split_periods(source, params))
 
-    def _landed(self, table, batch_id: int) -> DataFrame:
-        return table.read().where(F.col("batch_id") == batch_id).drop("batch_id")
-
     def _test_then_train(self, batch: DataFrame, notice: Row, source: DataFrame) -> str:
         """Score with the current model, then refit; the metrics are those of the old model."""
         workspace, params = self.workspace, self.params
