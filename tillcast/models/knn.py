@@ -97,28 +97,38 @@ def squared_distances(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
+def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How far each point is from each box, zero inside."""
+    total = np.zeros((len(points), len(low)))
+    for j in range(points.shape[1]):
+        at = points[:, j, None]
+        total += np.maximum(np.maximum(low[None, :, j] - at, at - high[None, :, j]), 0.0) ** 2
+    return np.sqrt(total)
+
+
 def block_neighbours(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k nearest rows of a block for each query; equal distances go by label."""
     rows = rows.sort_values("label")
     points, labels = np.stack(rows["x"].to_numpy()), rows["label"].to_numpy()
     wanted = min(k, len(points))
     step = max(1, MATRIX_CELLS // len(points))
-    out_id, out_distance, out_label = [], [], []
     asked, ids = np.stack(queries["x"].to_numpy()), queries["query"].to_numpy()
+    distances, places = [], []
     for start in range(0, len(asked), step):
         squares = squared_distances(asked[start : start + step], points)
-        limits = np.partition(squares, wanted - 1, axis=1)[:, wanted - 1]
-        for i, (line, limit) in enumerate(zip(squares, limits)):
-            near = np.flatnonzero(line <= limit)
-            near = near[np.argsort(line[near], kind="stable")][:wanted]
-            out_id.append(np.full(wanted, ids[start + i]))
-            out_distance.append(np.sqrt(line[near]))
-            out_label.append(labels[near])
+        near = np.argpartition(squares, wanted - 1, axis=1)[:, :wanted]
+        limits = np.take_along_axis(squares, near, axis=1).max(axis=1)
+        # Where several rows lie at the limit, those with the lowest labels are taken.
+        for i in np.flatnonzero((squares <= limits[:, None]).sum(axis=1) > wanted):
+            within = np.flatnonzero(squares[i] <= limits[i])
+            near[i] = within[np.argsort(squares[i, within], kind="stable")][:wanted]
+        distances.append(np.sqrt(np.take_along_axis(squares, near, axis=1)).ravel())
+        places.append(near.ravel())
     return pd.DataFrame(
         {
-            "query": np.concatenate(out_id),
-            "distance": np.concatenate(out_distance),
-            "label": np.concatenate(out_label),
+            "query": np.repeat(ids, wanted),
+            "distance": np.concatenate(distances),
+            "label": labels[np.concatenate(places)],
         }
     )
 
@@ -272,12 +282,16 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
         @F.pandas_udf("array<int>")
         def other_cells(x: pd.Series, home: pd.Series, reach: pd.Series) -> pd.Series:
             box = _geometry(boxes)
+            cells, points = box["cell"].astype(np.int32), np.stack(x.to_numpy())
+            # Rounding must not lose a cell that touches the limit.
+            limits = reach.to_numpy() * (1 + 1e-9)
+            step = max(1, MATRIX_CELLS // len(cells))
             out = []
-            for point, own, limit in zip(x, home, reach):
-                gap = np.maximum(np.maximum(box["low"] - point, point - box["high"]), 0.0)
-                # Rounding must not lose a cell that touches the limit.
-                near = np.sqrt((gap**2).sum(axis=1)) <= limit * (1 + 1e-9)
-                out.append(box["cell"][near & (box["cell"] != own)].astype(np.int32))
+            for start in range(0, len(points), step):
+                some = slice(start, start + step)
+                near = box_distances(points[some], box["low"], box["high"]) <= limits[some, None]
+                near &= cells[None, :] != home.to_numpy()[some, None]
+                out.extend(cells[line] for line in near)
             return pd.Series(out)
 
         homed = queries.withColumn("cell", cell("x"))

@@ -1,8 +1,8 @@
 """Exact quantiles of columns of any size, by narrowing to the sought ranks.
 
 A sketch brackets each sought rank, one counting pass proves the bracket, and the search goes
-on inside it until few enough rows are left for the built-in exact percentile. No task ever
-holds more than ``direct_rows`` values; values that repeat a lot are settled by the counts.
+on inside it until few enough rows are left to be counted by value and sorted in one task.
+Values that repeat a lot are settled by the counts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DIRECT_ROWS = 2_000_000
 SKETCH_ACCURACY = 10_000
@@ -63,39 +63,31 @@ def exact_quantiles(
         counted = base.agg(*[F.count(short[name]).alias(short[name]) for name in names]).first()
         counts = {name: counted[short[name]] for name in names}
 
-    found: dict[str, list[float] | None] = {n: None for n in names}
-    direct = [n for n in names if 0 < counts[n] <= direct_rows]
-    if direct:
-        wanted = F.array(*[F.lit(float(s)) for s in shares])
-        row = base.agg(*[F.percentile(short[n], wanted).alias(short[n]) for n in direct]).first()
-        found.update({n: list(row[short[n]]) for n in direct})
-    large = [n for n in names if counts[n] > direct_rows]
-    if large:
-        found.update(_search_large(base, large, short, counts, shares, direct_rows, accuracy))
-    return {name: (counts[name], found[name]) for name in names}
-
-
-def _search_large(base, names, short, counts, shares, direct_rows, accuracy):
     searches: dict[tuple[str, int], _Search] = {}
     for name in names:
-        for share in shares:
-            position = (counts[name] - 1) * share
-            for rank in (math.floor(position), math.ceil(position)):
-                searches.setdefault(
-                    (name, rank), _Search(short[name], rank, inside=counts[name])
-                )
-    values = select_ranks(base, list(searches.values()), direct_rows, accuracy)
-    by_key = dict(zip(searches, values))
-    result = {}
-    for name in names:
-        quantiles = []
-        for share in shares:
-            position = (counts[name] - 1) * share
-            low = by_key[(name, math.floor(position))]
-            high = by_key[(name, math.ceil(position))]
-            quantiles.append(low + (position - math.floor(position)) * (high - low))
-        result[name] = quantiles
-    return result
+        for share in shares if counts[name] else ():
+            for rank in _ranks(counts[name], share):
+                search = _Search(short[name], rank, inside=counts[name])
+                searches.setdefault((name, rank), search)
+    values = dict(
+        zip(searches, select_ranks(base, list(searches.values()), direct_rows, accuracy))
+    )
+
+    def quantile(name: str, share: float) -> float:
+        low, high = (values[(name, rank)] for rank in _ranks(counts[name], share))
+        position = (counts[name] - 1) * share
+        return low + (position - math.floor(position)) * (high - low)
+
+    return {
+        name: (counts[name], [quantile(name, s) for s in shares] if counts[name] else None)
+        for name in names
+    }
+
+
+def _ranks(count: int, share: float) -> tuple[int, int]:
+    """The places in sorted order between which a quantile lies."""
+    position = (count - 1) * share
+    return math.floor(position), math.ceil(position)
 
 
 def select_ranks(base: DataFrame, searches: list[_Search], direct_rows: int, accuracy: int):
@@ -130,20 +122,51 @@ def select_ranks(base: DataFrame, searches: list[_Search], direct_rows: int, acc
         for i, (s, (low, high)) in enumerate(zip(wide, brackets)):
             counts = [tallies[f"t{i}_{k}"] for k in ("lt_low", "le_low", "lt_high", "le_high")]
             _narrow(s, low, high, *counts)
-    small = [s for s in searches if s.answer is None]
-    if small:
-        windows = base.select(*[s.window().alias(f"w{i}") for i, s in enumerate(small)])
-        row = windows.agg(
-            *[
-                F.expr(f"percentile_disc({s.place()!r}D) within group (order by w{i})").alias(f"v{i}")
-                for i, s in enumerate(small)
-            ]
-        ).first()
-        for i, s in enumerate(small):
-            s.answer = row[f"v{i}"]
+    _settle(base, [s for s in searches if s.answer is None])
     return [s.answer for s in searches]
 
 
+def _settle(base: DataFrame, searches: list[_Search]) -> None:
+    """Find the remaining ranks among the few rows of their windows.
+
+    Equal values are counted before the shuffle; a running sum then tells which value covers
+    which ranks.
+    """
+    if not searches:
+        return
+    windows: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        windows.setdefault((s.column, s.low, s.high), []).append(s)
+    groups = list(windows.values())
+    values = F.array(*[group[0].window() for group in groups])
+    sought = [F.array(*[F.lit(s.rank - s.below).cast("long") for s in g]) for g in groups]
+    upto = F.sum("rows").over(
+        Window.partitionBy("group").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    found = (
+        base.select(F.posexplode(values).alias("group", "value"))
+        .where("value is not null")
+        .groupBy("group", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("upto", upto)
+        .withColumn("sought", F.array(*sought)[F.col("group")])
+        .select(
+            "group",
+            "value",
+            F.filter(
+                "sought",
+                lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("rows")),
+            ).alias("ranks"),
+        )
+        .where(F.size("ranks") > 0)
+    )
+    # At most one row per rank.
+    for row in found.collect():
+        for s in groups[row["group"]]:
+            if s.rank - s.below in row["ranks"]:
+                s.answer = row["value"]
+
+
 def _narrow(s: _Search, low, high, lt_low: int, le_low: int, lt_high: int, le_high: int) -> None:
     """Move the window onto the part of it that holds the rank."""
     end = s.below + s.inside

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -61,11 +62,25 @@ def fit_model(
     rows = training_rows(frame, params)
     require_rows(rows.select(LABEL), MIN_TRAINING_ROWS, "training")
     preprocessor = fit_preprocessor(rows, params)
-    vectors = preprocessor.transform(rows).select(FEATURES, LABEL).persist()
-    try:
+    with held_vectors(preprocessor, rows) as vectors:
         return fit_on_vectors(preprocessor, vectors, params, name, make)
+
+
+@contextmanager
+def held_vectors(preprocessor: PipelineModel, rows: DataFrame) -> Iterator[DataFrame]:
+    """Feature vectors and labels, kept while models that read them many times are fitted.
+
+    A source of fewer partitions than there are cores is spread over all of them first.
+    """
+    made = preprocessor.transform(rows).select(FEATURES, LABEL)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if made.rdd.getNumPartitions() < cores:
+        made = made.repartition(cores)
+    made = made.persist()
+    try:
+        yield made
     finally:
-        vectors.unpersist()
+        made.unpersist()
 
 
 def fit_on_vectors(

@@ -13,7 +13,7 @@ from tillcast.models.factory import top_features
 from tillcast.models.registry import PRETRAIN_BATCH, ModelRegistry
 from tillcast.operators.clean import apply_types, clean_training, drop_leakage, require_column
 from tillcast.operators.diagnostics import daily_timeline, residuals
-from tillcast.operators.features import FEATURES, LABEL, vector_names, with_features
+from tillcast.operators.features import LABEL, vector_names, with_features
 from tillcast.operators.history import Operations, append_metrics
 from tillcast.operators.lookup import enrich
 from tillcast.operators.metrics import (
@@ -28,6 +28,7 @@ from tillcast.plans.fitting import (
     EstimatorFor,
     fit_on_vectors,
     fit_preprocessor,
+    held_vectors,
     predict,
     require_rows,
     score,
@@ -148,16 +149,12 @@ def train_candidates(
     require_rows(initial.select(LABEL), 10, "pretraining")
     require_rows(validation, 1, "validation")
     preprocessor = fit_preprocessor(initial, params)
-    # Each model reads these vectors at least once more.
-    vectors = preprocessor.transform(initial).select(FEATURES, LABEL).persist()
-    try:
-        made = {}
+    made = {}
+    with held_vectors(preprocessor, initial) as vectors:
         for name in names:
             model = fit_on_vectors(preprocessor, vectors, params, name, make)
             made[name] = (model, predict(model, validation, params, keep=[params.time_column]))
-        return made
-    finally:
-        vectors.unpersist()
+    return made
 
 
 def pretrain(
