@@ -24,7 +24,10 @@ KINDS = {
     "timestamp_ntz": "TIMESTAMP",
 }
 # These run for long and have tests of their own.
-SLOW = {"stream_commit", "prequential", "multi_model", "best_timeline", "pretrain"}
+SLOW = {
+    "stream_replay", "stream_commit", "prequential", "sgd_update", "multi_model", "best_timeline",
+    "pretrain",
+}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 

@@ -11,9 +11,11 @@ makes a batch count as done.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, functions as F
 
@@ -138,10 +140,16 @@ class Replay:
             workspace.raw.write(rows.withColumn("batch_id", key))
             record["artifact_path"] = workspace.raw.path
             raw = workspace.raw.part(batch_id)
-            if self.with_quality:
-                context = {"batch_id": key, "period_type": F.lit("stream")}
-                workspace.quality.write(quality_report(raw, params, context).coalesce(1))
-            workspace.processed.write(clean_training(raw, params).withColumn("batch_id", key))
+
+            def profile() -> None:
+                if self.with_quality:
+                    context = {"batch_id": key, "period_type": F.lit("stream")}
+                    workspace.quality.write(quality_report(raw, params, context).coalesce(1))
+
+            def clean() -> None:
+                workspace.processed.write(clean_training(raw, params).withColumn("batch_id", key))
+
+            _together(profile, clean)
             batch = workspace.processed.part(batch_id)
             path = self._test_then_train(batch, notice, source)
             size = batch.count()
@@ -160,7 +168,18 @@ class Replay:
         else:
             model = registry.load(version, "current")
         batch_id, name = notice["batch_id"], params.model.selected
-        predictions = predict(model, batch, params, keep=[params.time_column]).persist()
+
+        def test() -> dict[str, object]:
+            predictions = predict(model, batch, params, keep=[params.time_column]).persist()
+            scored = score(predictions)
+            write_diagnostics(workspace, model, predictions, params, batch_id, name)
+            predictions.unpersist()
+            return scored
+
+        def train() -> tuple[PipelineModel, Row]:
+            return updated_model(model, batch, source, notice["day_max"], params, self.make)
+
+        scored, (updated, window) = _together(test, train)
         row = {
             "model_name": name,
             "batch_id": batch_id,
@@ -168,17 +187,12 @@ class Replay:
             "date_min": notice["day_min"].isoformat(),
             "date_max": notice["day_max"].isoformat(),
             "date_count": notice["date_count"],
-            **score(predictions),
+            **scored,
             "prediction_model_path": version["model_path"],
             "update_strategy": params.model.update_strategy,
             "training_mode": params.model.training_mode,
             "initial_training": False,
         }
-        write_diagnostics(workspace, model, predictions, params, batch_id, name)
-        predictions.unpersist()
-        updated, window = updated_model(
-            model, batch, source, notice["day_max"], params, self.make
-        )
         row.update(
             train_rows=window["rows"],
             training_rows_total=window["rows"],
@@ -208,6 +222,13 @@ class Replay:
         self.workspace.batches.write(made.select(*typed).coalesce(1))
 
 
+def _together(*steps: Callable[[], object]) -> list:
+    """Run steps that do not need each other at the same time; small jobs fill few cores."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        return [step.result() for step in waiting]
+
+
 def _before(registry, batch_id: int) -> Row | None:
     """The version current when this batch arrives, also if the batch is being repeated."""
     return (
