@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillcast.functions.columns import calendar_parts, moment, number, quoted, text
 from tillcast.operators.clean import require_column
-from tillcast.operators.lookup import BROADCAST_BYTES, lookup_join, lookup_profile
+from tillcast.operators.lookup import lookup_join
 from tillcast.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from tillcast.operators.ranking import ONE_TASK_ROWS, dense_index
 from tillcast.params import JobParams

@@ -17,10 +17,9 @@ from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tillcast.models.protocol import supports_incremental_update
-from tillcast.models.registry import PRETRAIN_BATCH
 from tillcast.operators.clean import clean_training
 from tillcast.operators.history import append_metrics
 from tillcast.operators.periods import (
@@ -149,7 +148,7 @@ class Replay:
             def clean() -> None:
                 workspace.processed.write(clean_training(raw, params).withColumn("batch_id", key))
 
-            _together(profile, clean)
+            _together(workspace.spark, profile, clean)
             batch = workspace.processed.part(batch_id)
             path = self._test_then_train(batch, notice, source)
             size = batch.count()
@@ -179,7 +178,7 @@ class Replay:
         def train() -> tuple[PipelineModel, Row]:
             return updated_model(model, batch, source, notice["day_max"], params, self.make)
 
-        scored, (updated, window) = _together(test, train)
+        scored, (updated, window) = _together(workspace.spark, test, train)
         row = {
             "model_name": name,
             "batch_id": batch_id,
@@ -222,10 +221,10 @@ class Replay:
         self.workspace.batches.write(made.select(*typed).coalesce(1))
 
 
-def _together(*steps: Callable[[], object]) -> list:
+def _together(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run steps that do not need each other at the same time; small jobs fill few cores."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        waiting = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        waiting = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
         return [step.result() for step in waiting]
 
 
@@ -265,6 +264,3 @@ def updated_model(
     # The day range comes first, so that it reaches the scan.
     training = clean_training(choose(source, params, until), params)
     return fit_model(training, params, name, make), window_metadata(training, params).first()
-
-
-__all__ = ["PRETRAIN_BATCH", "Replay", "updated_model"]
