@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import hosts
+from tillcast.llm import hosts, neardup
 from tillcast.llm.common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,11 @@ def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{name}.kept",
         f"{name}.host_rejected",
     )
+
+
+@query("op10_superminhash")
+def superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies, on shingles of three words from 85 per cent on."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return neardup.groups(docs, neardup.NearDup(words=3, percent=85))
