@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import hosts, neardup
-from tillcast.llm.common import small_batches, table
+from tillcast.llm import hosts, ledger, neardup
+from tillcast.llm.common import hex_of, small_batches, table
+from tillcast.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,3 +107,53 @@ def superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     return neardup.groups(docs, neardup.NearDup(words=3, percent=85))
+
+
+def _spans_sql(rank: int) -> str:
+    """All long enough matches of one kind as structs; the gaps between matches give the places."""
+    kind, pattern, group, least = ledger.RULES[rank]
+    pattern = pattern.replace("'", "''")
+    return f"""(
+      SELECT row, {rank} AS rank, unnest(range(1, len(m) + 1)) AS i, m, p, g FROM (
+        SELECT row, regexp_extract_all(text, '{pattern}') AS m,
+          regexp_extract_all(text, '{pattern}', {group}) AS p,
+          string_split_regex(text, '{pattern}') AS g FROM d))"""
+
+
+LEDGER_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), matches AS (
+  {" UNION ALL ".join("SELECT * FROM " + _spans_sql(r) for r in range(3))}
+), spans AS (
+  SELECT row, rank, length(m[i]) AS size,
+    coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM matches WHERE length(p[i]) >= [8, 16, 32][rank + 1]
+), told AS (
+  SELECT row, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+    count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(['assign', 'access', 'hex'][rank + 1] || ':' || start::BIGINT || ':'
+      || (start + size)::BIGINT, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (row)
+"""
+
+
+@query("op6_blob_ledger", LEDGER_SQL)
+def blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by a ledger that starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    path = work_path(spark, "ledger")
+    ledger.scan(docs, path)
+    spans = F.col("spans")
+    return ledger.findings(docs, path, ["doc_id"]).select(
+        "doc_id",
+        *[ledger.counted(spans, kind).alias(f"n_{kind}") for kind in ledger.KINDS],
+        hex_of(ledger.written(spans)).alias("base_sha256"),
+        ledger.written(spans).alias("spans"),
+    )
