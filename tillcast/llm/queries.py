@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import hosts, ledger, neardup
+from tillcast.llm import curriculum, hosts, ledger, neardup
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import work_path
 
@@ -157,3 +157,46 @@ def blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_of(ledger.written(spans)).alias("base_sha256"),
         ledger.written(spans).alias("spans"),
     )
+
+
+CURRICULUM_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source
+), w AS (
+  SELECT *, [3.0, 1.0, 2.0][(place - 1) % 3 + 1]::DOUBLE AS weight
+  FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM s)
+), o AS (
+  SELECT *, 2 * size AS most, row_number() OVER (ORDER BY 2 * size / weight, place) AS i FROM w
+), l AS (
+  SELECT *,
+    ((SELECT sum(size) FROM s) * 1.5::DOUBLE
+      - coalesce(sum(most) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM o
+), t AS (
+  SELECT source, size AS source_size,
+    CASE WHEN level * weight >= most THEN most::DOUBLE
+      ELSE (SELECT max(level) FROM l WHERE level * weight < most) * weight END AS target
+  FROM l
+), placed AS (
+  SELECT d.*, source_size, target, sum(d.size) OVER (
+      PARTITION BY d.source ORDER BY key, doc_id, d.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  (least(greatest(round(target)::BIGINT - before, 0), size)
+    + least(greatest(round(target)::BIGINT - source_size - before, 0), size))::BIGINT AS taken
+FROM placed
+"""
+
+
+@query("op2_curriculum", CURRICULUM_SQL)
+def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    planned = curriculum.plan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return planned.select("row.doc_id", "size", "source_size", "target", "taken")
