@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import curriculum, hosts, ledger, neardup
+from tillcast.llm import curriculum, hosts, ledger, neardup, packing
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import work_path
 
@@ -200,3 +201,13 @@ def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     planned = curriculum.plan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return planned.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+WORD_BPE = packing.Packing(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_packing")
+def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their sequences, the ids as a checksum."""
+    small_batches(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
