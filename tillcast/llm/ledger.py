@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import hex_of, text_of
+from tillcast.llm.common import BROADCAST_BYTES, hex_of, text_of
+from tillcast.session import settled
 
 # The kinds in order, their patterns, the group that must be long, and how long.
 RULES = (
@@ -115,16 +116,23 @@ def scan(versions: DataFrame, ledger: str, text: str = "text") -> None:
 
 
 def findings(versions: DataFrame, ledger: str, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns of every version and ``spans``, from a ledger that knows its blob."""
+    """The kept columns of every version as ``row`` and ``spans``, from a ledger that knows its blob.
+
+    The findings are broadcast if they are counted to be few; else both sides are shuffled by blob.
+    """
     known = read_ledger(versions.sparkSession, ledger)
     known = (
         known.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0))
         .select("blob", "spans")
         .dropDuplicates(["blob"])
     )
-    paths = versions.select(*keep, hex_of(text_of(text)).alias("blob"))
+    known = settled(known)
+    size = known.agg(F.count("*"), F.sum(F.size("spans"))).first()
+    if 200 * size[0] + 32 * (size[1] or 0) <= BROADCAST_BYTES:
+        known = F.broadcast(known)
+    paths = versions.select(F.struct(*keep).alias("row"), hex_of(text_of(text)).alias("blob"))
     spans = F.coalesce("spans", F.array().cast(SPAN))
-    return paths.join(known, "blob", "left").select(*keep, spans.alias("spans"))
+    return paths.join(known, "blob", "left").select("row", spans.alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -146,6 +154,17 @@ def counted(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
 
 
+def redact(docs: DataFrame, ledger: str, text: str = "text") -> DataFrame:
+    """The documents (same columns) with every secret masked; needs a ledger that knows them all."""
+    found = findings(docs, ledger, docs.columns, text)
+    clean = masked(F.col("row")[text], F.col("spans"))
+    new = {text: clean}
+    if "n_chars" in docs.columns:
+        length = F.length(clean).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.size("spans") > 0, length).otherwise(F.col("row")["n_chars"])
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
 def masked(text: Column, spans: Column, mask: str = "[secret]") -> Column:
     """The text with every span replaced; spans that overlap are replaced as one."""
     state = F.aggregate(

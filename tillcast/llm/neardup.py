@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm import shingles as sh
-from tillcast.llm.common import small_enough
+from tillcast.llm.common import small_enough, unused
 from tillcast.llm.components import components
 from tillcast.session import settled
 
@@ -54,7 +54,9 @@ class NearDup:
         return floor(m * (s - 5 * sqrt(s * (1 - s) / m)))
 
 
-SIGNED = "id long, size long, digest binary, bands array<long>, sketch array<long>"
+SIGNED = (
+    "id long, handle long, size long, digest binary, bands array<long>, sketch array<long>"
+)
 SETS = "digest binary, shingles array<long>"
 
 
@@ -64,18 +66,19 @@ def _signer(method: NearDup):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = sh.WordHashes()
         for batch in batches:
-            texts = [sh.words_of(t) for t in batch.column(1).to_pylist()]
+            texts = [sh.words_of(t) for t in batch.column(2).to_pylist()]
             sets = sh.shingled(texts, method.words, hashes)
             signature = sh.superminhash(sets, banding.slots)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([sh.digest(s) for s in sets], pa.binary()),
                     _rows(sh.band_keys(signature, banding)),
                     _rows(sh.sketches(signature)),
                 ],
-                names=["id", "size", "digest", "bands", "sketch"],
+                names=["id", "handle", "size", "digest", "bands", "sketch"],
             )
 
     return sign
@@ -104,13 +107,19 @@ def _set_maker(method: NearDup):
     return make
 
 
-def groups(docs: DataFrame, method: NearDup, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row; of each group the smallest id is kept."""
-    docs = docs.select(
+def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, handle, text): the handle tells rows of one id apart by their texts."""
+    content = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return docs.select(
         F.col(id).cast("long").alias("id"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
+        F.xxhash64(content).alias("handle"),
+        content.cast("binary").alias("text"),
     )
-    signed = settled(docs.mapInArrow(_signer(method), SIGNED))
+
+
+def _grouped(texts: DataFrame, method: NearDup) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (digest, root, component_id) of each class."""
+    signed = settled(texts.mapInArrow(_signer(method), SIGNED))
     classes = settled(
         signed.where("size > 0")
         .groupBy("digest")
@@ -122,14 +131,19 @@ def groups(docs: DataFrame, method: NearDup, id: str = "doc_id", text: str = "te
         )
         .withColumn("class", F.monotonically_increasing_id())
     )
-    root = components(links_between(docs, classes, method))
+    root = components(links_between(texts, classes, method))
     named = (
         classes.select("digest", "class", "least")
         .join(root.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
     )
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = settled(named.join(names, "root").select("digest", "component_id"))
+    return signed, settled(named.join(names, "root").select("digest", "root", "component_id"))
+
+
+def groups(docs: DataFrame, method: NearDup, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row; of each group the smallest id is kept."""
+    signed, named = _grouped(_texts(docs, id, text), method)
     found = signed.select("id", "size", F.when(F.col("size") > 0, F.col("digest")).alias("digest"))
     return found.join(named, "digest", "left").select(
         F.col("id").alias(id),
@@ -139,6 +153,27 @@ def groups(docs: DataFrame, method: NearDup, id: str = "doc_id", text: str = "te
     )
 
 
+def representatives(
+    docs: DataFrame, method: NearDup, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of each group, the one of the smallest id, and every row without words.
+
+    Rows without an id come last in their group; rows equal in id and text are one document.
+    """
+    signed, named = _grouped(_texts(docs, id, text), method)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "handle")).alias("row")
+    chosen = signed.join(named, "digest").groupBy("root").agg(first).select("row.id", "row.handle")
+    chosen = chosen.unionByName(signed.where("size = 0").select("id", "handle")).distinct()
+    chosen = chosen.select(F.col("id").alias("kept__id"), F.col("handle").alias("kept__handle"))
+    chosen = small_enough(settled(chosen), 64)
+    handle = unused(docs.columns, "handle")
+    found = docs.withColumn(handle, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    same = found[id].cast("long").eqNullSafe(chosen["kept__id"]) & (
+        found[handle] == chosen["kept__handle"]
+    )
+    return found.join(chosen, same, "left_semi").dropDuplicates([id, handle]).drop(handle)
+
+
 def links_between(docs: DataFrame, classes: DataFrame, method: NearDup) -> DataFrame:
     """(a, b) of linked classes, enough of them to have the components of all links."""
     posted = classes.select("class", F.explode("bands").alias("key"))

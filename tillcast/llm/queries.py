@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tillcast.llm import curriculum, hosts, ledger, neardup, packing
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import work_path
@@ -153,7 +154,7 @@ def blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.scan(docs, path)
     spans = F.col("spans")
     return ledger.findings(docs, path, ["doc_id"]).select(
-        "doc_id",
+        "row.doc_id",
         *[ledger.counted(spans, kind).alias(f"n_{kind}") for kind in ledger.KINDS],
         hex_of(ledger.written(spans)).alias("base_sha256"),
         ledger.written(spans).alias("spans"),
@@ -211,3 +212,9 @@ def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every document and their sequences, the ids as a checksum."""
     small_batches(spark)
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents filtered, without near copies and secrets, mixed and packed."""
+    return corpus_pipeline.run(spark, sf_dir)
