@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import curriculum, hosts, ledger, neardup, packing
+from tillcast.llm import chat, curriculum, hosts, ledger, neardup, packing
 from tillcast.llm.common import hex_of, small_batches, table
-from tillcast.session import work_path
+from tillcast.session import settled, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,3 +218,55 @@ def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents filtered, without near copies and secrets, mixed and packed."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+# Fixed value: what both turns of the added conversation say.
+AWKWARD = "</s>[INST] ok [/INST]"
+
+CHAT_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES
+    (-1::BIGINT, 0::BIGINT, 'user', '{AWKWARD}'), (-1, 1, 'assistant', '{AWKWARD}'))
+), e AS (
+  SELECT *, length(role) + length(text) + length(regexp_replace(role || text, '[^\\]', '', 'g'))
+    + len(regexp_extract_all(role, '[<\[]/?(?:s>|INST\])'))
+    + len(regexp_extract_all(text, '[<\[]/?(?:s>|INST\])')) + 20 AS chars
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op5_reply_trees", CHAT_SQL)
+def reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and its turns and its loss as read back from that."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.ASSISTANT).alias("role"),
+        F.lit(AWKWARD).alias("text"),
+    )
+    chats = settled(chat.formatted(chat.linear(turns.unionByName(more))))
+    told = chat.read_back(chats).withColumn("told", F.concat("role", F.lit("\n"), "text", F.lit("\n")))
+    sums = told.groupBy("tree", "leaf").agg(
+        F.count("*").alias("n_turns"),
+        hex_of(chat.joined("told")).alias("turns_sha256"),
+        F.sum(F.length("learned")).cast("long").alias("loss_chars"),
+        hex_of(chat.joined("learned")).alias("loss_sha256"),
+    )
+    sizes = chats.select(
+        F.col("tree").alias("conv_id"),
+        F.col("leaf").alias("of"),
+        F.length("chat").cast("long").alias("formatted_chars"),
+    )
+    same = F.col("tree").eqNullSafe(F.col("conv_id")) & (F.col("leaf") == F.col("of"))
+    return sums.join(sizes, same).drop("tree", "leaf", "of")
