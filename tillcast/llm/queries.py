@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import chat, curriculum, hosts, ledger, neardup, packing
+from tillcast.llm import chat, curriculum, hosts, ledger, neardup, packing, toxicity
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import settled, work_path
 
@@ -270,3 +270,18 @@ def reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     same = F.col("tree").eqNullSafe(F.col("conv_id")) & (F.col("leaf") == F.col("of"))
     return sums.join(sizes, same).drop("tree", "leaf", "of")
+
+
+@query("op4_kneser_ney")
+def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels that aren't held out."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    fitted = toxicity.fit(docs, labels)
+    scored = docs.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.score(docs, fitted).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
