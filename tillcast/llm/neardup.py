@@ -4,14 +4,14 @@
    and a sketch of its signature. Texts with equal sets form a class, and only classes go on.
 2. In every bucket (equal band key) each class is compared with the bucket's smallest class only:
    as many pairs as members. Verified links are contracted to components.
-3. Buckets that still hold several components are searched once more across components. A shingle
-   that occurs in no other class of these buckets can't be shared, so every class has a bound on
-   the similarity it can have with another, and classes below the limit leave at once. That rids
-   large groups of edited copies of the copies that are linked with none, in linear work. The
-   pairs left over are verified, and the components of all links are the groups.
+3. Buckets that still hold several components are searched once more across components, exactly:
+   a class's shingles are put in order, rarest first, and two linked classes must share one among
+   the first of each, early enough for the rest to suffice. In a large group of edited copies those
+   are the edits, which few copies share, so no more pairs are made than are nearly linked. The
+   pairs are verified, and the components of all links are the groups.
 
-Pairs are only ever made if sizes, bounds and sketches allow a link. The banding overlooks a pair
-at the limit with chance 1e-6, the sketch (five deviations below the limit) with less.
+The banding overlooks a pair at the limit with chance 1e-6, the sketch that spares comparisons with
+the smallest class (five deviations below the limit) with less; step 3 has no such chance of its own.
 
 Defined cases: a text with no words, or null, has no shingles and is linked with nothing; one with
 fewer words than a shingle is one shingle; repeated rows fall into one class; a group's name is the
@@ -27,7 +27,7 @@ from math import floor, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm import shingles as sh
@@ -211,40 +211,38 @@ def _rest(
         .where("low <> high")
         .select("key")
     )
-    open_rows = settled(rooted.join(mixed, "key"))
-    sets = settled(_sets(docs, classes, open_rows.select("class"), method))
-    shared = (
-        sets.select(F.explode("shingles").alias("shingle"), "class")
-        .groupBy("shingle")
-        .agg(F.min("class").alias("class"), F.count("*").alias("n"))
-        .where("n = 1")
-        .groupBy("class")
-        .agg(F.count("*").alias("own"))
+    open_classes = settled(rooted.join(mixed, "key").select("class", "root").distinct())
+    sets = settled(_sets(docs, classes, open_classes.select("class"), method))
+    each = sets.join(open_classes, "class").select(
+        "class", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")
     )
-    facts = (
-        classes.select("class", "size", "sketch")
-        .join(sets.select("class"), "class", "left_semi")
-        .join(shared, "class", "left")
-        .withColumn("common", F.col("size") - F.coalesce("own", F.lit(0)))
-        .where(100 * F.col("common") >= method.percent * F.col("size"))
+    counts = each.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    rows = settled(open_rows.join(facts.drop("own"), "class"))
-    a = rows.select("key", *[F.col(c).alias(f"a_{c}") for c in FACTS])
-    b = rows.select("key", *[F.col(c).alias(f"b_{c}") for c in FACTS])
-    overlap = F.least("a_common", "b_common")
-    bound = (100 + method.percent) * overlap >= method.percent * (
-        F.col("a_size") + F.col("b_size")
+    rarest_first = Window.partitionBy("class").orderBy("n", "shingle")
+    # With a similarity of p per cent, size - ceil(p size / 100) shingles may be missing.
+    spare = F.col("size") - F.ceil(method.percent * F.col("size") / 100)
+    early = (
+        each.join(counts, "shingle")
+        .withColumn("place", F.row_number().over(rarest_first))
+        .where((F.col("place") <= spare + 1) & (F.col("low") != F.col("high")))
+        .select("shingle", *EARLY)
     )
+    early = settled(early)
+    a = early.select("shingle", *[F.col(c).alias(f"a_{c}") for c in EARLY])
+    b = early.select("shingle", *[F.col(c).alias(f"b_{c}") for c in EARLY])
     other = (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root"))
-    pairs = a.join(
-        b,
-        (a["key"] == b["key"]) & other & _sizes_allow(method) & bound & _sketches_allow(method),
+    left = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    enough = (1 + left) * (100 + method.percent) >= method.percent * (
+        F.col("a_size") + F.col("b_size")
     )
+    same = a["shingle"] == b["shingle"]
+    pairs = a.join(b, same & other & _sizes_allow(method) & enough)
     pairs = settled(pairs.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct())
     return settled(_verified(pairs, sets, method))
 
 
-FACTS = ("class", "root", "size", "sketch", "common")
+EARLY = ("class", "root", "size", "place")
 
 
 def _named(facts: DataFrame, side: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import chat, curriculum, hosts, ledger, neardup, packing, toxicity
+from tillcast.llm import chat, curriculum, descent, hosts, ledger, neardup, packing, toxicity
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import settled, work_path
 
@@ -285,3 +285,10 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
         toxicity.score(docs, fitted).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op7_nn_descent")
+def nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth, by cosine."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return descent.nearest(vectors, F.col("id") % 50 == 0, k=5)
