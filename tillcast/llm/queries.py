@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import chat, curriculum, descent, hosts, ledger, neardup, packing, toxicity
+from tillcast.llm import chat, curriculum, descent, hosts, ledger, neardup, packing, pages, toxicity
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import settled, work_path
 
@@ -292,3 +292,12 @@ def nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth, by cosine."""
     vectors = table(spark, sf_dir, "embeddings")
     return descent.nearest(vectors, F.col("id") % 50 == 0, k=5)
+
+
+@query("op1_boosted_dom")
+def boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    small_batches(spark, 500)
+    text = pages.main_text(spark)
+    found = table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
