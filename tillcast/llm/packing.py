@@ -19,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,12 @@ class Encoded(dict):
             self[word] = b"".join(ids[p] for p in parts)
 
 
+@lru_cache(maxsize=2)
+def encoded(spec: str) -> Encoded:
+    """One for all tasks of a Python worker, so that later tasks know the words of earlier ones."""
+    return Encoded(Tokenizer.from_str(spec))
+
+
 def piece_lengths(tokens: int, longest: int) -> list[int]:
     """Full pieces first, then the binary digits of the rest, largest first."""
     whole, rest = divmod(tokens, longest)
@@ -85,7 +92,7 @@ def _packer(method: Packing, spec: str, with_ids: bool):
     end = np.array([method.end], "<u4").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Encoded(Tokenizer.from_str(spec))
+        known = encoded(spec)
         for batch in batches:
             texts = [t.lower().split() for t in batch.column(1).to_pylist()]
             known.learn({word for text in texts for word in text})
