@@ -21,7 +21,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import floor, sqrt
 
@@ -38,14 +38,16 @@ from tillcast.session import settled
 
 @dataclass(frozen=True)
 class NearDup:
-    """Words in a shingle, and the least similarity of a link in per cent."""
+    """Words in a shingle, the least similarity of a link in per cent, and how sure the banding is."""
 
     words: int = 5
     percent: int = 80
+    miss: float = 1e-6
+    slots: int = 128
 
     @property
     def banding(self) -> sh.Banding:
-        return sh.Banding.tuned(self.percent / 100)
+        return sh.Banding.tuned(self.percent / 100, self.miss, self.slots)
 
     @property
     def least_agreeing(self) -> int:
@@ -54,6 +56,8 @@ class NearDup:
         return floor(m * (s - 5 * sqrt(s * (1 - s) / m)))
 
 
+SetsOf = Callable[[DataFrame], DataFrame]
+
 SIGNED = (
     "id long, handle long, size long, digest binary, bands array<long>, sketch array<long>"
 )
@@ -75,8 +79,8 @@ def _signer(method: NearDup):
                     batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([sh.digest(s) for s in sets], pa.binary()),
-                    _rows(sh.band_keys(signature, banding)),
-                    _rows(sh.sketches(signature)),
+                    as_lists(sh.band_keys(signature, banding)),
+                    as_lists(sh.sketches(signature)),
                 ],
                 names=["id", "handle", "size", "digest", "bands", "sketch"],
             )
@@ -84,7 +88,7 @@ def _signer(method: NearDup):
     return sign
 
 
-def _rows(table: np.ndarray) -> pa.Array:
+def as_lists(table: np.ndarray) -> pa.Array:
     """A two-dimensional table as an array of lists."""
     offsets = np.arange(len(table) + 1, dtype=np.int32) * table.shape[1]
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(table.reshape(-1)))
@@ -96,17 +100,21 @@ def _set_maker(method: NearDup):
         for batch in batches:
             texts = [sh.words_of(t) for t in batch.column(0).to_pylist()]
             sets = sh.shingled(texts, method.words, hashes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([sh.digest(s) for s in sets], pa.binary()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["digest", "shingles"],
-            )
+            yield set_batch(sets)
 
     return make
 
 
+def set_batch(sets: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([sh.digest(s) for s in sets], pa.binary()),
+            pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+        ],
+        names=["digest", "shingles"],
+    )
+
+
 def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, handle, text): the handle tells rows of one id apart by their texts."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -131,7 +139,9 @@ def _grouped(texts: DataFrame, method: NearDup) -> tuple[DataFrame, DataFrame]:
         )
         .withColumn("class", F.monotonically_increasing_id())
     )
-    root = components(links_between(texts, classes, method))
+    root = components(
+        links_between(classes, lambda wanted: _sets(texts, classes, wanted, method), method)
+    )
     named = (
         classes.select("digest", "class", "least")
         .join(root.withColumnRenamed("node", "class"), "class", "left")
@@ -174,8 +184,12 @@ def representatives(
     return found.join(chosen, same, "left_semi").dropDuplicates([id, handle]).drop(handle)
 
 
-def links_between(docs: DataFrame, classes: DataFrame, method: NearDup) -> DataFrame:
-    """(a, b) of linked classes, enough of them to have the components of all links."""
+def links_between(classes: DataFrame, sets_of: SetsOf, method: NearDup) -> DataFrame:
+    """(a, b) of linked classes, enough of them to have the components of all links.
+
+    ``classes`` has class, size, bands and sketch; ``sets_of`` gives (class, shingles) of the classes in
+    a table of one column.
+    """
     posted = classes.select("class", F.explode("bands").alias("key"))
     pivots = (
         posted.groupBy("key")
@@ -192,15 +206,13 @@ def links_between(docs: DataFrame, classes: DataFrame, method: NearDup) -> DataF
         .where(_sizes_allow(method) & _sketches_allow(method))
         .select("a", "b")
     )
-    sets = settled(_sets(docs, classes, star.select("a").union(star.select("b")), method))
+    sets = settled(sets_of(star.select("a").union(star.select("b"))))
     near = settled(_verified(star, sets, method))
-    rest = _rest(docs, classes, posted, components(near), method)
+    rest = _rest(posted, components(near), sets_of, method)
     return near.unionByName(rest)
 
 
-def _rest(
-    docs: DataFrame, classes: DataFrame, posted: DataFrame, root: DataFrame, method: NearDup
-) -> DataFrame:
+def _rest(posted: DataFrame, root: DataFrame, sets_of: SetsOf, method: NearDup) -> DataFrame:
     """Links between different components of ``root`` that share a bucket."""
     rooted = posted.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
@@ -212,7 +224,7 @@ def _rest(
         .select("key")
     )
     open_classes = settled(rooted.join(mixed, "key").select("class", "root").distinct())
-    sets = settled(_sets(docs, classes, open_classes.select("class"), method))
+    sets = settled(sets_of(open_classes.select("class")))
     each = sets.join(open_classes, "class").select(
         "class", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")
     )

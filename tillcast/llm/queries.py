@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import chat, curriculum, descent, hosts, ledger, neardup, packing, pages, toxicity
+from tillcast.llm import chat, curriculum, descent, hosts, ledger, neardup, packing, pages, passages, toxicity
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import settled, work_path
 
@@ -301,3 +301,10 @@ def boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = pages.main_text(spark)
     found = table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op3_paragraph_minhash")
+def paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of every document that repeat across documents."""
+    small_batches(spark)
+    return passages.repeated(table(spark, sf_dir, "documents"))
