@@ -13,9 +13,12 @@ import re
 from collections import Counter
 from collections.abc import Iterable
 
+import numpy as np
+
 CONTEXT = 5  # letters before the one that is predicted
 DISCOUNT = 0.75
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
+CACHED_SEQUENCES = 1_000_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -24,11 +27,11 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def sequences(word: str) -> Iterable[str]:
+def sequences(word: str) -> list[str]:
     """Every letter of the word, and its end, behind its context."""
-    marked = f"^{word}$"
-    for i in range(1, len(marked)):
-        yield marked[max(0, i - CONTEXT) : i + 1]
+    marked, size = f"^{word}$", CONTEXT + 1
+    short = [marked[:i] for i in range(2, min(len(marked), size) + 1)]
+    return short + [marked[i : i + size] for i in range(1, len(marked) - CONTEXT)]
 
 
 class Model:
@@ -51,7 +54,8 @@ class Model:
         self.alphabet = len({s[-1] for s in every}) + 1
         self.seen, self.left = _discounted(every)
         self.seen_by, self.left_by = zip(*map(_discounted, own))
-        self.cache: dict[str, tuple[float, int]] = {}
+        self.steps = Steps(self)
+        self.words = Words(self.steps)
 
     def backoff(self, sequence: str) -> float:
         """Probability of the last letter behind the rest, by continuations of both classes."""
@@ -64,29 +68,46 @@ class Model:
             sequence = sequence[1:]
         return found + weight / self.alphabet
 
-    def ratio(self, word: str) -> float:
-        """Log-likelihood under class 1 less that under class 0, per letter."""
-        made = self.cache.get(word)
-        if made is None:
-            if len(self.cache) >= CACHED_WORDS:
-                self.cache.clear()
-            made = self.cache[word] = self._ratio(word)
+    def step(self, sequence: str) -> float:
+        """Log-likelihood of the last letter under class 1 less that under class 0."""
+        context = sequence[:-1]
+        shares = [left.get(context) for left in self.left_by]
+        if shares == [None, None]:
+            return 0.0  # both leave it to the shared counts
+        rest = self.backoff(sequence[1:])
+        p = [
+            rest if share is None else seen.get(sequence, 0.0) + share * rest
+            for seen, share in zip(self.seen_by, shares)
+        ]
+        return math.log(p[1] / p[0])
+
+
+class Steps(dict):
+    """What each sequence of letters tells, remembered; forgets everything when it holds too many."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, sequence: str) -> float:
+        if len(self) >= CACHED_SEQUENCES:
+            self.clear()
+        self[sequence] = made = self.model.step(sequence)
         return made
 
-    def _ratio(self, word: str) -> float:
-        total = 0.0
-        for sequence in sequences(word):
-            context = sequence[:-1]
-            shares = [left.get(context) for left in self.left_by]
-            if shares == [None, None]:
-                continue  # both leave it to the shared counts
-            rest = self.backoff(sequence[1:])
-            p = [
-                rest if share is None else seen.get(sequence, 0.0) + share * rest
-                for seen, share in zip(self.seen_by, shares)
-            ]
-            total += math.log(p[1] / p[0])
-        return total / (len(word) + 1)
+
+class Words(dict):
+    """What each word tells, all its letters added up; remembered likewise."""
+
+    def __init__(self, steps: Steps):
+        super().__init__()
+        self.steps = steps
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = made = sum(map(self.steps.__getitem__, sequences(word)))
+        return made
 
 
 def _discounted(counts: Counter) -> tuple[dict[str, float], dict[str, float]]:
@@ -116,22 +137,18 @@ def features(model: Model, text: str) -> tuple[float, ...]:
     words = words_of(text)
     if not words:
         return (0.0,) * len(FEATURES)
-    ratios = [model.ratio(word) for word in words]
-    letters = [len(word) + 1 for word in words]
-    weighted = [r * n for r, n in zip(ratios, letters)]
-    different = dict(zip(words, zip(weighted, ratios)))
+    told = model.words
+    different = list(set(words))
+    sums = np.fromiter(map(told.__getitem__, different), float, len(different))
+    means = sums / (np.fromiter(map(len, different), float, len(different)) + 1)
     tops = []
-    for kind in zip(*different.values()):
-        top = sorted(kind, reverse=True)[:TOP]
-        tops += [max(x, 0.0) for x in top] + [0.0] * (TOP - len(top))
-    at = size = 0.0
-    best = -math.inf
-    for i, (value, n) in enumerate(zip(weighted, letters)):
-        at += value
-        size += n
-        if i >= STRETCH:
-            at -= weighted[i - STRETCH]
-            size -= letters[i - STRETCH]
-        if i >= STRETCH - 1 or i == len(words) - 1:
-            best = max(best, at / size)
-    return (*tops, best, sum(weighted) / sum(letters), math.log(len(different)))
+    for kind in (sums, means):
+        top = np.sort(np.partition(kind, -TOP)[-TOP:] if len(kind) > TOP else kind)[::-1]
+        tops += [max(x, 0.0) for x in top.tolist()] + [0.0] * (TOP - len(top))
+    upto = np.zeros((2, len(words) + 1))
+    np.cumsum(np.fromiter(map(told.__getitem__, words), float, len(words)), out=upto[0, 1:])
+    np.cumsum(np.fromiter(map(len, words), float, len(words)) + 1, out=upto[1, 1:])
+    stretch = min(STRETCH, len(words))
+    inside = upto[:, stretch:] - upto[:, :-stretch]
+    whole = upto[0, -1] / upto[1, -1]
+    return (*tops, float((inside[0] / inside[1]).max()), float(whole), math.log(len(different)))
