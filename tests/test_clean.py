@@ -12,9 +12,21 @@ from tillcast.functions.columns import (
     sorted_json,
 )
 from tillcast.operators.clean import clean_serving, clean_training, drop_leakage, treat_target
-from tillcast.params import SOURCE_FILE, ColumnRoles, JobParams, TargetParams
-from tillcast.sources.files import locate_dimension, read_file, read_sources, union_sources
-from tillcast.params import DimensionParams
+from tillcast.params import (
+    SOURCE_FILE,
+    ColumnRoles,
+    DimensionParams,
+    FileParams,
+    JobParams,
+    TargetParams,
+)
+from tillcast.sources.files import (
+    locate_dimension,
+    read_file,
+    read_sources,
+    union_sources,
+    with_times,
+)
 
 
 def values(frame, name):
@@ -116,3 +128,25 @@ def test_sources(spark, tmp_path):
     given = DimensionParams(path="elsewhere.csv")
     assert locate_dimension(spark, given, paths) == "elsewhere.csv"
     assert locate_dimension(spark, DimensionParams(file_name="none.csv"), paths) is None
+
+
+def test_csv_as_other_tools_write_it(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Store,Name,n\n1,"a ""b"" c",5\n2,"two\nlines",6\n3,NA,NaN\n')
+    rows = read_file(spark, str(tmp_path / "a.csv")).collect()
+    assert [(r["Store"], r["Name"], r["n"]) for r in rows] == [
+        ("1", 'a "b" c', "5"), ("2", "two\nlines", "6"), ("3", None, None),
+    ]
+    single = read_file(spark, str(tmp_path / "a.csv"), files=FileParams(False, ("5",))).collect()
+    assert len(single) == 4 and single[0]["n"] is None and single[3]["Name"] == "NA"
+
+
+def test_time_formats_are_tried_in_order(spark):
+    texts = ["2015-07-31", "31.07.2015", "7/31/2015", "2015/07/31", "soon"]
+    frame = spark.createDataFrame([(t, 1.0) for t in texts], "Date string, Sales double")
+    formats = ("dd.MM.yyyy", "M/d/yyyy", "yyyy/MM/dd")
+    params = JobParams(files=FileParams(time_formats=formats))
+    assert {str(v)[:10] for v in values(clean_training(frame, params), "Date")} == {"2015-07-31"}
+    assert clean_training(frame, params).count() == 4
+    assert clean_training(frame, JobParams()).count() == 1
+    made = with_times(frame, ["Date"], formats)
+    assert dict(made.dtypes)["Date"] == "timestamp_ntz"

@@ -61,3 +61,18 @@ def test_large_dimension_takes_the_salted_path(spark, facts):
     dimension = stores(spark, [(1, "a"), (2, "b")])
     made = enrich(facts, dimension, STORES, broadcast_bytes=0)
     assert made.columns == ["Store", "Sales", "StoreType"] and made.count() == 3
+
+
+def test_fact_without_store_fails_whichever_columns_are_read(spark, facts):
+    made = enrich(facts, stores(spark, [(1, "a")]), STORES)
+    with pytest.raises(Exception, match="no StoreType for Store 2"):
+        made.agg({"Sales": "avg"}).collect()
+    with pytest.raises(Exception, match="no StoreType for Store 2"):
+        made.count()
+
+
+def test_salted_join_of_rows_that_hold_a_map(spark):
+    facts = spark.range(4).selectExpr("id % 2 as k", "struct(map('a', id) as m, array(id) as n) as s")
+    lookup = spark.range(2).selectExpr("id as k", "id + 10 as w")
+    made = salted_lookup_join(facts, lookup, "k", hot_share=0.01, salts=4).collect()
+    assert sorted((r["s"]["m"]["a"], r["w"]) for r in made) == [(0, 10), (1, 11), (2, 10), (3, 11)]

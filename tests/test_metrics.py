@@ -70,6 +70,11 @@ def test_p_value(r, n, expected):
 def test_p_value_of_many_rows():
     assert pearson_p_value(0.01, 1_000_000) == pytest.approx(1.5e-23, rel=0.05)
     assert pearson_p_value(None, 10) is None
+    # One standard error off, where the normal law holds to the last digits.
+    rows = 10**12
+    t = 1.0
+    r = t / (rows - 2 + t * t) ** 0.5
+    assert pearson_p_value(r, rows) == pytest.approx(0.31731050786, rel=1e-9)
 
 
 def test_baselines_and_leaderboard(spark):

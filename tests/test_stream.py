@@ -2,10 +2,12 @@ from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql.functions import xxhash64
 
 from tillcast.models.mean import MeanRegressor
 from tillcast.operators.history import update_timeline
 from tillcast.params import SOURCE_FILE, ColumnRoles, ModelParams
+from tillcast.sources.files import path_exists
 from tillcast.streaming.replay import Replay, updated_model
 
 
@@ -23,8 +25,16 @@ def mean_of(name):
     return MeanRegressor()
 
 
-def replay_of(source, params, workspace, **more):
-    return Replay(lambda: source, params, workspace, mean_of, **more)
+def streamed(source, workspace, files=3):
+    """The rows as a stream of some files, dealt without regard to their days."""
+    path = workspace.path("incoming")
+    if not path_exists(workspace.spark, path):
+        source.repartition(files, xxhash64("Date", "Store")).write.parquet(path)
+    return lambda: workspace.spark.readStream.schema(source.schema).parquet(path)
+
+
+def replay_of(source, params, workspace, make=mean_of, **more):
+    return Replay(streamed(source, workspace), params, workspace, make, **more)
 
 
 def committed(workspace):
@@ -56,6 +66,9 @@ def test_failure_keeps_the_cursor_and_the_landed_rows(store_sales, store_params,
     assert failing.cursor() == 0 and workspace.raw.read().count() == 6
     row = workspace.operations.read().where("operation = 'update'").first()
     assert row["status"] == "failure" and "lost" in row["error_message"]
+    assert replay_of(store_sales, store_params, workspace).update() == 1
+    rows = workspace.operations.read().where("run_id like 'batch-0-%'").collect()
+    assert sorted(r["status"] for r in rows) == ["failure", "success"]
 
 
 def tables(workspace):
@@ -92,7 +105,7 @@ def test_restart_gives_what_a_clean_run_gives(spark, store_sales, store_params,
 
 def test_tested_before_trained(store_sales, store_params, workspace):
     params = three_day_batches(store_params)
-    replay_of(store_sales, params, workspace, with_quality=False).update()
+    replay_of(store_sales, params, workspace).update()
     rows = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
     # Sales are 100 + day: the mean of the initial ten days, then of all days before the batch.
     assert [r["prediction_mean"] for r in rows] == pytest.approx([104.5, 108.0])
@@ -105,7 +118,7 @@ def test_tested_before_trained(store_sales, store_params, workspace):
 
 def test_order_and_repetition(spark, store_sales, store_params, workspace):
     params = three_day_batches(store_params)
-    replay = replay_of(store_sales, params, workspace, with_quality=False)
+    replay = replay_of(store_sales, params, workspace)
     assert replay.update(1) == 1
     before = tables_without_quality(workspace)
     first = spark.sql(
@@ -154,7 +167,7 @@ def test_incremental_update_is_for_gradient_descent(store_sales, store_params, w
         stream_batch_days=3, parameters={"sgd": {"max_iter": 20}},
     )
     params = replace(store_params, model=model)
-    replay = Replay(lambda: store_sales, params, workspace, with_quality=False)
+    replay = replay_of(store_sales, params, workspace, make=None)
     assert replay.update() == 2
     rows = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
     assert [r["train_rows"] for r in rows] == [3, 3]
@@ -165,7 +178,7 @@ def test_incremental_update_is_for_gradient_descent(store_sales, store_params, w
 
 
 def test_an_unfit_current_model_is_refused(store_sales, store_params, workspace):
-    replay = replay_of(store_sales, store_params, workspace, with_quality=False)
+    replay = replay_of(store_sales, store_params, workspace)
     replay.update(1)
     changed = replace(
         store_params, model=replace(store_params.model, parameters={"ridge": {"alpha": 9.0}})
@@ -184,3 +197,26 @@ def test_empty_stream(store_sales, store_params, workspace):
     params = replace(store_params, model=model)
     assert replay_of(frame, params, workspace).update() == 0
     assert committed(workspace) == []
+
+
+def test_files_in_any_order_give_the_same_batches(spark, store_sales, store_params, workspace):
+    """Days land last first, each in a file of its own, one after the other."""
+    params = three_day_batches(store_params)
+    path = workspace.path("incoming")
+    for n in reversed(range(1, 21)):
+        store_sales.where(f"day(Date) = {n}").coalesce(1).write.mode("append").parquet(path)
+    assert replay_of(store_sales, params, workspace).update() == 2
+    rows = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
+    assert [r["prediction_mean"] for r in rows] == pytest.approx([104.5, 108.0])
+
+
+def test_rows_that_land_late_join_the_next_refit(store_sales, store_params, workspace):
+    params = three_day_batches(store_params)
+    path = workspace.path("incoming")
+    store_sales.write.parquet(path)
+    replay = replay_of(store_sales, params, workspace)
+    assert replay.update(1) == 1
+    store_sales.where("day(Date) = 3").write.mode("append").parquet(path)
+    assert replay.update(1) == 1
+    rows = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
+    assert [r["train_rows"] for r in rows] == [17, 21]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 CLOSE_ABSOLUTE = 1e-8
@@ -30,13 +32,19 @@ def number(frame: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def moment(frame: DataFrame, name: str) -> Column:
-    """The column as a timestamp without zone; whatever does not parse becomes null."""
+def moment(frame: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
+    """The column as a timestamp without zone; whatever does not parse becomes null.
+
+    Texts are tried as ISO times first, then in each of the formats.
+    """
     kind = frame.schema[name].dataType
     raw = quoted(name)
     if isinstance(kind, T.TimestampNTZType):
         return raw
-    if isinstance(kind, (T.TimestampType, T.DateType, T.StringType)):
+    if isinstance(kind, T.StringType):
+        tried = [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in formats]
+        return F.coalesce(raw.try_cast("timestamp_ntz"), *tried)
+    if isinstance(kind, (T.TimestampType, T.DateType)):
         return raw.try_cast("timestamp_ntz")
     return raw.cast("string").try_cast("timestamp_ntz")
 

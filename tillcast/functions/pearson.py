@@ -11,21 +11,32 @@ def pearson_p_value(r: float | None, rows: int) -> float | None:
         return None
     if rows == 2:
         return 1.0
-    x = max(0.0, 1.0 - min(1.0, abs(r)) ** 2)
-    return _regularised_beta(x, (rows - 2) / 2.0, 0.5)
+    return _regularised_beta(min(1.0, abs(r)) ** 2, (rows - 2) / 2.0, 0.5)
 
 
-def _regularised_beta(x: float, a: float, b: float) -> float:
-    if x <= 0.0:
+def _regularised_beta(y: float, a: float, b: float) -> float:
+    """I(1 - y; a, b); with y given, as 1 - y has lost the digits of a small one."""
+    x = 1.0 - y
+    if y >= 1.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
+    front = math.exp(_log_gamma_gain(a, b) - math.lgamma(b) + a * math.log1p(-y) + b * math.log(y))
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _continued_fraction(x, a, b) / a
-    return 1.0 - front * _continued_fraction(1.0 - x, b, a) / b
+    return 1.0 - front * _continued_fraction(y, b, a) / b
+
+
+def _log_gamma_gain(a: float, b: float) -> float:
+    """log gamma(a + b) - log gamma(a); for a large a by the series, as the difference loses digits."""
+    if a < 100.0:
+        return math.lgamma(a + b) - math.lgamma(a)
+
+    def rest(z: float) -> float:
+        return 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+
+    more = (a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b
+    return more + rest(a + b) - rest(a)
 
 
 def _continued_fraction(x: float, a: float, b: float, terms: int = 10_000) -> float:

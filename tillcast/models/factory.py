@@ -16,13 +16,33 @@ from tillcast.params import ModelParams, canonical_model_name
 from tillcast.sources.tables import records
 
 MAX_DEPTH = 30  # the library's limit, used where no depth is set
-MAX_BINS = 256
+MAX_BINS = 256  # used where no number of bins is set
+# The hyperparameters each model knows.
+KNOWN = {
+    "knn_regression": {"n_neighbors", "weights"},
+    "ridge_regression": {"alpha"},
+    "sgd_regression": {"alpha", "max_iter", "tol"},
+    "decision_tree_regression": {"max_depth", "min_samples_leaf", "random_state", "max_bins"},
+    "random_forest_regression": {
+        "n_estimators",
+        "max_depth",
+        "min_samples_leaf",
+        "random_state",
+        "max_bins",
+        "bootstrap",
+    },
+}
 TREE_MEMORY_MB = 1024
 
 
 def make_estimator(name: str, hyperparameters: Mapping[str, Any], seed: int) -> Estimator:
     given = dict(hyperparameters)
     known = canonical_model_name(name)
+    if known not in KNOWN:
+        raise ValueError(f"unknown model: {name}")
+    strange = sorted(given.keys() - KNOWN[known])
+    if strange:
+        raise ValueError(f"unknown hyperparameters of {known}: {', '.join(strange)}")
     if known == "knn_regression":
         return KnnRegressor(
             k=int(given.get("n_neighbors", 5)), weights=str(given.get("weights", "uniform"))
@@ -35,20 +55,24 @@ def make_estimator(name: str, hyperparameters: Mapping[str, Any], seed: int) ->
             maxIter=int(given.get("max_iter", 1000)),
             tol=float(given.get("tol", 0.001)),
         )
+    depth = MAX_DEPTH if given.get("max_depth") is None else int(given["max_depth"])
+    if not 0 <= depth <= MAX_DEPTH:
+        raise ValueError(f"max_depth must be from 0 to {MAX_DEPTH}: {depth}")
     tree = {
-        "maxDepth": min(int(given.get("max_depth") or MAX_DEPTH), MAX_DEPTH),
+        "maxDepth": depth,
         "minInstancesPerNode": int(given.get("min_samples_leaf", 1)),
-        "maxBins": MAX_BINS,
+        "maxBins": int(given.get("max_bins", MAX_BINS)),
         "seed": int(given.get("random_state", seed)),
         "maxMemoryInMB": TREE_MEMORY_MB,
     }
     if known == "decision_tree_regression":
         return DecisionTreeRegressor(**tree)
-    if known == "random_forest_regression":
-        return RandomForestRegressor(
-            numTrees=int(given.get("n_estimators", 100)), featureSubsetStrategy="all", **tree
-        )
-    raise ValueError(f"unknown model: {name}")
+    return RandomForestRegressor(
+        numTrees=int(given.get("n_estimators", 100)),
+        featureSubsetStrategy="all",
+        bootstrap=bool(given.get("bootstrap", True)),
+        **tree,
+    )
 
 
 def estimator_for(params: ModelParams, name: str) -> Estimator:
@@ -76,9 +100,13 @@ def importances(model: object, names: list[str]) -> list[tuple[str, float]] | No
     return [(name, float(value)) for name, value in zip(names, values)]
 
 
-def top_features(spark: SparkSession, model: object, names: list[str]) -> DataFrame:
-    """Features by falling absolute weight; one row per feature, none for other models."""
+def top_features(
+    spark: SparkSession, model: object, names: list[str], first: int | None = None
+) -> DataFrame:
+    """Features by falling absolute weight, all or the first few; none for other models."""
     rows = importances(model, names) or []
     made = records(spark, rows, "feature string, value double")
     ranked = made.withColumn("abs_value", F.abs("value"))
+    if first is not None:
+        return ranked.orderBy(F.desc("abs_value"), "feature").limit(first)
     return ranked.sortWithinPartitions(F.desc("abs_value"), "feature")

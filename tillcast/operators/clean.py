@@ -17,7 +17,7 @@ def parse_time(frame: DataFrame, params: JobParams) -> DataFrame:
     """Parse the time column and drop the rows where that fails."""
     name = params.time_column
     require_column(frame, name, "time")
-    return frame.withColumn(name, moment(frame, name)).where(quoted(name).isNotNull())
+    return frame.withColumn(name, moment(frame, name, params.files.time_formats)).where(quoted(name).isNotNull())
 
 
 def treat_target(frame: DataFrame, params: JobParams) -> DataFrame:
@@ -49,7 +49,7 @@ def apply_types(frame: DataFrame, params: JobParams) -> DataFrame:
             typed[name] = text(name)
     for name in roles.datetime:
         if name in frame.columns and name != params.time_column:
-            typed[name] = moment(frame, name)
+            typed[name] = moment(frame, name, params.files.time_formats)
     return frame.withColumns(typed) if typed else frame
 
 

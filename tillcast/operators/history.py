@@ -119,9 +119,11 @@ class Operations:
         finally:
             if status == "failure":
                 fields["output_rows"] = None
+            attempt = uuid.uuid4().hex
             row = {
                 **fields,
-                "run_id": run_id or uuid.uuid4().hex,
+                # Every attempt has a record of its own, so a retry doesn't hide a failure.
+                "run_id": f"{run_id}-{attempt}" if run_id else attempt,
                 "timestamp": datetime.now(timezone.utc),
                 "operation": operation,
                 "status": status,
@@ -133,8 +135,3 @@ class Operations:
 
     def read(self) -> DataFrame:
         return self.table.read(OPERATIONS)
-
-
-def as_batch(rows: DataFrame, batch_id: Column | int) -> DataFrame:
-    value = batch_id if isinstance(batch_id, Column) else F.lit(batch_id).cast("long")
-    return rows.withColumn("batch_id", value)

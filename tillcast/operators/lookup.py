@@ -66,7 +66,7 @@ def salted_lookup_join(
         .select(key, F.lit(True).alias("_hot"))
     )
     # From the row itself: a task that is run again must send its rows the same way.
-    hashed = [f.name for f in facts.schema.fields if not isinstance(f.dataType, T.MapType)]
+    hashed = [f.name for f in facts.schema.fields if not _holds_map(f.dataType)]
     salt = F.pmod(F.xxhash64(*map(quoted, hashed)), F.lit(salts)).cast("int")
     # Keyless rows find nothing, they only have to be spread.
     spread = facts.join(F.broadcast(hot), key, "left").withColumn(
@@ -83,6 +83,15 @@ def salted_lookup_join(
     return spread.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], "left").drop("_salt")
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether a map, which has no hash, lies anywhere in the type."""
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_holds_map(f.dataType) for f in kind.fields)
+
+
 def enrich(
     facts: DataFrame,
     dimension: DataFrame | None,
@@ -92,7 +101,8 @@ def enrich(
     """Left join the store dimension, many to one; a fact without its store is an error.
 
     Skipped when there is no dimension, no key in the facts, or the facts are enriched already.
-    The missing-store check rides on the joined rows: it costs no pass of its own.
+    The missing-store check is a filter on the joined rows: it costs no pass of its own and holds
+    whichever columns are read.
     """
     if params.key not in facts.columns or params.check_column in facts.columns:
         return facts
@@ -107,17 +117,13 @@ def enrich(
     dimension = dimension.withColumn(params.key, quoted(params.key).cast(key_type))
     joined = lookup_join(facts, dimension, params.key, size, broadcast_bytes)
     check = quoted(params.check_column)
-    joined = joined.withColumn(
-        params.check_column,
-        F.when(check.isNotNull(), check).otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit(f"no {params.check_column} for {params.key} "),
-                    F.coalesce(quoted(params.key).cast("string"), F.lit("null")),
-                )
-            )
-        ),
+    missing = F.raise_error(
+        F.concat(
+            F.lit(f"no {params.check_column} for {params.key} "),
+            F.coalesce(quoted(params.key).cast("string"), F.lit("null")),
+        )
     )
+    joined = joined.where(F.when(check.isNotNull(), F.lit(True)).otherwise(missing.cast("boolean")))
     added = [name for name in dimension.columns if name != params.key]
     return joined.select(*map(quoted, [*facts.columns, *added]))
 

@@ -203,6 +203,8 @@ def quality_report(
         _missing(frame).alias("missing_cells"),
         iso_day(F.min(at)).alias("date_min"),
         iso_day(F.max(at)).alias("date_max"),
+        F.date_format(F.min(at), "yyyy-MM-dd HH:mm:ss").alias("time_min"),
+        F.date_format(F.max(at), "yyyy-MM-dd HH:mm:ss").alias("time_max"),
         F.array_compact(flags).alias("constant_columns"),
     )
     present = [c for c in params.roles.categorical if c in names]
@@ -220,6 +222,8 @@ def quality_report(
         F.lit(len(names)).alias("columns"),
         "date_min",
         "date_max",
+        "time_min",
+        "time_max",
         share(F.col("missing_cells"), F.col("rows") * len(names)).alias("missing_part"),
         F.col("copies.duplicate_rows"),
         F.col("copies.duplicate_part"),

@@ -71,6 +71,26 @@ class DimensionParams:
     external_dir: str | None = None
 
 
+# Texts that stand for a missing value in CSV files.
+NULL_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+@dataclass(frozen=True)
+class FileParams:
+    """How CSV is read, and which time formats are tried, in order, after the ISO ones.
+
+    A quoted line break needs ``multi_line``, with which a file is read by one task; without it
+    large files are split.
+    """
+
+    multi_line: bool = True
+    null_texts: tuple[str, ...] = NULL_TEXTS
+    time_formats: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class TargetParams:
     missing_strategy: str = "drop"
@@ -103,6 +123,7 @@ class ModelParams:
     stream_ratio: float = 0.30
     rolling_train_period_days: int = 365
     random_seed: int = 42
+    training_partitions: int = 32
     parameters: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -133,6 +154,7 @@ class ModelParams:
             f"update_strategy must be one of {sorted(UPDATE_STRATEGIES)}",
         )
         _require(self.stream_batch_days > 0, "stream_batch_days must be positive")
+        _require(self.training_partitions > 0, "training_partitions must be positive")
         _require(
             self.rolling_train_period_days > 0,
             "rolling_train_period_days must be positive",
@@ -177,6 +199,7 @@ class JobParams:
     leakage_columns: tuple[str, ...] = ("Customers",)
     roles: ColumnRoles = ColumnRoles()
     dimension: DimensionParams = DimensionParams()
+    files: FileParams = FileParams()
     target: TargetParams = TargetParams()
     model: ModelParams = ModelParams()
     project: str = "sales_forecasting"
@@ -192,6 +215,7 @@ class JobParams:
         sections = {
             "roles": ColumnRoles,
             "dimension": DimensionParams,
+            "files": FileParams,
             "target": TargetParams,
             "model": ModelParams,
         }
@@ -201,7 +225,7 @@ class JobParams:
         return cls(**_tuples(made))
 
 
-# The column roles of the store-sales data this pipeline was first meant for.
+# The column roles of the store-sales data this pipeline was first meant for.
 STORE_SALES_ROLES = ColumnRoles(
     numeric=(
         "DayOfWeek",

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillcast.functions.columns import moment, not_below_zero, quoted
@@ -62,21 +63,28 @@ def fit_model(
     rows = training_rows(frame, params)
     require_rows(rows.select(LABEL), MIN_TRAINING_ROWS, "training")
     preprocessor = fit_preprocessor(rows, params)
-    with held_vectors(preprocessor, rows) as vectors:
+    with held_vectors(preprocessor, rows, params.model.training_partitions) as vectors:
         return fit_on_vectors(preprocessor, vectors, params, name, make)
 
 
 @contextmanager
-def held_vectors(preprocessor: PipelineModel, rows: DataFrame) -> Iterator[DataFrame]:
+def held_vectors(
+    preprocessor: PipelineModel, rows: DataFrame, partitions: int
+) -> Iterator[DataFrame]:
     """Feature vectors and labels, kept while models that read them many times are fitted.
 
-    A source of fewer partitions than there are cores is spread over all of them first.
+    Rows are dealt by their own hash to a fixed number of partitions and ordered there, as trees
+    draw their samples partition by partition: the model is the same on any cluster.
     """
     made = preprocessor.transform(rows).select(FEATURES, LABEL)
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if made.rdd.getNumPartitions() < cores:
-        made = made.repartition(cores)
-    made = made.persist()
+    hashed = F.xxhash64(vector_to_array(FEATURES), LABEL)
+    made = (
+        made.withColumn("_hash", hashed)
+        .repartition(partitions, "_hash")
+        .sortWithinPartitions("_hash", LABEL)
+        .drop("_hash")
+        .persist()
+    )
     try:
         yield made
     finally:

@@ -34,7 +34,13 @@ from tillcast.plans.fitting import (
     score,
     training_rows,
 )
-from tillcast.sources.files import read_dimension, read_file, read_sources, tag_source
+from tillcast.sources.files import (
+    read_dimension,
+    read_file,
+    read_sources,
+    tag_source,
+    with_times,
+)
 from tillcast.sources.tables import BATCH_METADATA, KeyedTable, records
 
 
@@ -92,8 +98,11 @@ class Workspace:
 
 def load_source(spark: SparkSession, paths: Sequence[str], params: JobParams) -> DataFrame:
     """Union of the fact files with the store dimension joined on."""
-    facts = read_sources(spark, paths)
-    return enrich(facts, read_dimension(spark, params.dimension, paths), params.dimension)
+    facts = read_sources(spark, paths, files=params.files)
+    times = (params.time_column, *params.roles.datetime)
+    facts = with_times(facts, times, params.files.time_formats)
+    dimension = read_dimension(spark, params.dimension, paths, files=params.files)
+    return enrich(facts, dimension, params.dimension)
 
 
 def write_diagnostics(
@@ -150,7 +159,7 @@ def train_candidates(
     require_rows(validation, 1, "validation")
     preprocessor = fit_preprocessor(initial, params)
     made = {}
-    with held_vectors(preprocessor, initial) as vectors:
+    with held_vectors(preprocessor, initial, params.model.training_partitions) as vectors:
         for name in names:
             model = fit_on_vectors(preprocessor, vectors, params, name, make)
             made[name] = (model, predict(model, validation, params, keep=[params.time_column]))
@@ -297,12 +306,8 @@ def score_rows(
             tag_source(raw) if file_name is None else raw.withColumn(SOURCE_FILE, F.lit(file_name))
         )
     prepared = enrich(prepared.select("*", originals), dimension, params.dimension)
-    at = moment(prepared, params.time_column)
-    whole = at.isNotNull()
-    if params.dimension.check_column in prepared.columns:
-        # Reading the column keeps its own check in the plan, whatever the model uses.
-        whole &= F.coalesce(F.length(quoted(params.dimension.check_column)), F.lit(0)) >= 0
-    prepared = prepared.withColumns({"_whole": whole, params.time_column: at})
+    at = moment(prepared, params.time_column, params.files.time_formats)
+    prepared = prepared.withColumns({"_whole": at.isNotNull(), params.time_column: at})
     prepared = prepared.transform(apply_types, params).transform(drop_leakage, params)
     scored = model.transform(with_features(prepared, params))
     lost = F.raise_error(F.lit(f"{params.time_column} does not parse; no row may be lost"))
@@ -332,10 +337,11 @@ def score_file(
         model_name=params.model.selected,
         input_path=path,
     ) as record:
-        raw = read_file(spark, path, schema)
-        best = None
+        best = registry.best() if model is None else None
+        # Known before anything can go wrong, so that a failure is recorded with it.
+        record["model_path"] = best["model_path"] if best else None
+        raw = read_file(spark, path, schema, params.files)
         if model is None:
-            best = registry.best()
             model = registry.load(best, "best")
         scored = score_rows(raw, model, params, dimension, path.rstrip("/").rpartition("/")[2])
         watched, counts = _observed(scored, f"scored_{run}")
@@ -346,7 +352,6 @@ def score_file(
             output_rows=rows,
             output_path=output,
             artifact_path=output,
-            model_path=best["model_path"] if best else None,
         )
     return output
 

@@ -14,11 +14,13 @@ from tillcast.operators.clean import (
     treat_target,
 )
 from tillcast.operators.features import build_features
+from tillcast.operators.lookup import enrich
 from tillcast.params import ColumnRoles, JobParams
 from tillcast.queries.data import (
     FACT_SQL,
     GAPPY_SQL,
     ORDERS,
+    customers,
     fact,
     gappy,
     orders,
@@ -34,6 +36,13 @@ def left_enrich(spark, folder):
     return fact(spark, folder)
 
 
+@query("left_enrich_salted", f"WITH {FACT_SQL} SELECT * FROM fact")
+def left_enrich_salted(spark, folder):
+    """The same without a broadcast: hot keys salted, both sides shuffled."""
+    found = orders(spark, folder)
+    return enrich(found, customers(spark, folder), ORDERS.dimension, broadcast_bytes=0)
+
+
 @query(
     "union_sources",
     """WITH united AS (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tillcast.operators.diagnostics import (
     daily_timeline,
@@ -17,6 +17,7 @@ from tillcast.operators.metrics import (
     leaderboard,
     regression_metrics,
 )
+from tillcast.operators.ranking import ONE_TASK_ROWS
 from tillcast.queries.data import (
     BATCHED_SQL,
     PREDICTED_SQL,
@@ -27,7 +28,6 @@ from tillcast.queries.data import (
     split_fact,
 )
 from tillcast.queries.registry import query
-from tillcast.sources.tables import records
 
 RANGE_SQL = """min(prediction) AS prediction_min, max(prediction) AS prediction_max,
         avg(CASE WHEN actual = 0 THEN 1 ELSE 0 END) AS actual_zero_rate,
@@ -104,10 +104,10 @@ def _segment_and_baselines(spark, folder):
     FROM every""",
 )
 def ranked(spark, folder):
-    found = leaderboard(_segment_and_baselines(spark, folder)).limit(10)
-    rows = found.select("model_name", "rmse").collect()
-    placed = [(r["model_name"], r["rmse"], i + 1) for i, r in enumerate(rows)]
-    return rounded(records(spark, placed, "model_name string, rmse double, place long"), 4, "rmse")
+    found = _segment_and_baselines(spark, folder).select("model_name", "rmse")
+    # One row per model.
+    place = F.row_number().over(Window.orderBy("rmse")).cast("long")
+    return rounded(found.withColumn("place", place), 4, "rmse")
 
 
 @query(
@@ -172,9 +172,7 @@ def residual_histogram(spark, folder):
     return rounded(histogram(found, "residual"), 4, "bin_low", "bin_high")
 
 
-@query(
-    "scatter_sample",
-    f"""WITH {PREDICTED_SQL}, placed AS (
+SAMPLE_SQL = f"""WITH {PREDICTED_SQL}, placed AS (
         SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS position,
             count(*) OVER () AS n FROM predicted),
     wanted AS (
@@ -183,16 +181,25 @@ def residual_histogram(spark, folder):
         FROM (SELECT DISTINCT n FROM placed), range(1000) AS r(i))
     SELECT o_orderkey, CAST(position AS BIGINT) AS position,
         round(ln(1 + actual), 9) AS x, round(ln(1 + prediction), 9) AS y
-    FROM placed SEMI JOIN wanted USING (position)""",
-)
-def sample(spark, folder):
+    FROM placed SEMI JOIN wanted USING (position)"""
+
+
+@query("scatter_sample_ranged", SAMPLE_SQL)
+def sample_ranged(spark, folder):
+    """The same with positions from a range partitioning, as for more rows than a task sorts."""
+    return sample(spark, folder, one_task_rows=10)
+
+
+@query("scatter_sample", SAMPLE_SQL)
+def sample(spark, folder, one_task_rows=ONE_TASK_ROWS):
     found = segment_predictions(spark, folder).select(
         "o_orderkey",
         "o_orderdate",
         F.log1p("actual").alias("x"),
         F.log1p("prediction").alias("y"),
     )
-    sampled = scatter_sample(found, "x", "y", ["o_orderdate", "o_orderkey"])
+    order = ["o_orderdate", "o_orderkey"]
+    sampled = scatter_sample(found, "x", "y", order, one_task_rows=one_task_rows)
     return rounded(sampled.select("o_orderkey", "position", "x", "y"), 9, "x", "y")
 
 

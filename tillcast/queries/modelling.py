@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillcast.models.factory import estimator_for, top_features
 from tillcast.models.knn import KnnRegressor
-from tillcast.models.linear import RidgeRegressor
+from tillcast.models.linear import GradientRegressor, RidgeRegressor
 from tillcast.models.mean import ConstantModel
 from tillcast.operators.features import (
     FeaturePreprocessor,
@@ -171,12 +171,16 @@ def preprocess(spark, folder):
 )
 def ridge(spark, folder):
     """One scaled feature, penalty 100."""
+    return _on_balance(spark, folder, RidgeRegressor(alpha=100.0))
+
+
+def _on_balance(spark, folder, estimator):
     initial, validation, _ = split_fact(spark, folder)
     scaler = MedianScaler(columns=["c_acctbal"]).fit(initial)
     vector = VectorAssembler(inputCols=["c_acctbal"], outputCol="features")
     prepare = PipelineModel([scaler, vector])
     rows = prepare.transform(initial).withColumn("label", F.col("o_totalprice"))
-    model = RidgeRegressor(alpha=100.0).fit(rows.select("features", "label"))
+    model = estimator.fit(rows.select("features", "label"))
     predicted = model.transform(prepare.transform(validation)).select(
         F.col("o_orderkey").cast("long").alias("o_orderkey"), "prediction"
     )
@@ -184,8 +188,22 @@ def ridge(spark, folder):
 
 
 @query(
-    "knn",
+    "sgd_scaled",
     f"""WITH {PREDICTED_SQL},
+    m AS (SELECT avg(c_acctbal) AS mx, stddev_pop(c_acctbal) AS sx FROM initial),
+    s AS (
+        SELECT covar_pop(o_totalprice, (c_acctbal - mx) / sx)
+            / (var_pop((c_acctbal - mx) / sx) + CAST(0.5 AS DOUBLE)) AS slope,
+            avg(o_totalprice) AS level FROM initial, m)
+    SELECT o_orderkey, round(level + slope * (c_acctbal - mx) / sx + 1e-7, 2) AS prediction
+    FROM validation, m, s""",
+)
+def gradient_descent_scaled(spark, folder):
+    """Gradient descent on one scaled feature ends where ridge has its closed form."""
+    return _on_balance(spark, folder, GradientRegressor(alpha=0.5, tol=1e-12))
+
+
+KNN_SQL = f"""WITH {PREDICTED_SQL},
     m AS (
         SELECT avg(c_acctbal) AS ma, stddev_pop(c_acctbal) AS sa,
             avg(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE))) AS md,
@@ -203,9 +221,17 @@ def ridge(spark, folder):
     SELECT o_orderkey, round(CASE WHEN min(hit.s) = 0
         THEN avg(hit.label) FILTER (WHERE hit.s = 0)
         ELSE sum(hit.label / nullif(hit.s, 0)) / sum(1 / nullif(hit.s, 0)) END + 1e-7, 3) AS prediction
-    FROM near GROUP BY o_orderkey""",
-)
-def knn(spark, folder):
+    FROM near GROUP BY o_orderkey"""
+
+
+@query("knn_blocks", KNN_SQL)
+def knn_blocks(spark, folder):
+    """The same with cells cut into blocks of rows and of queries, as for many rows."""
+    return knn(spark, folder, cellRows=300, blockRows=100, queryRows=50)
+
+
+@query("knn", KNN_SQL)
+def knn(spark, folder, **sizes):
     """Eight nearest initial orders by balance and day."""
     initial, validation, _ = split_fact(spark, folder)
     at = F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")).cast("double")
@@ -214,7 +240,7 @@ def knn(spark, folder):
     vector = VectorAssembler(inputCols=["c_acctbal", "d"], outputCol="features")
     prepare = PipelineModel([scaler, vector])
     rows = prepare.transform(initial).withColumn("label", F.col("o_totalprice"))
-    model = KnnRegressor(k=8, weights="distance").fit(rows.select("features", "label"))
+    model = KnnRegressor(k=8, weights="distance", **sizes).fit(rows.select("features", "label"))
     asked = prepare.transform(validation).select(
         F.col("o_orderkey").cast("long").alias("o_orderkey"), "features"
     )
@@ -295,3 +321,9 @@ def weights(spark, folder):
     return top_features(spark, tree, vector_names(prepare.stages))
 
 
+@query("first_features")
+def first_weights(spark, folder):
+    """The five features that weigh most."""
+    return weights(spark, folder).orderBy(F.desc("abs_value"), "feature").limit(5)
+
+

@@ -32,6 +32,7 @@ from tillcast.queries.data import (
     rounded,
     table,
 )
+from tillcast.operators.quantiles import DIRECT_ROWS
 from tillcast.queries.registry import query
 
 FACT_COLUMNS = (
@@ -142,24 +143,33 @@ PRICED = (
 )
 
 
-@query(
-    "iqr_outliers",
-    f"""WITH {PRICED_SQL}, found AS ({_outlier_sql("priced", PRICED)})
+OUTLIERS_SQL = f"""WITH {PRICED_SQL}, found AS ({_outlier_sql("priced", PRICED)})
     SELECT "column", "values", outliers, round(outliers / "values", 9) AS outlier_part,
         round((SELECT sum(outliers) / sum("values") FROM found), 9) AS numeric_outlier_part
-    FROM found""",
-)
-def outliers(spark, folder):
+    FROM found"""
+
+
+@query("iqr_outliers_narrowed", OUTLIERS_SQL)
+def outliers_narrowed(spark, folder):
+    """The same by narrowing brackets, as for more values than a task sorts."""
+    return outliers(spark, folder, direct_rows=500)
+
+
+@query("iqr_outliers", OUTLIERS_SQL)
+def outliers(spark, folder, direct_rows=DIRECT_ROWS):
     weight = F.col("l_extendedprice") * F.col("l_quantity") * F.col("l_discount")
     found = lines(spark, folder).withColumn("weight", weight).select(*PRICED)
-    return rounded(iqr_outliers(found, PRICED), 9, "outlier_part", "numeric_outlier_part")
+    return rounded(iqr_outliers(found, PRICED, direct_rows), 9, "outlier_part", "numeric_outlier_part")
 
 
 @query(
     "schema_drift",
-    """SELECT * FROM (VALUES ('c_acctbal', 'missing'), ('c_nationkey', 'missing'),
-        ('c_mktsegment', 'missing'), ('o_orderkey', 'extra')) AS t("column", kind)
-    WHERE (SELECT count(*) FROM orders) > 0""",
+    """WITH there AS (SELECT column_name FROM (DESCRIBE orders)),
+    expected AS (SELECT unnest(['o_orderdate', 'o_totalprice', 'c_acctbal', 'c_nationkey',
+        'o_custkey', 'o_orderstatus', 'o_orderpriority', 'c_mktsegment']) AS column_name)
+    SELECT column_name AS "column", 'missing' AS kind
+    FROM (SELECT * FROM expected EXCEPT SELECT * FROM there)
+    UNION ALL SELECT column_name, 'extra' FROM (SELECT * FROM there EXCEPT SELECT * FROM expected)""",
 )
 def drift(spark, folder):
     """Plain orders against the columns that training on enriched orders expects."""

@@ -39,9 +39,37 @@ def _mean(name: str) -> MeanRegressor:
     return MeanRegressor()
 
 
-def _replay(spark, folder, params=TIMED, make=_mean, **more) -> Replay:
+def _stream_of(spark, path, schema):
+    return lambda: spark.readStream.schema(schema).parquet(path)
+
+
+def _replay(spark, folder, params=TIMED, make=_mean, path=None, **more) -> Replay:
+    """A replay of the events, streamed from their own files or from a folder."""
     workspace = Workspace(spark, work_path(spark, "replay"))
-    return Replay(lambda: table(spark, folder, "events"), params, workspace, make, **more)
+    events = table(spark, folder, "events")
+    # A pattern, as a stream can't be of a path that may be one file.
+    path = path or f"{folder.rstrip('/')}/event[s].parquet"
+    return Replay(_stream_of(spark, path, events.schema), params, workspace, make, **more)
+
+
+def _failing_once(batches: set[int]):
+    failing = set(batches)
+
+    def fail_once(batch_id: int) -> None:
+        if batch_id in failing:
+            failing.discard(batch_id)
+            raise RuntimeError("executor gone")
+
+    return fail_once
+
+
+def _update_through_failure(replay: Replay) -> None:
+    try:
+        replay.update()
+    except RuntimeError as problem:
+        if "executor gone" not in str(problem):
+            raise
+    replay.update()
 
 
 @query(
@@ -80,20 +108,8 @@ def stream_replay(spark, folder):
 )
 def stream_commit(spark, folder):
     """Batch 1 fails before its commit and is run again: every table holds each batch once."""
-    failing = {1}
-
-    def fail_once(batch_id: int) -> None:
-        if batch_id in failing:
-            failing.discard(batch_id)
-            raise RuntimeError("executor gone")
-
-    replay = _replay(spark, folder, before_commit=fail_once)
-    try:
-        replay.update()
-    except Exception as problem:
-        if "executor gone" not in str(problem):
-            raise
-    replay.update()
+    replay = _replay(spark, folder, before_commit=_failing_once({1}))
+    _update_through_failure(replay)
     space = replay.workspace
     tables = {
         "raw": space.raw,
@@ -138,7 +154,7 @@ def stream_commit(spark, folder):
 )
 def prequential(spark, folder):
     """Each batch scored by the model from before it, full refit after it."""
-    replay = _replay(spark, folder, with_quality=False)
+    replay = _replay(spark, folder)
     replay.update()
     found = replay.workspace.metrics.read().where("period_type = 'stream'")
     shown = ("rmse", "mae", "smape", "prediction_mean")
@@ -187,24 +203,63 @@ def sgd_update(spark, folder):
     model = replace(
         EVENTS.model, selected_model="sgd", update_strategy="incremental", stream_batch_days=5
     )
-    replay = _replay(spark, folder, replace(EVENTS, model=model), make=None, with_quality=False)
+    replay = _replay(spark, folder, replace(EVENTS, model=model), make=None)
     replay.update()
     return replay.workspace.metrics.read().select(
         "batch_id", "model_name", "period_type", "rmse", "mae", "train_rows", "valid_rows"
     )
 
 
+LATE_SQL = "day < (SELECT min(day_min) FROM batches) AND event_id % 7 = 0"
+
+
 @query(
     "late_rows",
     f"""WITH {STREAM_SQL}
-    SELECT count(*) AS train_rows, round(avg(value) + 1e-7, 6) AS value FROM placed
-    WHERE day <= (SELECT max(day_max) FROM batches WHERE batch_id = 0)""",
+    SELECT b.batch_id, count(*) AS train_rows, round(avg(p.value) + 1e-7, 6) AS value
+    FROM batches b JOIN placed p ON p.day <= b.day_max
+        AND (b.batch_id > 0 OR NOT ({LATE_SQL.replace("day <", "p.day <")}))
+    WHERE b.batch_id <= 1 GROUP BY b.batch_id""",
 )
 def late_rows(spark, folder):
-    """A refit reads the source anew, so it sees rows that came late for earlier days."""
+    """Rows of early days that land after batch 0 are part of the refit after batch 1."""
     events = table(spark, folder, "events")
-    until = stream_batches(calendar(events, TIMED)).where("batch_id = 0").first()["day_max"]
-    model, window = updated_model(None, None, events, until, TIMED, _mean)
-    value = model.stages[-1].getOrDefault("value")
-    made = records(spark, [(window["rows"], value)], "train_rows long, value double")
+    first = stream_batches(calendar(events, TIMED)).agg(F.min("day_min")).first()[0]
+    late = (F.to_date("ts") < F.lit(first)) & (F.col("event_id") % 7 == 0)
+    path = work_path(spark, "landing")
+    events.where(~late).write.parquet(path)
+    replay = _replay(spark, folder, path=path)
+    replay.update(1)
+    events.where(late).write.mode("append").parquet(path)
+    replay.update(1)
+    registry = replay.workspace.registry(TIMED)
+    found = replay.workspace.metrics.read().where("period_type = 'stream'")
+    rows = [
+        (r["batch_id"], r["train_rows"], _value(registry, r["batch_id"]))
+        for r in found.select(F.col("batch_id").cast("long"), "train_rows").collect()
+    ]
+    made = records(spark, rows, "batch_id long, train_rows long, value double")
     return rounded(made, 6, "value")
+
+
+def _value(registry, batch_id: int) -> float:
+    version = registry.versions().where(F.col("batch_id") == batch_id).first()
+    return registry.load(version, "stored").stages[-1].getOrDefault("value")
+
+
+@query(
+    "retried_operations",
+    f"""WITH {STREAM_SQL}, last AS (SELECT max(batch_id) AS last_id FROM batches)
+    SELECT batch_id, status, CAST(1 AS BIGINT) AS attempts
+    FROM (SELECT batch_id, 'success' AS status FROM batches
+        UNION ALL SELECT 1, 'failure' FROM last WHERE last_id >= 1)""",
+)
+def retried_operations(spark, folder):
+    """The operations of a replay whose batch 1 fails once: the failure stays on record."""
+    replay = _replay(spark, folder, before_commit=_failing_once({1}))
+    _update_through_failure(replay)
+    batch = F.regexp_extract("run_id", "^batch-(\\d+)-", 1)
+    found = replay.workspace.operations.read().where("operation = 'update' AND run_id LIKE 'batch-%'")
+    return found.groupBy(batch.cast("long").alias("batch_id"), "status").agg(
+        F.count(F.lit(1)).alias("attempts")
+    )

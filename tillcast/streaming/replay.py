@@ -1,11 +1,12 @@
 """Replaying the stream period: each batch is scored first, then learnt from.
 
-The stream is a folder of small batch notices, one file per batch, read with a checkpoint and
-one file per trigger. The checkpoint is the cursor: a batch that fails is given again on the
-next start. A notice names the days of its batch, and the rows are read from the fact table by
-that range, so a batch of any size is one pruned, distributed scan. All tables are keyed by
-batch, which makes a repeated batch harmless; the batch metadata is written last and is what
-makes a batch count as done.
+Fact rows arrive as a stream, such as the files of a folder. Each micro-batch of it is stored under
+its number, so one that is given again replaces itself, and the checkpoint only says which rows have
+landed. Which batch a row belongs to follows from its own day: files may come in any order, together
+or one by one, and a row that comes late is part of all refits after it. A batch is a pruned scan of
+the landed rows by its days, of any size. All tables are keyed by batch, which makes a repeated batch
+harmless; the batch metadata is written last and is what makes a batch count as done, and the next
+batch is the one after the last that counts.
 """
 
 from __future__ import annotations
@@ -37,56 +38,69 @@ from tillcast.params import JobParams
 from tillcast.plans.fitting import EstimatorFor, fit_model, predict, score, training_rows
 from tillcast.plans.jobs import Workspace, metric_rows, pretrain, write_diagnostics
 from tillcast.session import settled
-from tillcast.sources.tables import records
+from tillcast.sources.tables import KeyedTable
 
-NOTICE = "batch_id long, day_min date, day_max date, date_count long"
+EPOCH = "_epoch"
+
+
+def as_they_are(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 @dataclass
 class Replay:
     """The stream of one project.
 
-    ``source`` gives the enriched raw rows as they are now: a refit sees late rows of days that
-    have already passed. ``before_commit`` is called with each batch just before it counts.
+    ``incoming`` gives the streaming frame of raw fact rows and ``prepare`` joins what they need.
+    ``before_commit`` is called with each batch just before it counts.
     """
 
-    source: Callable[[], DataFrame]
+    incoming: Callable[[], DataFrame]
     params: JobParams
     workspace: Workspace
     make: EstimatorFor | None = None
     before_commit: Callable[[int], None] | None = None
-    with_quality: bool = True
+    prepare: Callable[[DataFrame], DataFrame] = as_they_are
     _split: Split | None = field(default=None, init=False)
     _loaded: tuple[str, PipelineModel] | None = field(default=None, init=False)
 
+    @property
+    def landed(self) -> KeyedTable:
+        return self.workspace.table("landed", EPOCH)
+
+    def source(self) -> DataFrame:
+        """All rows that have landed by now."""
+        return self.prepare(self.landed.read().drop(EPOCH))
+
     def cursor(self) -> int:
         """The next batch to commit."""
         last = self.workspace.committed().agg(F.max("batch_id")).first()[0]
         return 0 if last is None else last + 1
 
-    def announce(self, count: int | None = None) -> int:
-        """Write notices for the next batches; returns how many batches now wait.
+    def land(self) -> None:
+        """Take in all rows that wait in the stream."""
 
-        The days are split anew each time from the source as it is.
-        """
-        spark = self.workspace.spark
+        def store(rows: DataFrame, epoch: int) -> None:
+            self.landed.write(rows.withColumn(EPOCH, F.lit(epoch).cast("long")))
+
+        query = (
+            self.incoming()
+            .writeStream.option("checkpointLocation", self.workspace.path("checkpoint"))
+            .trigger(availableNow=True)
+            .foreachBatch(store)
+            .start()
+        )
+        query.awaitTermination()
+
+    def due(self, count: int | None = None) -> list[Row]:
+        """The next batches by the days that have landed, one row each."""
         days = settled(calendar(self.source(), self.params))
         self._split = split_periods(self.source(), self.params, days)
         first = self.cursor()
-        table = self.workspace.table("notices")
-        announced = set()
-        if table.exists():
-            known = spark.read.schema(NOTICE).json(table.path)
-            announced = {r["batch_id"] for r in known.select("batch_id").collect()}
         wanted = stream_batches(days).where(F.col("batch_id") >= first)
         if count is not None:
             wanted = wanted.where(F.col("batch_id") < first + count)
-        # One row per batch; one file each, in order.
-        batches = wanted.orderBy("batch_id").collect()
-        for batch in batches:
-            if batch["batch_id"] not in announced:
-                records(spark, [tuple(batch)], NOTICE).write.mode("append").json(table.path)
-        return len(batches)
+        return wanted.orderBy("batch_id").collect()
 
     def update(self, count: int | None = None) -> int:
         """Process up to ``count`` batches, all that there are if not given.
@@ -94,35 +108,23 @@ class Replay:
         Pretrains first if there is no model; a model that does not fit is an error. Returns the
         number of batches processed, zero at the end of the stream.
         """
-        spark, workspace = self.workspace.spark, self.workspace
+        workspace = self.workspace
         registry = workspace.registry(self.params)
         current = registry.current()
-        if current is None:
-            pretrain(self.source(), self.params, workspace, self.make)
-        else:
+        if current is not None:
             problem = registry.mismatch(current)
             if problem:
                 raise ValueError(f"current model does not fit: {problem}; train again")
-        before = self.cursor()
-        if self.announce(count) == 0:
+        self.land()
+        if current is None:
+            pretrain(self.source(), self.params, workspace, self.make)
+        batches = self.due(count)
+        if not batches:
             with workspace.operations.record("update", model_name=self.params.model.selected):
                 return 0
-        query = (
-            spark.readStream.schema(NOTICE)
-            .option("maxFilesPerTrigger", 1)
-            .json(workspace.table("notices").path)
-            .writeStream.option("checkpointLocation", workspace.path("checkpoint"))
-            .trigger(availableNow=True)
-            .foreachBatch(self._notified)
-            .start()
-        )
-        query.awaitTermination()
-        return self.cursor() - before
-
-    def _notified(self, notices: DataFrame, epoch: int) -> None:
-        # One notice per trigger, see maxFilesPerTrigger.
-        for notice in notices.orderBy("batch_id").collect():
-            self.process(notice)
+        for batch in batches:
+            self.process(batch)
+        return len(batches)
 
     def process(self, notice: Row) -> None:
         batch_id, cursor = notice["batch_id"], self.cursor()
@@ -141,9 +143,8 @@ class Replay:
             raw = workspace.raw.part(batch_id)
 
             def profile() -> None:
-                if self.with_quality:
-                    context = {"batch_id": key, "period_type": F.lit("stream")}
-                    workspace.quality.write(quality_report(raw, params, context).coalesce(1))
+                context = {"batch_id": key, "period_type": F.lit("stream")}
+                workspace.quality.write(quality_report(raw, params, context).coalesce(1))
 
             def clean() -> None:
                 workspace.processed.write(clean_training(raw, params).withColumn("batch_id", key))
