@@ -2,16 +2,18 @@
 
 1. One pass over the texts gives each its number of shingles, a digest of its set, its band keys
    and a sketch of its signature. Texts with equal sets form a class, and only classes go on.
-2. In every bucket (equal band key) each class is compared with the bucket's smallest class only:
-   as many pairs as members. Verified links are contracted to components.
+2. In every bucket (equal band key) each class is compared with two members only, the class with
+   most copies, or smallest id, which edited copies are nearest to, and one drawn by hash, which
+   differs from bucket to bucket: twice as many pairs as members. Verified links are contracted to
+   components.
 3. Buckets that still hold several components are searched once more across components, exactly:
    a class's shingles are put in order, rarest first, and two linked classes must share one among
    the first of each, early enough for the rest to suffice. In a large group of edited copies those
    are the edits, which few copies share, so no more pairs are made than are nearly linked. The
    pairs are verified, and the components of all links are the groups.
 
-The banding overlooks a pair at the limit with chance 1e-6, the sketch that spares comparisons with
-the smallest class (five deviations below the limit) with less; step 3 has no such chance of its own.
+The banding overlooks a pair at the limit with chance 1e-6, the sketch that spares comparisons in
+step 2 (five deviations below the limit) with less; step 3 has no such chance of its own.
 
 Defined cases: a text with no words, or null, has no shingles and is linked with nothing; one with
 fewer words than a shingle is one shingle; repeated rows fall into one class; a group's name is the
@@ -133,6 +135,7 @@ def _grouped(texts: DataFrame, method: NearDup) -> tuple[DataFrame, DataFrame]:
         .groupBy("digest")
         .agg(
             F.min("id").alias("least"),
+            F.count("*").alias("copies"),
             F.first("size").alias("size"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
@@ -187,17 +190,26 @@ def representatives(
 def links_between(classes: DataFrame, sets_of: SetsOf, method: NearDup) -> DataFrame:
     """(a, b) of linked classes, enough of them to have the components of all links.
 
-    ``classes`` has class, size, bands and sketch; ``sets_of`` gives (class, shingles) of the classes in
+    ``classes`` has class, copies, least, size, bands and sketch; ``sets_of`` gives (class, shingles) of the classes in
     a table of one column.
     """
-    posted = classes.select("class", F.explode("bands").alias("key"))
+    posted = classes.select("class", F.explode("bands").alias("key"), _prior().alias("prior"))
     pivots = (
         posted.groupBy("key")
-        .agg(F.min("class").alias("a"), F.count("*").alias("n"))
+        .agg(
+            F.min_by("class", "prior").alias("first"),
+            F.min_by("class", F.xxhash64("class", "key")).alias("drawn"),
+            F.count("*").alias("n"),
+        )
         .where("n > 1")
-        .drop("n")
+        .select("key", F.explode(F.array_distinct(F.array("first", "drawn"))).alias("pivot"))
+    )
+    posted = posted.drop("prior")
+    star = (
+        posted.join(pivots, "key")
+        .where("class <> pivot")
+        .select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
     )
-    star = posted.join(pivots, "key").where("class <> a").select("a", F.col("class").alias("b"))
     facts = classes.select("class", "size", "sketch")
     star = settled(
         star.distinct()
@@ -212,6 +224,13 @@ def links_between(classes: DataFrame, sets_of: SetsOf, method: NearDup) -> DataF
     return near.unionByName(rest)
 
 
+def _prior() -> Column:
+    """Smallest for the class with most copies, then for the smallest id, as one number."""
+    copies = F.least("copies", F.lit(1 << 20))
+    id = F.coalesce(F.pmod("least", F.lit(1 << 40)), F.lit((1 << 40) - 1))
+    return (F.lit(1 << 20) - copies) * (1 << 40) + id
+
+
 def _rest(posted: DataFrame, root: DataFrame, sets_of: SetsOf, method: NearDup) -> DataFrame:
     """Links between different components of ``root`` that share a bucket."""
     rooted = posted.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(

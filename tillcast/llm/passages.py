@@ -195,6 +195,7 @@ def _paragraphs(texts: DataFrame, method: Passages) -> DataFrame:
         lines.groupBy("digest")
         .agg(
             F.min("doc_id").alias("least"),
+            F.count("*").alias("copies"),
             F.first("size").alias("size"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
