@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_500_000  # some 250 bytes each
 # A letter, then punctuation to the end; the apostrophe may belong to an ending like 's.
 TAIL = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 PIECES = (
@@ -62,13 +62,15 @@ class Encoded(dict):
             tail = TAIL.fullmatch(word)
             # What looks like one of the tokenizer's special strings is left whole.
             split[word] = tail.groups() if tail and b"<|" not in word else (word,)
-        parts = list({part for parts in split.values() for part in parts})
+        parts = list({part for parts in split.values() for part in parts}.difference(self))
         made = self.tokenizer.encode_batch_fast(
             [part.decode() for part in parts], add_special_tokens=False
         )
-        ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(parts, made)}
+        for part, encoding in zip(parts, made):
+            self[part] = np.array(encoding.ids, "<u4").tobytes()
         for word, parts in split.items():
-            self[word] = b"".join(ids[p] for p in parts)
+            if len(parts) > 1:
+                self[word] = b"".join(map(self.__getitem__, parts))
 
 
 @lru_cache(maxsize=2)
