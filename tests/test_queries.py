@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tillcast.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 # The tables the SQL twins may name.
@@ -24,10 +25,7 @@ KINDS = {
     "timestamp_ntz": "TIMESTAMP",
 }
 # These run for long and have tests of their own.
-SLOW = {
-    "stream_replay", "stream_commit", "prequential", "sgd_update", "multi_model", "best_timeline",
-    "pretrain",
-}
+SLOW = {"multi_model", "best_timeline", "pretrain"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
@@ -51,12 +49,12 @@ def in_order(rows):
     return sorted(made, key=lambda row: [(v is None, str(v)) for v in row])
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql().keys() - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES.keys() - SLOW))
 def test_query_equals_sql(spark, database, name):
-    frame = contract.queries()[name](spark, DATA)
+    frame = QUERIES[name](spark, DATA)
     columns = sorted(frame.columns)
     found = in_order(frame.select(*[f"`{c}`" for c in columns]).collect())
-    relation = database.sql(contract.oracle_sql()[name])
+    relation = database.sql(ORACLES[name])
     assert sorted(relation.columns) == columns
     places = [relation.columns.index(c) for c in columns]
     expected = in_order([[row[i] for i in places] for row in relation.fetchall()])
@@ -67,10 +65,12 @@ def test_query_equals_sql(spark, database, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 2
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert ORACLES.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize(
-    "name", sorted(contract.queries().keys() - contract.oracle_sql().keys() - SLOW)
+    "name", sorted(QUERIES.keys() - ORACLES.keys() - SLOW)
 )
 def test_query_has_rows(spark, name):
-    assert contract.queries()[name](spark, DATA).count() > 0
+    assert QUERIES[name](spark, DATA).count() > 0

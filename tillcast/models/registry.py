@@ -124,6 +124,3 @@ class ModelRegistry:
 
     def load_current(self) -> PipelineModel:
         return self.load(self.current(), "current")
-
-    def load_best(self) -> PipelineModel:
-        return self.load(self.best(), "best")

@@ -76,15 +76,6 @@ def boundaries(days: DataFrame) -> DataFrame:
     return days.agg(*[field for period in PERIODS for field in fields(period)])
 
 
-def boundary_rows(days: DataFrame) -> DataFrame:
-    """The same, one row per period present."""
-    return days.groupBy("period").agg(
-        iso_day(F.min("day")).alias("date_min"),
-        iso_day(F.max("day")).alias("date_max"),
-        F.count("day").alias("date_count"),
-    )
-
-
 @dataclass(frozen=True)
 class Split:
     """The split as nine values on the driver; the fields of :func:`boundaries`."""

@@ -28,7 +28,7 @@ ORDERS = JobParams(
         training_mode="all",
         parameters={
             "decision_tree": {"min_samples_leaf": 10},
-            "random_forest": {"n_estimators": 10, "max_depth": 8, "min_samples_leaf": 10},
+            "random_forest": {"n_estimators": 100, "max_depth": 20, "min_samples_leaf": 10},
             "knn": {"n_neighbors": 8, "weights": "distance"},
             "ridge": {"alpha": 1.0},
             "sgd": {"alpha": 0.0001, "max_iter": 1000, "tol": 0.001},

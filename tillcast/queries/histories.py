@@ -95,15 +95,14 @@ def last_metrics(spark, folder):
     return rounded(found, 5, "rmse", "mae", "r2")
 
 
-def _event_batches(spark, folder):
+def _placed_events(spark, folder):
     events = table(spark, folder, "events")
     days = calendar(events, EVENTS).where("batch_id is not null").select("day", "batch_id")
-    placed = events.withColumn("day", F.to_date("ts")).join(F.broadcast(days), "day").drop("day")
-    return batch_metadata(placed, EVENTS, by=["batch_id"])
+    return events.withColumn("day", F.to_date("ts")).join(F.broadcast(days), "day").drop("day")
 
 
 def operation_log(spark, folder):
-    """One operation per user and day: purchases succeed, errors fail, the rest are reads."""
+    """One operation per type of event and day: purchases succeed, errors fail, the rest are reads."""
     return (
         table(spark, folder, "events")
         .groupBy(F.to_date("ts").alias("day"), "event_type")
@@ -143,25 +142,29 @@ def last_operations(spark, folder):
     last_batch AS (
         SELECT batch_id, count(*) AS rows,
             CAST(count(*) - count(DISTINCT (event_id, ts, user_id, event_type, value, props))
-                AS BIGINT) AS copies
+                AS BIGINT) AS copies,
+            sum((event_id IS NULL)::INT + (ts IS NULL)::INT + (user_id IS NULL)::INT
+                + (event_type IS NULL)::INT + (value IS NULL)::INT + (props IS NULL)::INT) AS gaps
         FROM events JOIN e_cal ON e_cal.day = CAST(ts AS DATE) WHERE batch_id IS NOT NULL
         GROUP BY batch_id ORDER BY batch_id DESC LIMIT 1),
     last_metrics AS (SELECT * FROM flagged ORDER BY batch_id DESC, model_name DESC LIMIT 1),
     last_operation AS (SELECT * FROM log ORDER BY timestamp DESC, operation DESC LIMIT 1)
     SELECT 'sales_forecasting' AS project, b.batch_id AS latest_batch, b.rows,
-        CAST(0 AS DOUBLE) AS missing_part, b.copies / b.rows AS duplicate_part,
+        round(b.gaps / (b.rows * 6), 9) AS missing_part, b.copies / b.rows AS duplicate_part,
         m.model_name AS model, round(m.rmse + 1e-7, 5) AS rmse, round(m.mae + 1e-7, 5) AS mae,
         round(m.r2 + 1e-7, 5) AS r2, o.operation AS latest_operation, o.status AS latest_status
     FROM last_batch b, last_metrics m, last_operation o""",
 )
 def latest_state(spark, folder):
-    batches = _event_batches(spark, folder)
-    quality = batches.select(
-        "batch_id",
-        "missing_part",
-        F.lit(0.0).alias("duplicate_part"),
+    placed = _placed_events(spark, folder)
+    batches = batch_metadata(placed, EVENTS, by=["batch_id"])
+    rows = placed.withColumn("row", F.struct(*[c for c in placed.columns if c != "batch_id"]))
+    size = F.count(F.lit(1))
+    copies = rows.groupBy("batch_id").agg(
+        ((size - F.count_distinct("row")) / size).alias("duplicate_part"),
         F.lit(None).cast("double").alias("numeric_outlier_part"),
     )
+    quality = batches.select("batch_id", "missing_part").join(copies, "batch_id")
     found = overview(
         ORDERS.project,
         ORDERS.model.selected,
@@ -171,7 +174,7 @@ def latest_state(spark, folder):
         operation_log(spark, folder),
         ["timestamp", "operation"],
     ).drop("numeric_outlier_part")
-    return rounded(found, 5, "rmse", "mae", "r2")
+    return rounded(rounded(found, 5, "rmse", "mae", "r2"), 9, "missing_part")
 
 
 def model_versions(spark, folder):

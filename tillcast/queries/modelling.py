@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -301,14 +299,12 @@ def multi_model(spark, folder):
 
 @query("best_timeline")
 def best_timeline(spark, folder):
-    model = replace(ORDERS.model, candidate_models=("decision_tree", "ridge"))
-    return evaluate(fact(spark, folder), replace(ORDERS, model=model)).best_timeline()
+    return evaluate(fact(spark, folder), ORDERS).best_timeline()
 
 
 @query("pretrain")
 def pretrained(spark, folder):
-    model = replace(ORDERS.model, candidate_models=("decision_tree", "ridge"))
-    return pretrain(fact(spark, folder), replace(ORDERS, model=model)).metrics
+    return pretrain(fact(spark, folder), ORDERS).metrics
 
 
 @query("top_features")
