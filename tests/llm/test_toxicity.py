@@ -80,3 +80,18 @@ def test_probabilities_add_up():
     assert model.words["cab"] > 0 > model.words["abba"]
     assert kn.features(model, "") == kn.features(model, "123 !") == (0.0,) * len(kn.FEATURES)
     assert all(math.isfinite(x) for x in kn.features(model, "xyz " * 5))
+
+
+def test_counts_cover_the_whole_corpus(spark, documents):
+    """Class counts aren't bounded by the sample, and unlabelled texts add to the backoff counts."""
+    rows, labels = corpus(120)
+    made = spark.createDataFrame([*labels, (4, 1, 1)], LABELS)
+    few = toxicity.Learning(sample=3)
+    fitted = toxicity.fit(documents(rows + [(900, "jyzzyj")]), made, few)
+    spare = [i for i, _, _ in labels if not held_out(i) and zlib.crc32(str(i).encode()) // 3 % 4 == 0]
+    learned = {i: t for i, _, t in labels if not held_out(i) and i not in spare}
+    bare = lambda toxic: {s for i, text in rows if learned.get(i) == toxic for w in kn.words_of(text) for s in kn.sequences(w)}
+    for c in (0, 1):
+        assert bare(c) <= fitted.model.seen_by[c].keys()
+    assert len(spare) > 2 * few.sample
+    assert "yzzyj" in fitted.model.seen and all("yzzyj" not in s for seen in fitted.model.seen_by for s in seen)

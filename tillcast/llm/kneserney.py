@@ -2,8 +2,9 @@
 
 Plain Python for use inside tasks. A word is seen as ``^word$``. Each class has its own counts of the
 longest letter sequences; what a class hasn't seen is left to one model of shorter sequences whose
-counts are numbers of different continuations, added up over both classes. So an expression that is
-rare everywhere has nearly equal likelihoods, and only what one class really says more often tells.
+counts are numbers of different continuations, added up over both classes and the unlabelled texts. So an
+expression that is rare everywhere has nearly equal likelihoods, and only what one class really says more
+often tells.
 """
 
 from __future__ import annotations
@@ -35,17 +36,21 @@ def sequences(word: str) -> list[str]:
 
 
 class Model:
-    """Likelihoods of words under two classes, from counts of (sequence, class 0, class 1)."""
+    """Likelihoods of words under two classes.
 
-    def __init__(self, counts: Iterable[tuple[str, int, int]]):
+    Made from counts of (sequence, class 0, class 1); a further count, of unlabelled texts, only adds
+    to the backoff counts.
+    """
+
+    def __init__(self, counts: Iterable[tuple[str, int, ...]]):
         own = (Counter(), Counter())
+        lower = Counter()
         for sequence, *by_class in counts:
             for c in (0, 1):
                 if by_class[c]:
                     own[c][sequence] = by_class[c]
-        lower = Counter()
-        for c in (0, 1):
-            lower.update(s[1:] for s in own[c] if len(s) > 1)
+            if len(sequence) > 1:
+                lower[sequence[1:]] += sum(map(bool, by_class))
         every = Counter(lower)
         level = lower
         for _ in range(CONTEXT):

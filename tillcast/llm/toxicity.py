@@ -5,8 +5,11 @@ shared backoff counts. A text is described by length-normalised comparisons of i
 of its most telling words, of its best stretch and of the whole. A logistic function turns these into a
 score; it is fitted on labelled documents that the models haven't seen.
 
-The models are fitted on a bounded sample of labelled rows: at most ``sample`` of each class, by hash of
-the id. Scoring covers every text in full and moves nothing but ids and scores.
+Counts come from the whole corpus: those of a class from all its labelled rows, the backoff counts from
+all documents. Only the logistic function is fitted on a bounded sample of labelled rows, ``sample`` of
+each class at most, by hash of the id; the models don't see these. Scoring covers every text in full and
+moves nothing but ids and scores. The model goes to every worker in whole, so it grows with the different
+sequences of letters in the corpus.
 
 Defined cases: a null or empty text is scored like one without a telling word; labels other than 0 and 1,
 and labels without a document, are not learned from; several labels of a document all count; a null id is
@@ -26,15 +29,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tillcast.llm import kneserney as kn
-from tillcast.llm.common import text_of
+from tillcast.llm.common import small_enough, text_of
 from tillcast.session import settled
 
-COUNTS = "sequence string, ordinary long, toxic long"
+COUNTS = "sequence string, ordinary long, toxic long, unlabelled long"
+CLASSES = ("ordinary", "toxic", "unlabelled")
+GATHERED_WORDS = 200_000
 
 
 @dataclass(frozen=True)
 class Learning:
-    """Most rows of each class that are learned from; one of so many is kept for the scores."""
+    """Most rows of each class that weights are fitted on; one of so many is kept for that."""
 
     sample: int = 6000
     calibrating: int = 4
@@ -64,20 +69,35 @@ def held_out(id: Column) -> Column:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many documents' different words have each sequence of letters, by class."""
+    """How many labels' documents' different words have each sequence of letters, by class.
+
+    Texts that aren't learned from only tell that a sequence exists. Words are gathered over batches.
+    """
+    by_class, other = (Counter(), Counter()), set()
     for batch in batches:
-        found = (Counter(), Counter())
-        for text, toxic in zip(batch["text"], batch["toxic"]):
-            for word in set(kn.words_of(text)):
-                found[toxic].update(kn.sequences(word))
-        every = list(found[0].keys() | found[1].keys())
-        yield pd.DataFrame(
-            {
-                "sequence": every,
-                "ordinary": [found[0][s] for s in every],
-                "toxic": [found[1][s] for s in every],
-            }
-        )
+        for text, *labels in zip(batch["text"], batch["ordinary"], batch["toxic"]):
+            words = set(kn.words_of(text))
+            if not any(labels):
+                other |= words
+            for found, times in zip(by_class, labels):
+                for _ in range(times):
+                    found.update(words)
+        if sum(map(len, (*by_class, other))) > GATHERED_WORDS:
+            yield _sequences(by_class, other)
+            by_class, other = (Counter(), Counter()), set()
+    if other or any(by_class):
+        yield _sequences(by_class, other)
+
+
+def _sequences(by_class: tuple[Counter, Counter], other: set[str]) -> pd.DataFrame:
+    found = (Counter(), Counter(), dict.fromkeys(s for word in other for s in kn.sequences(word)))
+    for of, words in zip(found, by_class):
+        for word, n in words.items():
+            for sequence in kn.sequences(word):
+                of[sequence] += n
+    every = list(found[0].keys() | found[1].keys() | found[2].keys())
+    counts = {name: [of[s] for s in every] for name, of in zip(CLASSES, found[:2])}
+    return pd.DataFrame({"sequence": every, **counts, CLASSES[2]: [int(s in found[2]) for s in every]})
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[np.ndarray, ...]:
@@ -111,32 +131,36 @@ def fit(
         key.alias("key"), toxic.alias("toxic")
     )
     order = [F.xxhash64("key"), "key", "toxic"]
+    spare = usable.where(F.floor(remainder(F.col("key")) / 3) % learning.calibrating == 0)
     chosen = [
-        usable.where(F.col("toxic") == c).orderBy(*order).limit(learning.sample) for c in (0, 1)
+        spare.where(F.col("toxic") == c).orderBy(*order).limit(learning.sample) for c in (0, 1)
     ]
     chosen = settled(chosen[0].unionByName(chosen[1]))
-    part = F.floor(remainder(F.col("key")) / 3) % learning.calibrating == 0
-    texts = settled(
-        docs.select(key.alias("of"), text_of(text).alias("text"))
-        .join(F.broadcast(chosen), F.col("of") == F.col("key"))
-        .select("text", "toxic", part.alias("calibrating"))
+    named = docs.select(key.alias("of"), text_of(text).alias("text"))
+    kept = settled(
+        named.join(F.broadcast(chosen), F.col("of") == F.col("key")).select("text", "toxic")
+    )
+    learned = usable.join(F.broadcast(chosen.select("key").distinct()), "key", "left_anti")
+    learned = learned.groupBy("key").agg(
+        F.sum(1 - F.col("toxic")).alias("ordinary"), F.sum("toxic").alias("toxic")
     )
     zeros = np.zeros(len(kn.FEATURES))
+    labelled = small_enough(settled(learned), 64)
     counts = (
-        texts.where("NOT calibrating")
-        .select("text", "toxic")
+        named.join(labelled, F.col("of") == F.col("key"), "left")
+        .select("text", *[F.coalesce(c, F.lit(0)).alias(c) for c in CLASSES[:2]])
         .mapInPandas(_count, COUNTS)
         .groupBy("sequence")
-        .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-        .toArrow()
-        .sort_by("sequence")
+        .agg(*[F.sum(c).alias(c) for c in CLASSES])
     )
-    model = kn.Model(zip(*(counts[c].to_pylist() for c in ("sequence", "ordinary", "toxic"))))
-    kept = texts.where("calibrating")
+    counts = counts.toArrow().sort_by("sequence")
+    model = kn.Model(zip(*(counts[c].to_pylist() for c in ("sequence", *CLASSES))))
     described = kept.select("toxic", _describe(kept, model)(F.col("text")).alias("x")).toArrow()
     y = np.array(described["toxic"].to_pylist(), float)
     if not 0 < y.sum() < len(y):
-        share = (texts.where("toxic = 1").count() + 1) / (texts.count() + 2)
+        known = named.select("of").join(usable, F.col("of") == F.col("key"))
+        rows, ones = known.agg(F.count("*"), F.sum("toxic")).first()
+        share = ((ones or 0) + 1) / (rows + 2)
         weights = np.r_[np.log(share / (1 - share)), zeros]
         return Fitted(model, zeros, zeros + 1, weights)
     x = np.array(described["x"].to_pylist())
