@@ -4,7 +4,9 @@ A paragraph is a line of at least ``least_words`` words. Paragraphs get signatur
 recall, verification on full shingle sets, and components of the verified links, as near-copies of whole
 documents do. A passage in the middle of a line is no paragraph in that sense, so every text also has
 floating paragraphs: of any ``apart`` neighbouring windows of ``least_words`` words the one with the least
-hash. Two texts that share ``least_words + apart - 1`` words in a row therefore share a window; equal
+hash. Two texts that share ``least_words + apart - 1`` words in a row therefore share a window, and within
+the shared words the next shared window lies at most ``apart`` places on. So all windows that begin less
+than ``apart`` places from a shared one are compared too, and a passage is found to its full length. Equal
 hashes are equal windows, up to chance 2^-64 each.
 
 Of each group of paragraphs or windows that lies in two documents or more the first, by id and place, stays
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tillcast.llm import neardup
 from tillcast.llm import shingles as sh
-from tillcast.llm.common import small_enough
+from tillcast.llm.common import BROADCAST_BYTES, small_enough
 from tillcast.llm.components import components
 from tillcast.session import settled
 
@@ -67,22 +69,29 @@ def lines_of(text: bytes, least: int) -> list[tuple[int, list[bytes]]]:
     return found
 
 
-def windows_of(hashes: np.ndarray, size: int, apart: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the chosen windows of ``size`` words.
+def all_windows(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the window of ``size`` words at every place.
 
     A window's hash is a polynomial in an odd number modulo 2^64, from differences of running sums.
     """
     n = len(hashes) - size + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.uint64)
     powers = np.full(len(hashes), np.uint64(ODD))
     powers[0] = 1
     powers = np.cumprod(powers)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers)])
     back = np.full(n, np.uint64(pow(ODD, -1, 2**64)))
     back[0] = 1
-    rolled = sh.mixed((sums[size:] - sums[:n]) * np.cumprod(back))
-    if n <= apart:
+    return sh.mixed((sums[size:] - sums[:n]) * np.cumprod(back))
+
+
+def windows_of(hashes: np.ndarray, size: int, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the chosen windows of ``size`` words."""
+    rolled = all_windows(hashes, size)
+    if not len(rolled):
+        return np.empty(0, np.int64), rolled
+    if len(rolled) <= apart:
         places = np.array([rolled.argmin()])
     else:
         beside = np.lib.stride_tricks.sliding_window_view(rolled, apart)
@@ -90,6 +99,19 @@ def windows_of(hashes: np.ndarray, size: int, apart: int) -> tuple[np.ndarray, n
     return places, rolled[places]
 
 
+def windows_near(
+    hashes: np.ndarray, size: int, apart: int, shared: list[int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all windows less than ``apart`` places from one of the shared ones."""
+    rolled = all_windows(hashes, size)
+    at = np.asarray(shared, np.int64)
+    change = np.zeros(len(rolled) + 1, np.int64)
+    np.add.at(change, np.clip(at - apart + 1, 0, len(rolled)), 1)
+    np.add.at(change, np.clip(at + apart, 0, len(rolled)), -1)
+    places = np.flatnonzero(np.cumsum(change[:-1]))
+    return places, rolled[places]
+
+
 def _line_signer(method: Passages):
     banding = method.similar.banding
 
@@ -141,17 +163,20 @@ def _line_sets(method: Passages):
 
 
 def _window_finder(method: Passages):
+    """The chosen windows of (id, text), or of (id, text, shared places) all windows near these."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = sh.WordHashes()
         size = method.least_words
         for batch in batches:
             columns = [[] for _ in range(6)]
-            for id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for id, text, *shared in zip(*(column.to_pylist() for column in batch.columns)):
                 words = text.lower().split()
                 if len(words) < size:
                     continue
                 numbers = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-                places, keys = windows_of(numbers, size, method.apart)
+                choose = windows_near if shared else windows_of
+                places, keys = choose(numbers, size, method.apart, *shared)
                 starts, stops = word_places(text)
                 made = (
                     np.full(len(places), id, np.int64),
@@ -188,6 +213,18 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _passages(texts: DataFrame, method: Passages) -> DataFrame:
+    """Windows that several documents share, with all shared ones next to them."""
+    finder = _window_finder(method)
+    chosen = settled(texts.mapInArrow(finder, WINDOWS))
+    found = settled(_shared(chosen, "key").select("doc_id", "first"))
+    near = found.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("first").alias("shared"))
+    if found.count() * 48 <= BROADCAST_BYTES:
+        near = F.broadcast(near)
+    sought = texts.join(near, F.col("doc_id") == F.col("of")).select("doc_id", "text", "shared")
+    return _shared(settled(sought.mapInArrow(finder, WINDOWS)), "key")
+
+
 def _paragraphs(texts: DataFrame, method: Passages) -> DataFrame:
     """Near copies of paragraphs in several documents."""
     lines = settled(texts.mapInArrow(_line_signer(method), LINES))
@@ -233,8 +270,7 @@ def repeated(
         F.col(id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
     ).where("doc_id IS NOT NULL")
-    windows = settled(texts.mapInArrow(_window_finder(method), WINDOWS))
-    parts = settled(_paragraphs(texts, method).unionByName(_shared(windows, "key")))
+    parts = settled(_paragraphs(texts, method).unionByName(_passages(texts, method)))
     order = Window.partitionBy("doc_id", "removed").orderBy("first", "words")
     upto = F.max(F.col("first") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = (F.coalesce(upto, F.lit(-1)) < F.col("first")).cast("int")
