@@ -98,3 +98,22 @@ def test_empty_table(documents):
     assert cu.plan(documents([]), ["doc_id"]).collect() == []
     assert cu.mixed(documents([])).collect() == []
     assert cu.mixed(documents([(1, None, "a"), (2, "", None)])).collect() == []
+
+
+def test_query_places_every_visit_in_training_order(documents, tmp_path, monkeypatch):
+    from tillcast.llm import queries
+
+    documents(rows()).write.parquet(str(tmp_path / "documents.parquet"))
+    made = []
+    whole = cu.trained
+    monkeypatch.setattr(cu, "trained", lambda planned: made.append(whole(planned)) or made[0])
+    spark = documents([]).sparkSession
+    found = queries.QUERIES["op2_curriculum"](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows())
+    placed = [
+        (at, v.time, v.words) for r in made[0].collect() for at, v in zip(r.positions, r.visits, strict=True)
+    ]
+    placed.sort()
+    assert [at for at, _, _ in placed] == list(range(len(placed)))
+    assert [t for _, t, _ in placed] == sorted(t for _, t, _ in placed)
+    assert sum(r.taken for r in found) == sum(words for _, _, words in placed)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import WORD, small_enough, text_of
+from tillcast.operators.ranking import dense_index
 from tillcast.session import settled
 
 
@@ -181,6 +182,34 @@ def plan(
     )
 
 
+def trained(planned: DataFrame) -> DataFrame:
+    """The plan with its visits inverted to training positions: sorted by time, and back to the rows.
+
+    ``positions`` holds the place of each visit in the training order, counted from 0; ``taken`` adds up
+    the words of the visits that were placed.
+    """
+    rows = settled(planned.drop("taken").withColumn("of", F.monotonically_increasing_id()))
+    visits = rows.select("of", "key", "size", F.posexplode("visits").alias("pass", "visit"))
+    visits = visits.select("of", "key", "size", "pass", "visit.time", "visit.words")
+    order = ["time", "key", "size", "of", "pass"]
+    placed = dense_index(visits, order, "position", 0, one_task_rows=-1)
+    of_row = placed.groupBy(F.col("of").alias("row_of")).agg(
+        F.sum("words").alias("words"),
+        F.array_sort(F.collect_list("position")).alias("positions"),
+    )
+    joined = rows.join(of_row, F.col("of") == F.col("row_of"), "left")
+    return joined.select(
+        "row",
+        "key",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("words", F.lit(0).cast("long")).alias("taken"),
+        "visits",
+        F.coalesce("positions", F.array().cast("array<long>")).alias("positions"),
+    )
+
+
 def first_words(text: Column, n: Column, size: Column) -> Column:
     """The text up to the end of its n-th word; the whole text if that is all its words."""
     parts = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)

@@ -199,9 +199,9 @@ FROM placed
 
 @query("op2_curriculum", CURRICULUM_SQL)
 def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document."""
+    """What the mix takes of every document, by its visits in training order."""
     planned = curriculum.plan(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return planned.select("row.doc_id", "size", "source_size", "target", "taken")
+    return settled(curriculum.trained(planned)).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 WORD_BPE = packing.Packing(public_tokenizers.path("word_bpe_49k.json"))
