@@ -89,3 +89,22 @@ def test_query_columns(spark):
     assert [r.text for r in rows[:2]] == ["", ""] and rows[2].text == rows[3].text != ""
     empty = frame.where("false")
     assert empty.select(pages.main_text(spark)).collect() == []
+
+
+def test_only_hidden_elements_are_dropped():
+    def said(html):
+        return " ".join(node.text for node in dom.parse(html) if not node.tag)
+
+    for shown in (
+        'title="the hidden cost"', 'class="x hidden md:block"', 'data-hidden="1"', "aria-hidden=false",
+        'title="display: none"', 'title="aria-hidden=true"',
+    ):
+        assert said(f"<div {shown}><p>kept words</p></div>") == "kept words"
+    for hidden in (
+        "hidden", 'class="a" hidden=""', "HIDDEN id=x", 'aria-hidden="true"', "style='color:red; Display : none'",
+    ):
+        assert said(f"<div {hidden}><p>lost</p></div><p>after</p>") == "after"
+        assert said(f"<p><span {hidden}>lost</span>after</p>") == "after"
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>TeX</annotation></math>"
+    assert said(f"<p>let {formula} hold</p>") == "let x=1 hold"
+    assert said("<p>see <video src=a>a film</video> and <object>a picture</object></p>") == "see a film and a picture"

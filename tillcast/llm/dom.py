@@ -16,13 +16,15 @@ from math import log1p
 # Element names with a part in the structure of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    "script style noscript template head title textarea select svg iframe object canvas math button "
-    "audio video datalist".split()
+    "script style noscript template head title textarea select svg iframe canvas button "
+    "datalist annotation annotation-xml".split()
 )
 RAW = frozenset("script style textarea title iframe noscript".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var nobr".split()
+    "small span strike strong sub sup time tt u var nobr audio object video "
+    "math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
@@ -47,9 +49,8 @@ MARKUP = re.compile(
 NAMES = re.compile(
     r"(?:^|\s)(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I
 )
-HIDDEN = re.compile(
-    r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I
-)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 TOKEN = re.compile(r"[a-z]+", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -143,7 +144,7 @@ def parse(html: str) -> list[Node]:
         closing = found[1] or found[4]
         attributes = found[3] if found[2] else found[6]
         if closing:
-            if not any(name == tag for name, _ in stack[1:]):
+            if not any(name.lstrip("!") == tag for name, _ in stack[1:]):
                 if tag == "p" or tag not in INLINE:
                     run = None
                 elif tag == "br" and run is not None:
@@ -190,7 +191,7 @@ def parse(html: str) -> list[Node]:
         silent = sum(name in SILENT or name.startswith("!") for name, _ in stack)
         if attributes.rstrip().endswith("/") and tag in SILENT:
             continue
-        if HIDDEN.search(attributes):
+        if _hidden(attributes):
             tag = "!" + tag
         block = stack[-1][1]
         if tag in INLINE or tag.startswith("!") or tag in SILENT:
@@ -216,9 +217,9 @@ CONTAINERS = frozenset("article aside main section div td th table form body htm
 def _reaches(stack, tag: str) -> bool:
     """Whether an inline end tag finds its start without leaving a block."""
     for name, _ in reversed(stack):
-        if name == tag:
+        if name.lstrip("!") == tag:
             return True
-        if name not in INLINE:
+        if name.lstrip("!") not in INLINE:
             return False
     return False
 
@@ -235,6 +236,17 @@ def _close(stack, ended: frozenset, beyond: frozenset, run):
     return run
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether an attribute says so: ``hidden``, ``aria-hidden`` or the style, by its own value."""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), unescape("".join(values)).strip()
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return True
+        if name == "style" and UNSEEN.search(value):
+            return True
+    return False
+
+
 def _names(attributes: str) -> str:
     return " ".join("".join(m) for m in NAMES.findall(attributes))
 
