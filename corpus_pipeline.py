@@ -7,6 +7,7 @@ last one returns pieces with their ids; the others return the columns of the doc
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +41,24 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return curriculum.mixed(docs)
 
 
+def as_written(docs: DataFrame) -> DataFrame:
+    """Rows in the order they were written in: by number of the file and place in it.
+
+    Spark reads files by size. What isn't read from files directly keeps the order it has.
+    """
+    try:
+        placed = docs.select("_metadata.file_name", "_metadata.row_index", F.struct("*").alias("row"))
+    except AnalysisException:
+        return docs
+    number = F.regexp_extract("file_name", r"^part-(\d+)", 1).try_cast("long")
+    return placed.orderBy(number, "file_name", "row_index").select("row.*")
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences whose lengths are powers of two, with their ids."""
+    """Sequences whose lengths are powers of two, with their ids, numbered in training order."""
     small_batches(spark)
     method = packing.Packing(public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(docs, method)
+    return packing.pack(as_written(docs), method)
 
 
 STAGES = [

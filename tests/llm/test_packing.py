@@ -56,3 +56,16 @@ def test_empty_table_and_buckets(spark, documents, tmp_path):
     pieces = packing.pack(documents([(1, "a b c")]), method)
     packing.write_buckets(pieces, str(tmp_path / "b"))
     assert {r.bucket for r in spark.read.parquet(str(tmp_path / "b")).collect()} == {2}
+
+
+def test_pipeline_numbers_sequences_in_the_order_of_several_files(spark, documents, tmp_path):
+    import corpus_pipeline
+
+    rows = documents([(i, " ".join(f"w{i * 977 + j}" for j in range(3 + 40 * i))) for i in range(40)])
+    path = str(tmp_path / "mixed")
+    rows.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert len(docs.inputFiles()) > 1
+    pieces = corpus_pipeline.packed(spark, docs, "").collect()
+    ids = [p.doc_id for p in sorted(pieces, key=lambda p: p.sequence_id)]
+    assert set(ids) == set(range(40)) and ids == sorted(ids)
