@@ -148,10 +148,12 @@ def test_cells_cover_space():
     assert same["cell"] == [0]
 
 
-@pytest.mark.parametrize("name", ["decision_tree", "random_forest"])
-def test_trees_beat_the_mean(linear, name):
+@pytest.mark.parametrize(
+    "name, given", [("decision_tree", {}), ("random_forest", {"n_estimators": 5})]
+)
+def test_trees_beat_the_mean(linear, name, given):
     x, y, frame = linear
-    estimator = make_estimator(name, {"n_estimators": 5, "min_samples_leaf": 10}, seed=1)
+    estimator = make_estimator(name, {"min_samples_leaf": 10, **given}, seed=1)
     model = estimator.fit(frame)
     assert np.mean((predicted(model, frame) - y) ** 2) < 0.3 * y.var()
     np.testing.assert_array_equal(predicted(model, frame), predicted(estimator.fit(frame), frame))

@@ -270,6 +270,8 @@ def _report_sql() -> str:
     SELECT count(*) AS rows, {len(LINE_COLUMNS)} AS "columns",
         strftime(min(l_shipdate), '%Y-%m-%d') AS date_min,
         strftime(max(l_shipdate), '%Y-%m-%d') AS date_max,
+        strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S') AS time_min,
+        strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS time_max,
         round(sum({_nulls(LINE_COLUMNS)}) / (count(*) * {len(LINE_COLUMNS)}), 9) AS missing_part,
         count(*) - (SELECT count(*) FROM kept) AS duplicate_rows,
         round(CAST(count(*) - (SELECT count(*) FROM kept) AS DOUBLE) / count(*), 9)
