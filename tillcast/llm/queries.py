@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import chat, curriculum, descent, hosts, ledger, neardup, packing, pages, passages, toxicity
+from tillcast.llm import anchors, chat, curriculum, descent, hosts, ledger, neardup, packing, pages, passages, toxicity
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import settled, work_path
 
@@ -308,3 +308,11 @@ def paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages of every document that repeat across documents."""
     small_batches(spark)
     return passages.repeated(table(spark, sf_dir, "documents"))
+
+
+@query("op11_anchor_simhash")
+def anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and its group of fingerprints two bits apart at most."""
+    small_batches(spark)
+    found = anchors.groups(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", anchors.hex_digits(F.col("fingerprint")))
