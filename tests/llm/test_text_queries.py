@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

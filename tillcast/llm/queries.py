@@ -13,7 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import anchors, chat, curriculum, descent, hosts, ledger, neardup, packing, pages, passages, toxicity
+from tillcast.llm import (
+    anchors,
+    chat,
+    curriculum,
+    descent,
+    hosts,
+    ledger,
+    neardup,
+    negatives,
+    packing,
+    pages,
+    passages,
+    phrases,
+    toxicity,
+)
 from tillcast.llm.common import hex_of, small_batches, table
 from tillcast.session import settled, work_path
 
@@ -316,3 +330,81 @@ def anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     found = anchors.groups(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", anchors.hex_digits(F.col("fingerprint")))
+
+
+NEGATIVES_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_strassen_negatives", NEGATIVES_SQL)
+def strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return negatives.hard_negatives(vectors, F.col("id") % 100 == 0)
+
+
+PHRASES_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), sizes AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+    (SELECT unnest(range(1, 6)) AS k)
+  WHERE i + k - 1 <= len(words) GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS j
+  FROM g WHERE k > 1
+), s AS (
+  SELECT c.lang, c.k, c.phrase, c.words, c.a, sizes.n, x.f AS l, y.f AS r,
+    ((1000::HUGEINT * c.a * sizes.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts AS c JOIN sizes USING (lang)
+  JOIN g AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:j], ' ')
+  JOIN g AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[j + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, k, words, a, m, unnest(range(1, k - m + 2)) AS i
+        FROM s, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)
+  GROUP BY ALL
+)
+SELECT lang, phrase, a, l, r, n, score,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+FROM s LEFT JOIN inside USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
+
+
+@query("op13_parsed_phrases", PHRASES_SQL)
+def parsed_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collocations of each language."""
+    small_batches(spark)
+    return phrases.collocations(table(spark, sf_dir, "documents"))
