@@ -30,12 +30,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import small_enough
-from tillcast.llm.shingles import GOLDEN, WordHashes, mixed
+from tillcast.llm.shingles import GOLDEN, mixed
 from tillcast.session import settled
 
 # What parts pieces, what parts words, and the name of an unknown language.
@@ -61,49 +63,90 @@ class Mining:
     held: int = 1 << 20  # phrases added up in a task before they are sent
 
 
-def rolled(words: np.ndarray, length: int, seed: np.ndarray | int = 0) -> np.ndarray:
+#: Odd, and scattered values of bytes; blanks and breaks have none, so they don't change a sum.
+BASE = np.uint64(0x9E3779B97F4A7C13)
+VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+VALUES[[0x20, 0x0A]] = 0
+TEXT_BYTES = 4 << 20  # of texts that are parsed at once
+WORDS_AT_ONCE = 1 << 18
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of each word of a buffer by its bytes; a word ends where blanks or the next one begin."""
+    made = np.empty(len(starts), np.uint64)
+    bounds = np.append(starts, len(data))
+    for at in range(0, len(starts), WORDS_AT_ONCE):
+        here = bounds[at : at + WORDS_AT_ONCE + 1]
+        sizes = np.diff(here)
+        powers = np.full(int(sizes.max()), BASE)
+        powers = np.multiply.accumulate(powers)
+        place = np.arange(here[0], here[-1]) - np.repeat(here[:-1], sizes)
+        terms = VALUES[data[here[0] : here[-1]]] * powers[place]
+        made[at : at + WORDS_AT_ONCE] = np.add.reduceat(terms, here[:-1] - here[0])
+    return mixed(made)
+
+
+def rolled(words: np.ndarray, length: int, seed: np.ndarray | None = None) -> np.ndarray:
     """The hash of the ``length`` words from each place on."""
-    made = np.zeros(max(len(words) - length + 1, 0), np.uint64) + np.uint64(0)
-    made = made + (seed[: len(made)] if isinstance(seed, np.ndarray) else np.uint64(seed))
+    made = np.zeros(max(len(words) - length + 1, 0), np.uint64)
+    if seed is not None:
+        made = seed[: len(made)]
     for i in range(length):
         made = mixed(made + GOLDEN + words[i : i + len(made)])
     return made
 
 
-def _parser(method: Mining):
+def chunks_of(texts: list[bytes], method: Mining) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """For every chunk of the texts: the text's number, the words joined by blanks, the starts it owns."""
     overlap = method.longest - 1
+    data = np.frombuffer(b"\n".join(texts).translate(FOLDED), np.uint8)
+    inside = np.concatenate([[False], (data != 0x20) & (data != 0x0A), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    n = len(starts)
+    if not n:
+        return np.empty(0, np.int64), [], np.empty(0, np.int64)
+    piece = np.searchsorted(np.flatnonzero(data == 0x0A), starts)
+    is_first = np.concatenate([[True], piece[1:] != piece[:-1]])
+    first = np.flatnonzero(is_first)
+    piece_end = np.append(first[1:], n)
+    piece_end = np.repeat(piece_end, np.diff(np.append(first, n)))
+    triggers = np.flatnonzero(rolled(word_hashes(data, starts), overlap) % np.uint64(method.every) == 0)
+    triggers = triggers[triggers + overlap <= piece_end[triggers]]
+    is_first[triggers] = True
+    begins = np.flatnonzero(is_first)
+    following, last = np.append(begins[1:], n), piece_end[begins]
+    ends_piece = following >= last
+    stops = np.where(ends_piece, last, following + overlap)
+    owned = np.where(ends_piece, last, following) - begins
+    # The words with one blank between any two.
+    sizes = ends - starts
+    ends_joined = np.cumsum(sizes + 1) - 1
+    kept = inside[1:-1].copy()
+    kept[ends[ends < len(data)]] = True
+    joined = data[kept]
+    joined = np.where(joined == 0x0A, np.uint8(0x20), joined).tobytes()
+    spans = zip((ends_joined - sizes)[begins].tolist(), ends_joined[stops - 1].tolist())
+    offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
+    rows = np.searchsorted(offsets, starts[begins], "right") - 1
+    return rows, [joined[a:b] for a, b in spans], owned
 
+
+def _parser(method: Mining):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            pieces, of = [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                for piece in text.translate(FOLDED).split(b"\n"):
-                    if words := piece.split():
-                        pieces.append(words)
-                        of.append(row)
-            chunks, rows, owned = [], [], []
-            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-            words = np.fromiter((hashes[w] for p in pieces for w in p), np.uint64, ends[-1] if len(ends) else 0)
-            triggers = np.flatnonzero(rolled(words, overlap) % np.uint64(method.every) == 0)
-            first = np.searchsorted(triggers, ends)
-            before, start = 0, 0
-            for piece, row, end, after in zip(pieces, of, ends.tolist(), first.tolist()):
-                begin = 0
-                for place in (triggers[before:after] - start).tolist() if before < after else ():
-                    if 0 < place <= len(piece) - overlap:
-                        chunks.append(b" ".join(piece[begin : place + overlap]))
-                        owned.append(place - begin)
-                        rows.append(row)
-                        begin = place
-                chunks.append(b" ".join(piece[begin:]) if begin else b" ".join(piece))
-                owned.append(len(piece) - begin)
-                rows.append(row)
-                before, start = after, end
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(chunks, pa.binary()), pa.array(owned, pa.int64())],
-                names=["lang", "chunk", "owned"],
-            )
+            sizes = batch.column(1).cast(pa.large_binary())
+            sizes = np.cumsum(pc.binary_length(sizes).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                # At least one text, and no more than fit.
+                before = sizes[at - 1] if at else 0
+                upto = max(int(np.searchsorted(sizes, before + TEXT_BYTES, "right")), at + 1)
+                rows, chunks, owned = chunks_of(batch.column(1)[at:upto].to_pylist(), method)
+                langs = batch.column(0).take(pa.array(rows + at))
+                columns = [langs, pa.array(chunks, pa.binary()), pa.array(owned, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "owned"])
+                at = upto
 
     return parse
 
@@ -121,22 +164,37 @@ def parsed(docs: DataFrame, method: Mining, lang: str = "lang", text: str = "tex
 class Grams:
     """The phrases that a batch of chunks owns the starts of, by the hashes of their words."""
 
-    def __init__(self, batch: pa.RecordBatch, hashes: WordHashes):
-        self.words = [chunk.split(b" ") for chunk in batch.column(1).to_pylist()]
-        sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
-        ends = np.cumsum(sizes)
-        owned = batch.column(2).to_numpy(zero_copy_only=False)
-        weight = batch.column(3).to_numpy(zero_copy_only=False)
-        langs = batch.column(0).dictionary_encode()
-        seeds = np.array([hashes[name.encode()] for name in langs.dictionary.to_pylist()], np.uint64)
-        self.hashed = np.fromiter((hashes[w] for c in self.words for w in c), np.uint64, sizes.sum())
+    def __init__(self, batch: pa.RecordBatch):
+        chunks = batch.column(1).cast(pa.binary())
+        _, offsets, data = chunks.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[chunks.offset :][: len(chunks) + 1]
+        self.bytes = memoryview(data)[offsets[0] : offsets[-1]]
+        found = np.frombuffer(self.bytes, np.uint8)
+        offsets = (offsets - offsets[0]).astype(np.int64)
+        blanks = np.flatnonzero(found == 0x20)
+        is_start = np.zeros(len(found) + 1, bool)
+        is_start[blanks + 1] = True
+        is_start[offsets] = True
+        self.starts_at = np.flatnonzero(is_start)[:-1]
+        is_end = np.zeros(len(found) + 1, bool)
+        is_end[blanks] = True
+        is_end[offsets[1:]] = True
+        self.ends_at = np.flatnonzero(is_end)
+        first = np.searchsorted(self.starts_at, offsets)
+        sizes = np.diff(first)
+        numbers = np.arange(len(self.starts_at))
         self.chunk = np.repeat(np.arange(len(sizes)), sizes)
-        self.place = np.arange(len(self.chunk)) - np.repeat(ends - sizes, sizes)
-        self.own = self.place < owned[self.chunk]
-        self.room = np.repeat(ends, sizes) - np.arange(len(self.chunk))
-        self.weight = weight[self.chunk]
-        self.seed = seeds[langs.indices.to_numpy(zero_copy_only=False)][self.chunk]
+        place = numbers - first[self.chunk]
+        owned = batch.column(2).to_numpy(zero_copy_only=False)
+        self.own = place < owned[self.chunk]
+        self.room = first[self.chunk + 1] - numbers
+        self.weight = batch.column(3).to_numpy(zero_copy_only=False)[self.chunk]
         self.langs = batch.column(0)
+        named = self.langs.dictionary_encode()
+        seeds = [xxhash.xxh3_64_intdigest(name) for name in named.dictionary.to_pylist()]
+        of_chunk = np.array(seeds, np.uint64)[named.indices.to_numpy(zero_copy_only=False)]
+        self.seed = of_chunk[self.chunk]
+        self.hashed = word_hashes(found, self.starts_at)
 
     def of(self, length: int) -> np.ndarray:
         """The hash of the phrase from every place on, also where it runs out of its chunk."""
@@ -146,6 +204,9 @@ class Grams:
         """The places that own a phrase of this length."""
         return np.flatnonzero(self.own & (self.room >= length))
 
+    def phrase(self, place: int, length: int) -> bytes:
+        return bytes(self.bytes[self.starts_at[place] : self.ends_at[place + length - 1]])
+
 
 def is_marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = hashes % np.uint64(64 * len(bits))
@@ -166,7 +227,7 @@ def _counter(length: int, shorter: Broadcast | None, method: Mining):
     """Sums of the phrases of one length whose shorter ones may be frequent."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, found, weights, held = WordHashes(), [], [], 0
+        found, weights, held = [], [], 0
 
         def sums() -> pa.RecordBatch:
             distinct, total, _ = added_up(found, weights)
@@ -176,7 +237,9 @@ def _counter(length: int, shorter: Broadcast | None, method: Mining):
             return pa.RecordBatch.from_arrays(columns, names=["phrase", "n"])
 
         for batch in batches:
-            grams = Grams(batch, hashes)
+            if not batch.num_rows:
+                continue
+            grams = Grams(batch)
             at = grams.starts(length)
             if shorter is not None:
                 may = is_marked(shorter.value, grams.of(length - 1))
@@ -210,7 +273,7 @@ def _resolver(maps: list[Broadcast], method: Mining):
     """Phrases in words, with sums over what a task has gathered."""
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, gathered, held = WordHashes(), [], 0
+        gathered, held = [], 0
 
         def told() -> Iterator[pa.RecordBatch]:
             starts = np.cumsum([0, *(len(g.hashed) for g in gathered)])
@@ -225,12 +288,11 @@ def _resolver(maps: list[Broadcast], method: Mining):
                     places.append(start + at[may])
                 _, sums, first = added_up(found, weights)
                 langs, phrases = [], []
-                for place in np.concatenate(places)[first].tolist():
-                    i = int(np.searchsorted(starts, place, "right")) - 1
-                    grams, at = gathered[i], place - int(starts[i])
-                    chunk, begin = int(grams.chunk[at]), int(grams.place[at])
-                    phrases.append(b" ".join(grams.words[chunk][begin : begin + length]))
-                    langs.append(grams.langs[chunk].as_py())
+                place = np.concatenate(places)[first]
+                of = np.searchsorted(starts, place, "right") - 1
+                for i, at in zip(of.tolist(), (place - starts[of]).tolist()):
+                    phrases.append(gathered[i].phrase(at, length))
+                    langs.append(gathered[i].langs[int(gathered[i].chunk[at])].as_py())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(langs, pa.string()),
@@ -242,7 +304,9 @@ def _resolver(maps: list[Broadcast], method: Mining):
                 )
 
         for batch in batches:
-            gathered.append(Grams(batch, hashes))
+            if not batch.num_rows:
+                continue
+            gathered.append(Grams(batch))
             held += len(gathered[-1].hashed)
             if held >= method.held // 4:
                 yield from told()
