@@ -265,7 +265,8 @@ def hard_negatives(
     )
     led = anchors.withColumnRenamed("id", "anchor").join(wanted, ["anchor", "own"])
     led = settled(led.select(F.col("anchor").alias("id"), "own", "label", "v", "positives"))
-    everywhere = F.lit(0).alias("part")
+    # Zero, but not a constant, so that tiles are still joined on a key.
+    everywhere = F.pmod("id", F.lit(1)).alias("part")
     mined = _tiled(
         led.select("*", everywhere), rows.select("*", everywhere), _negative_heaps(method), MINED, method.tile
     )
