@@ -1,8 +1,10 @@
 """Packing against the tokenizer itself."""
 
+import zlib
+
 import numpy as np
 import public_tokenizers
-import zlib
+import pytest
 from tokenizers import Tokenizer
 
 from tillcast.llm import packing
@@ -39,15 +41,38 @@ def test_lengths_are_binary():
     assert packing.piece_lengths(2047, 2048) == [2**k for k in range(10, -1, -1)]
 
 
-def test_words_are_forgotten_but_not_lost(documents, monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 4)
+def test_words_are_forgotten_but_not_lost(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    tokenizer = Tokenizer.from_file(PATH)
+    memory, method = packing.WordMemory(tokenizer), packing.Packing(PATH)
+    for texts in (["one two three", "four"], ["five six one", ""], ["one six seven.", "four <|x|> ONE"], ["seven."]):
+        ids, sizes = packing.ids_of([t.encode() for t in texts], memory, method)
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+        assert ids.tolist() == sum(expected, []) and sizes.tolist() == [len(e) for e in expected]
+        assert len(memory.key) <= 5 + 6
+
+
+def test_strings_of_words_equal_single_words(monkeypatch):
+    """Special tokens, in either case and inside words, and strings of few words."""
+    monkeypatch.setattr(packing, "STRING_WORDS", 3)
+    tokenizer = Tokenizer.from_file(PATH)
+    words = "a ab, <|endoftext|> <|ENDOFTEXT|> x<|endoftext|>y \x85 é ' 's don't <|pad|> ｡ zz\x1cz \u0345".split(" ")
+    ids, sizes = packing.encoded([w.encode() for w in words], tokenizer, "<|endoftext|>")
+    single = [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert ids.tolist() == sum(single, []) and sizes.tolist() == [len(s) for s in single]
+
+
+def test_very_long_text_and_clashing_columns(documents, monkeypatch):
     tokenizer = Tokenizer.from_file(PATH)
-    known = packing.Encoded(tokenizer)
-    for text in ("one two three", "four five six", "one six seven."):
-        words = [w.encode() for w in text.split()]
-        known.learn(set(words))
-        ids = np.frombuffer(b"".join(known[w] for w in words), "<u4").tolist()
-        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    long = "A long text, " * 120_000
+    docs = documents([(1, long), (2, "b"), (3, None)]).withColumnRenamed("size", "Length")
+    docs = docs.withColumnRenamed("source", "sequence_id").withColumnRenamed("lang", "bucket")
+    rows = packing.pack(docs, packing.Packing(PATH), with_ids=False).collect()
+    expected = len(tokenizer.encode(long, add_special_tokens=False).ids) + 1
+    assert sum(r.length for r in rows if r.doc_id == 1) == expected
+    assert [r.length for r in rows if r.doc_id == 3] == [1]
+    with pytest.raises(ValueError, match="no token"):
+        packing.pack(docs, packing.Packing(PATH, parting="<|nothing|>"))
 
 
 def test_empty_table_and_buckets(spark, documents, tmp_path):
