@@ -8,7 +8,9 @@ from tillcast.models.mean import MeanRegressor
 from tillcast.operators.history import update_timeline
 from tillcast.params import SOURCE_FILE, ColumnRoles, ModelParams
 from tillcast.sources.files import path_exists
+from tillcast.streaming.progress import MICRO_BATCH, ProgressLog
 from tillcast.streaming.replay import Replay, updated_model
+from tillcast.streaming.totals import DailyTotals
 
 
 @pytest.fixture
@@ -220,3 +222,142 @@ def test_rows_that_land_late_join_the_next_refit(store_sales, store_params, work
     assert replay.update(1) == 1
     rows = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
     assert [r["train_rows"] for r in rows] == [17, 21]
+
+
+def landing(store_sales, workspace, days):
+    """Add two rows for each of some days of January to the stream's folder, as one file."""
+    rows = store_sales.where(store_sales["Date"].cast("date").isin([date(2024, 1, d) for d in days]))
+    rows.union(rows).coalesce(1).write.mode("append").parquet(workspace.path("incoming"))
+
+
+def dealt(workspace):
+    """The days of every batch, as its rows have them."""
+    found = {}
+    for r in workspace.raw.read().selectExpr("batch_id", "day(Date) as day").distinct().collect():
+        found.setdefault(int(r["batch_id"]), set()).add(r["day"])
+    return found
+
+
+def stream_of(store_sales, workspace, files=None):
+    options = {} if files is None else {"maxFilesPerTrigger": files}
+    read = workspace.spark.readStream.schema(store_sales.schema).options(**options)
+    return lambda: read.parquet(workspace.path("incoming"))
+
+
+def test_days_that_land_later_extend_the_stream(store_sales, store_params, workspace):
+    params = three_day_batches(store_params)
+    landing(store_sales, workspace, [d for d in range(1, 12) if d != 9])
+    replay = Replay(stream_of(store_sales, workspace), params, workspace, mean_of)
+    # Five days, two, and three for the stream: 8, 10 and 11.
+    assert replay.update() == 1 and dealt(workspace) == {0: {8, 10, 11}}
+    assert replay.update() == 0
+    landing(store_sales, workspace, [9, 12, 13, 14, 15, 2])
+    assert replay.update() == 2
+    assert dealt(workspace) == {0: {8, 10, 11}, 1: {9, 12, 13}, 2: {14, 15}}
+    landing(store_sales, workspace, [16])
+    assert replay.update() == 1 and dealt(workspace)[3] == {16}
+    rows = workspace.committed().orderBy("batch_id").collect()
+    assert {(r["initial_date_max"], r["validation_date_max"]) for r in rows} == {("2024-01-05", "2024-01-07")}
+    assert [r["stream_date_count"] for r in rows] == [3, 8, 8, 9]
+    metrics = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
+    # The second of January landed twice: all its rows are known.
+    assert [r["train_rows"] for r in metrics] == [20, 28, 32, 34]
+
+
+def test_a_short_batch_may_wait(store_sales, store_params, workspace):
+    params = three_day_batches(store_params)
+    landing(store_sales, workspace, range(1, 13))
+    replay = Replay(stream_of(store_sales, workspace), params, workspace, mean_of)
+    assert replay.update(closing=False) == 1 and dealt(workspace) == {0: {9, 10, 11}}
+    landing(store_sales, workspace, [13, 14])
+    assert replay.update(closing=False) == 1 and dealt(workspace)[1] == {12, 13, 14}
+
+
+def test_a_planned_batch_keeps_its_days(store_sales, store_params, workspace):
+    """Days that land between a batch's failure and its repetition go to the next one."""
+    params = three_day_batches(store_params)
+    landing(store_sales, workspace, [d for d in range(1, 14) if d != 11])
+
+    def fail(batch_id):
+        raise RuntimeError("lost")
+
+    incoming = stream_of(store_sales, workspace)
+    with pytest.raises(Exception, match="lost"):
+        Replay(incoming, params, workspace, mean_of, before_commit=fail).update(1)
+    landing(store_sales, workspace, [11, 14])
+    assert Replay(incoming, params, workspace, mean_of).update() == 2
+    assert dealt(workspace) == {0: {9, 10, 12}, 1: {11, 13, 14}}
+    metrics = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
+    # Day 11 waits for batch 1, so the model after batch 0 hasn't seen it.
+    assert [r["train_rows"] for r in metrics] == [22, 28]
+    assert metrics[1]["prediction_mean"] == pytest.approx((sum(range(100, 110)) + 111) / 11)
+
+
+def test_scored_and_learnt_inside_the_stream(store_sales, store_params, workspace):
+    params = three_day_batches(store_params)
+    failures = [1]
+
+    def fail_once(batch_id):
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError("lost")
+
+    incoming = stream_of(store_sales, workspace, files=1)
+    landing(store_sales, workspace, range(1, 11))
+    for day in range(11, 16):
+        landing(store_sales, workspace, [day])
+    replay = Replay(incoming, params, workspace, mean_of, before_commit=fail_once, first_days=10)
+    with pytest.raises(Exception, match="lost"):
+        replay.start(availableNow=True).awaitTermination()
+    assert committed(workspace) == [0]
+    again = Replay(incoming, params, workspace, mean_of)
+    again.start(availableNow=True).awaitTermination()
+    # Five days, two, and the stream from day 8: the last two wait.
+    assert dealt(workspace) == {0: {8, 9, 10}, 1: {11, 12, 13}}
+    assert again.update() == 1 and dealt(workspace)[2] == {14, 15}
+    rows = workspace.metrics.read().where("batch_id >= 0").orderBy("batch_id").collect()
+    assert [r["prediction_mean"] for r in rows] == pytest.approx([102.0, 104.5, 106.0])
+    assert again.landed.read().count() == 30
+
+
+def test_a_stream_without_a_model_says_so(store_sales, store_params, workspace):
+    landing(store_sales, workspace, range(1, 11))
+    replay = Replay(stream_of(store_sales, workspace), store_params, workspace, mean_of)
+    with pytest.raises(Exception, match="pretrain"):
+        replay.start(availableNow=True).awaitTermination()
+
+
+def test_totals_double_nothing(store_sales, store_params, workspace):
+    params = three_day_batches(store_params)
+    failing = [1]
+
+    def fail_once(batch_id):
+        if batch_id in failing:
+            failing.remove(batch_id)
+            raise RuntimeError("lost")
+
+    replay = replay_of(store_sales, params, workspace, before_commit=fail_once)
+    with pytest.raises(Exception, match="lost"):
+        replay.update()
+    DailyTotals(workspace).follow().awaitTermination()
+    days = [r["date"].day for r in DailyTotals(workspace).read().orderBy("date").collect()]
+    assert days == [15, 16, 17]
+    for _ in range(2):
+        replay.update()
+        DailyTotals(workspace).follow().awaitTermination()
+    kept = DailyTotals(workspace).read().orderBy("date").collect()
+    daily = update_timeline(workspace.metrics.read(), workspace.predictions.read()).collect()
+    assert [tuple(r)[:3] for r in kept] == [tuple(r)[:3] for r in daily] and len(kept) == 6
+    assert [r["rows"] for r in kept] == [1] * 6 and [r["day_offset"] for r in kept] == list(range(6))
+
+
+def test_micro_batches_are_on_record(store_sales, store_params, workspace):
+    for days in ([1, 2, 3], [4], [5, 6]):
+        landing(store_sales, workspace, days)
+    log = ProgressLog(workspace.spark, workspace.operations)
+    replay = Replay(stream_of(store_sales, workspace, 1), store_params, workspace, mean_of, progress=log)
+    replay.land()
+    log.close()
+    told = workspace.operations.read().where(f"operation = '{MICRO_BATCH}'").orderBy("run_id").collect()
+    assert [(r["run_id"], r["input_rows"]) for r in told] == [("stream-0", 6), ("stream-1", 2), ("stream-2", 4)]
+    assert all(r["duration_seconds"] > 0 and r["status"] == "success" for r in told)

@@ -98,11 +98,22 @@ def update_timeline(metrics: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 class Operations:
-    """Records each operation with its outcome, also when it fails."""
+    """Records each operation with its outcome, also when it fails.
+
+    Records are only added, by operation and day, so the table has a folder per day, not per attempt.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.table = KeyedTable(spark, path, key=("operation", "run_id"))
+        self.path = path
+
+    def append(self, rows: Sequence[Mapping[str, object]]) -> None:
+        """Add records; a field that isn't given is null."""
+        if not rows:
+            return
+        values = [tuple(row.get(f.name) for f in OPERATIONS.fields) for row in rows]
+        made = records(self.spark, values, OPERATIONS).withColumn("day", F.to_date("timestamp"))
+        made.write.mode("append").partitionBy("operation", "day").parquet(self.path)
 
     @contextmanager
     def record(self, operation: str, run_id: str | None = None, **known):
@@ -130,8 +141,7 @@ class Operations:
                 "duration_seconds": time.perf_counter() - started,
                 "error_message": error,
             }
-            values = tuple(row.get(f.name) for f in OPERATIONS.fields)
-            self.table.write(records(self.spark, [values], OPERATIONS))
+            self.append([row])
 
     def read(self) -> DataFrame:
-        return self.table.read(OPERATIONS)
+        return KeyedTable(self.spark, self.path).read(OPERATIONS)

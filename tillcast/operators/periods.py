@@ -141,6 +141,15 @@ def rows_for_days(frame: DataFrame, params: JobParams, days: DataFrame) -> DataF
     )
 
 
+def without_days(frame: DataFrame, params: JobParams, days: DataFrame) -> DataFrame:
+    """Rows whose day isn't in a set of days; rows without a day stay."""
+    return (
+        frame.withColumn("_day", day(frame, params.time_column))
+        .join(F.broadcast(days.select(F.col("day").alias("_day")).distinct()), "_day", "left_anti")
+        .drop("_day")
+    )
+
+
 def known_rows(frame: DataFrame, params: JobParams, until: date) -> DataFrame:
     """Rows up to and including a day."""
     at = moment(frame, params.time_column)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillcast.models.mean import MeanRegressor
@@ -14,7 +15,10 @@ from tillcast.queries.data import EVENTS, calendar_sql, rounded, table
 from tillcast.queries.registry import query
 from tillcast.session import work_path
 from tillcast.sources.tables import records
+from tillcast.streaming.calendar import EPOCH
+from tillcast.streaming.progress import MICRO_BATCH, ProgressLog
 from tillcast.streaming.replay import Replay, updated_model
+from tillcast.streaming.totals import DailyTotals
 
 # Only the time gives features; the model under test is a mean.
 TIMED = JobParams(
@@ -39,17 +43,19 @@ def _mean(name: str) -> MeanRegressor:
     return MeanRegressor()
 
 
-def _stream_of(spark, path, schema):
-    return lambda: spark.readStream.schema(schema).parquet(path)
+def _stream_of(spark, path, schema, files=None):
+    """The files of a path as a stream, so many of them to a micro-batch."""
+    options = {} if files is None else {"maxFilesPerTrigger": files}
+    return lambda: spark.readStream.schema(schema).options(**options).parquet(path)
 
 
-def _replay(spark, folder, params=TIMED, make=_mean, path=None, **more) -> Replay:
+def _replay(spark, folder, params=TIMED, make=_mean, path=None, files=None, **more) -> Replay:
     """A replay of the events, streamed from their own files or from a folder."""
     workspace = Workspace(spark, work_path(spark, "replay"))
     events = table(spark, folder, "events")
     # A pattern, as a stream can't be of a path that may be one file.
     path = path or f"{folder.rstrip('/')}/event[s].parquet"
-    return Replay(_stream_of(spark, path, events.schema), params, workspace, make, **more)
+    return Replay(_stream_of(spark, path, events.schema, files), params, workspace, make, **more)
 
 
 def _failing_once(batches: set[int]):
@@ -263,3 +269,163 @@ def retried_operations(spark, folder):
     return found.groupBy(batch.cast("long").alias("batch_id"), "status").agg(
         F.count(F.lit(1)).alias("attempts")
     )
+
+
+def _portion_sql(size: int, held_back: str = "") -> str:
+    """The calendar of the first three fifths of the days, all days, and where the stream begins."""
+    return f"""every_day AS (
+        SELECT day, CAST(row_number() OVER (ORDER BY day) - 1 AS BIGINT) AS place,
+            count(*) OVER () * 3 // 5 AS early
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)),
+    portion AS (SELECT day FROM every_day WHERE place < early {held_back}),
+    {calendar_sql("portion", "day", size)},
+    start AS (SELECT max(day) AS until FROM cal WHERE period = 'validation')"""
+
+
+def _portions(spark, folder, held_back=False):
+    """The events of the first three fifths of the days, all but one of these if one is held back, and the rest."""
+    events = table(spark, folder, "events")
+    days = [r["day"] for r in calendar(events, TIMED).orderBy("ord").select("day").collect()]
+    early = days[: len(days) * 3 // 5]
+    if held_back:
+        early.pop(-3)
+    first = F.to_date("ts").isin(early)
+    return events.where(first), events.where(~first), [d for d in days if d not in early]
+
+
+@query(
+    "stream_portions",
+    f"""WITH {_portion_sql(4, "AND place <> early - 3")},
+    later AS (
+        SELECT day, CAST(row_number() OVER (ORDER BY day) - 1 AS BIGINT) AS place FROM every_day
+        WHERE day > (SELECT until FROM start) AND day NOT IN (SELECT day FROM portion)),
+    planned AS (
+        SELECT day, batch_id FROM cal WHERE batch_id IS NOT NULL
+        UNION ALL
+        SELECT day, (SELECT max(batch_id) + 1 FROM cal) + place // 4 FROM later),
+    sizes AS (SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1)
+    SELECT p.batch_id, p.day, s.rows,
+        (SELECT CAST(sum(rows) AS BIGINT) FROM sizes
+            WHERE day <= (SELECT until FROM start)
+                OR day IN (SELECT q.day FROM planned q WHERE q.batch_id <= p.batch_id)) AS train_rows
+    FROM planned p JOIN sizes s USING (day)""",
+)
+def stream_portions(spark, folder):
+    """Days land in two portions, one of the first's days only with the second: each is in one batch."""
+    first, second, _ = _portions(spark, folder, held_back=True)
+    path = work_path(spark, "landing")
+    first.write.parquet(path)
+    replay = _replay(spark, folder, path=path)
+    replay.update()
+    second.write.mode("append").parquet(path)
+    replay.update()
+    space = replay.workspace
+    days = space.raw.read().groupBy(
+        F.col("batch_id").cast("long").alias("batch_id"), F.to_date("ts").alias("day")
+    )
+    trained = space.metrics.read().where("period_type = 'stream'").select("batch_id", "train_rows")
+    return days.agg(F.count(F.lit(1)).alias("rows")).join(trained, "batch_id")
+
+
+INSIDE = replace(TIMED, model=replace(TIMED.model, stream_batch_days=5))
+
+
+@query(
+    "prequential_stream",
+    f"""WITH {_portion_sql(5)},
+    planned AS (
+        SELECT day, CAST((row_number() OVER (ORDER BY day) - 1) // 5 AS BIGINT) AS batch_id
+        FROM every_day WHERE day > (SELECT until FROM start)),
+    placed AS (
+        SELECT e.value, CAST(e.ts AS DATE) AS day, p.batch_id
+        FROM events e LEFT JOIN planned p ON p.day = CAST(e.ts AS DATE)),
+    models AS (
+        SELECT b.batch_id, CASE WHEN b.batch_id = 0 THEN (SELECT avg(value) FROM placed
+                WHERE day <= (SELECT max(day) FROM cal WHERE period = 'initial'))
+            ELSE (SELECT avg(value) FROM placed WHERE day < b.day_min) END AS prediction,
+            (SELECT count(*) FROM placed WHERE day <= b.day_max) AS train_rows
+        FROM (SELECT batch_id, min(day) AS day_min, max(day) AS day_max FROM planned
+            GROUP BY batch_id) b)
+    SELECT p.batch_id, m.train_rows, count(*) AS valid_rows,
+        round(sqrt(avg((m.prediction - p.value) * (m.prediction - p.value))) + 1e-7, 6) AS rmse,
+        round(avg(abs(m.prediction - p.value)) + 1e-7, 6) AS mae,
+        round(any_value(m.prediction) + 1e-7, 6) AS prediction_mean
+    FROM placed p JOIN models m USING (batch_id) GROUP BY p.batch_id, m.train_rows""",
+)
+def prequential_stream(spark, folder):
+    """Scored and learnt from inside a running stream of days, which stops between two batches once."""
+    first, second, days = _portions(spark, folder)
+    path = work_path(spark, "landing")
+    first.coalesce(1).write.parquet(path)
+    replay = _replay(spark, folder, INSIDE, path=path, files=1, before_commit=_failing_once({1}))
+    replay.update(0)
+    for day in days:
+        second.where(F.to_date("ts") == F.lit(day)).coalesce(1).write.mode("append").parquet(path)
+    for _ in range(2):
+        try:
+            replay.start(availableNow=True).awaitTermination()
+        except StreamingQueryException as problem:
+            if "executor gone" not in str(problem):
+                raise
+    replay.update()
+    found = replay.workspace.metrics.read().where("period_type = 'stream'")
+    shown = ("rmse", "mae", "prediction_mean")
+    return rounded(
+        found.select(F.col("batch_id").cast("long"), "train_rows", "valid_rows", *shown), 6, *shown
+    )
+
+
+@query(
+    "totals_stream",
+    f"""WITH {STREAM_SQL},
+    models AS (
+        SELECT b.batch_id, CASE WHEN b.batch_id = 0
+            THEN (SELECT avg(value) FROM placed WHERE period = 'initial')
+            ELSE (SELECT avg(value) FROM placed p WHERE p.day < b.day_min) END AS prediction
+        FROM batches b)
+    SELECT p.day AS date, round(sum(p.value) + 1e-7, 4) AS actual,
+        round(sum(m.prediction) + 1e-7, 4) AS prediction, count(*) AS rows,
+        CAST(p.day - (SELECT min(day_min) FROM batches) AS INTEGER) AS day_offset
+    FROM placed p JOIN models m USING (batch_id) GROUP BY p.day""",
+)
+def totals_stream(spark, folder):
+    """Daily totals kept by a stream over the predictions; one batch's are written twice."""
+    replay = _replay(spark, folder, before_commit=_failing_once({1}))
+    totals = DailyTotals(replay.workspace)
+    try:
+        replay.update()
+    except RuntimeError as problem:
+        if "executor gone" not in str(problem):
+            raise
+    totals.follow().awaitTermination()
+    replay.update()
+    totals.follow().awaitTermination()
+    return rounded(totals.read(), 4, "actual", "prediction")
+
+
+@query(
+    "micro_batches",
+    """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+    files AS (SELECT day, (row_number() OVER (ORDER BY day) - 1) // 5 AS file FROM days)
+    SELECT CAST(file AS BIGINT) AS epoch, count(*) AS input_rows, count(*) AS landed_rows,
+        'success' AS status
+    FROM events JOIN files ON files.day = CAST(ts AS DATE) GROUP BY file""",
+)
+def micro_batches(spark, folder):
+    """What the stream reports of its micro-batches, beside the rows each one landed."""
+    events = table(spark, folder, "events")
+    days = [r["day"] for r in calendar(events, TIMED).orderBy("ord").select("day").collect()]
+    path = work_path(spark, "landing")
+    for at in range(0, len(days), 5):
+        of = F.to_date("ts").isin(days[at : at + 5])
+        events.where(of).coalesce(1).write.mode("append").parquet(path)
+    replay = _replay(spark, folder, path=path, files=1)
+    replay.progress = ProgressLog(spark, replay.workspace.operations)
+    replay.land()
+    replay.progress.close()
+    told = replay.workspace.operations.read().where(F.col("operation") == MICRO_BATCH)
+    epoch = F.regexp_extract("run_id", r"^stream-(\d+)$", 1).cast("long").alias("epoch")
+    landed = replay.landed.read().groupBy(F.col(EPOCH).cast("long").alias("epoch"))
+    return told.select(epoch, "input_rows", "status").join(
+        landed.agg(F.count(F.lit(1)).alias("landed_rows")), "epoch"
+    )

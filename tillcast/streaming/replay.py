@@ -2,11 +2,16 @@
 
 Fact rows arrive as a stream, such as the files of a folder. Each micro-batch of it is stored under
 its number, so one that is given again replaces itself, and the checkpoint only says which rows have
-landed. Which batch a row belongs to follows from its own day: files may come in any order, together
-or one by one, and a row that comes late is part of all refits after it. A batch is a pruned scan of
-the landed rows by its days, of any size. All tables are keyed by batch, which makes a repeated batch
-harmless; the batch metadata is written last and is what makes a batch count as done, and the next
-batch is the one after the last that counts.
+landed. Which batch a row belongs to follows from its own day by the stored calendar: files may come
+in any order, together or one by one, day by day, and a row that comes late is part of all refits
+after it. A batch is a pruned scan of the landed rows by its days, of any size. All tables are keyed
+by batch, which makes a repeated batch harmless; the batch metadata is written last and is what makes
+a batch count as done, and the next batch is the one after the last that counts.
+
+There are two ways to run it, on one checkpoint. ``update`` takes in what waits and processes what is
+due, batch by batch. ``start`` is a streaming query that scores and learns inside its own
+micro-batches for as long as it runs. Either may follow the other, and a stop in the middle of a batch
+costs that batch only.
 """
 
 from __future__ import annotations
@@ -19,28 +24,28 @@ from datetime import date
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructType
 
 from tillcast.models.protocol import supports_incremental_update
 from tillcast.operators.clean import clean_training
 from tillcast.operators.history import append_metrics
 from tillcast.operators.periods import (
     Split,
-    calendar,
     known_rows,
     rolling_rows,
     rows_between,
-    split_periods,
-    stream_batches,
+    rows_for_days,
+    without_days,
     window_metadata,
 )
 from tillcast.operators.quality import batch_metadata, quality_report
 from tillcast.params import JobParams
 from tillcast.plans.fitting import EstimatorFor, fit_model, predict, score, training_rows
 from tillcast.plans.jobs import Workspace, metric_rows, pretrain, write_diagnostics
-from tillcast.session import settled
 from tillcast.sources.tables import KeyedTable
-
-EPOCH = "_epoch"
+from tillcast.streaming.calendar import EPOCH, StreamCalendar
+from tillcast.streaming.progress import ProgressLog
 
 
 def as_they_are(rows: DataFrame) -> DataFrame:
@@ -52,7 +57,9 @@ class Replay:
     """The stream of one project.
 
     ``incoming`` gives the streaming frame of raw fact rows and ``prepare`` joins what they need.
-    ``before_commit`` is called with each batch just before it counts.
+    ``before_commit`` is called with each batch just before it counts. ``first_days`` is how many
+    days a running stream waits for before it pretrains; without it, only ``update`` pretrains.
+    ``progress`` puts the stream's micro-batches on record.
     """
 
     incoming: Callable[[], DataFrame]
@@ -61,64 +68,109 @@ class Replay:
     make: EstimatorFor | None = None
     before_commit: Callable[[int], None] | None = None
     prepare: Callable[[DataFrame], DataFrame] = as_they_are
+    first_days: int | None = None
+    progress: ProgressLog | None = None
     _split: Split | None = field(default=None, init=False)
+    _schema: StructType | None = field(default=None, init=False)
     _loaded: tuple[str, PipelineModel] | None = field(default=None, init=False)
 
     @property
     def landed(self) -> KeyedTable:
         return self.workspace.table("landed", EPOCH)
 
+    @property
+    def calendar(self) -> StreamCalendar:
+        return StreamCalendar(self.workspace, self.params)
+
     def source(self) -> DataFrame:
         """All rows that have landed by now."""
-        return self.prepare(self.landed.read().drop(EPOCH))
+        if self._schema is None:
+            self._schema = self.incoming().schema
+        schema = StructType([*self._schema.fields]).add(EPOCH, LongType())
+        return self.prepare(self.landed.read(schema).drop(EPOCH))
 
     def cursor(self) -> int:
         """The next batch to commit."""
         last = self.workspace.committed().agg(F.max("batch_id")).first()[0]
         return 0 if last is None else last + 1
 
-    def land(self) -> None:
-        """Take in all rows that wait in the stream."""
-
-        def store(rows: DataFrame, epoch: int) -> None:
-            self.landed.write(rows.withColumn(EPOCH, F.lit(epoch).cast("long")))
+    def _store(self, rows: DataFrame, epoch: int) -> None:
+        rows = rows.persist()
+        self.landed.write(rows.withColumn(EPOCH, F.lit(epoch).cast("long")))
+        self.calendar.land(rows, epoch)
+        rows.unpersist()
 
+    def _stream(self, step: Callable[[DataFrame, int], None], trigger: dict) -> StreamingQuery:
         query = (
             self.incoming()
             .writeStream.option("checkpointLocation", self.workspace.path("checkpoint"))
-            .trigger(availableNow=True)
-            .foreachBatch(store)
+            .trigger(**trigger)
+            .foreachBatch(step)
             .start()
         )
+        return self.progress.watch(query, "stream") if self.progress else query
+
+    def land(self) -> None:
+        """Take in all rows that wait in the stream."""
+        query = self._stream(self._store, {"availableNow": True})
         query.awaitTermination()
+        if self.progress:
+            self.progress.flush(query)
+
+    def start(self, **trigger) -> StreamingQuery:
+        """A query that lands, scores and learns in its micro-batches; a trigger as Spark names it.
+
+        Each one processes the batches that are full by then; a short last batch waits for more days
+        or for an ``update``. A batch that fails ends the query, and the micro-batch is given again
+        when it starts anew.
+        """
 
-    def due(self, count: int | None = None) -> list[Row]:
+        def step(rows: DataFrame, epoch: int) -> None:
+            self._store(rows, epoch)
+            if self._ready():
+                for batch in self.due(closing=False):
+                    self.process(batch)
+
+        return self._stream(step, trigger or {"processingTime": "10 seconds"})
+
+    def _ready(self) -> bool:
+        """Whether there is a model that fits; a running stream may have to wait for its first days."""
+        if self._current() is None:
+            if self.first_days is None:
+                raise ValueError("no current model; pretrain, or say after how many days to")
+            if self.calendar.days().count() < self.first_days:
+                return False
+            pretrain(self.source(), self.params, self.workspace, self.make)
+        return True
+
+    def _current(self) -> Row | None:
+        registry = self.workspace.registry(self.params)
+        current = registry.current()
+        problem = registry.mismatch(current) if current is not None else None
+        if problem:
+            raise ValueError(f"current model does not fit: {problem}; train again")
+        return current
+
+    def due(self, count: int | None = None, closing: bool = True) -> list[Row]:
         """The next batches by the days that have landed, one row each."""
-        days = settled(calendar(self.source(), self.params))
-        self._split = split_periods(self.source(), self.params, days)
-        first = self.cursor()
-        wanted = stream_batches(days).where(F.col("batch_id") >= first)
-        if count is not None:
-            wanted = wanted.where(F.col("batch_id") < first + count)
-        return wanted.orderBy("batch_id").collect()
-
-    def update(self, count: int | None = None) -> int:
+        calendar, first = self.calendar, self.cursor()
+        self._split = calendar.split()
+        calendar.plan(self._split, first, count, closing)
+        return calendar.batches(first, count)
+
+    def update(self, count: int | None = None, closing: bool = True) -> int:
         """Process up to ``count`` batches, all that there are if not given.
 
         Pretrains first if there is no model; a model that does not fit is an error. Returns the
-        number of batches processed, zero at the end of the stream.
+        number of batches processed, zero at the end of the stream. A short last batch is processed
+        as it is, unless ``closing`` is off.
         """
         workspace = self.workspace
-        registry = workspace.registry(self.params)
-        current = registry.current()
-        if current is not None:
-            problem = registry.mismatch(current)
-            if problem:
-                raise ValueError(f"current model does not fit: {problem}; train again")
+        current = self._current()
         self.land()
         if current is None:
             pretrain(self.source(), self.params, workspace, self.make)
-        batches = self.due(count)
+        batches = self.due(count, closing)
         if not batches:
             with workspace.operations.record("update", model_name=self.params.model.selected):
                 return 0
@@ -135,8 +187,10 @@ class Replay:
         workspace, params = self.workspace, self.params
         name = params.model.selected
         with workspace.operations.record("update", f"batch-{batch_id}", model_name=name) as record:
-            source = self.source()
+            source, calendar = self.source(), self.calendar
+            split = self._split or calendar.split()
             rows = rows_between(source, params, notice["day_min"], notice["day_max"])
+            rows = rows_for_days(rows, params, calendar.days_of(batch_id))
             key = F.lit(batch_id).cast("long")
             workspace.raw.write(rows.withColumn("batch_id", key))
             record["artifact_path"] = workspace.raw.path
@@ -151,14 +205,19 @@ class Replay:
 
             _together(workspace.spark, profile, clean)
             batch = workspace.processed.part(batch_id)
-            path = self._test_then_train(batch, notice, source)
+            until, waiting = calendar.known(split, batch_id)
+            if not waiting.isEmpty():
+                source = without_days(source, params, waiting)
+            path = self._test_then_train(batch, notice, source, until)
             size = batch.count()
             record.update(input_rows=size, output_rows=size, model_path=path)
             if self.before_commit is not None:
                 self.before_commit(batch_id)
-            self._commit(raw, notice, self._split or split_periods(source, params))
+            self._commit(raw, notice, split)
 
-    def _test_then_train(self, batch: DataFrame, notice: Row, source: DataFrame) -> str:
+    def _test_then_train(
+        self, batch: DataFrame, notice: Row, source: DataFrame, until: date
+    ) -> str:
         """Score with the current model, then refit; the metrics are those of the old model."""
         workspace, params = self.workspace, self.params
         registry = workspace.registry(params)
@@ -177,7 +236,7 @@ class Replay:
             return scored
 
         def train() -> tuple[PipelineModel, Row]:
-            return updated_model(model, batch, source, notice["day_max"], params, self.make)
+            return updated_model(model, batch, source, until, params, self.make)
 
         scored, (updated, window) = _together(workspace.spark, test, train)
         row = {
