@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators.clean import clean_training
 from tillcast.operators.features import (
+    MISSING,
     FeaturePreprocessor,
     FrequencyEncoder,
     FrequencyModel,
@@ -86,6 +87,31 @@ def test_unseen_categories_and_storage(spark):
     assert model.output_names() == ["c", "c_frequency"]
 
 
+@pytest.mark.parametrize("room", [0, 250, 10**6])
+def test_one_join_gives_the_codes_of_many_columns(spark, room):
+    """Hot, unseen, missing and repeated values; rows that repeat as a whole; a map among the columns."""
+    rows = [(i, "hot" if i % 3 else f"v{i % 40}", None if i % 5 == 0 else f"w{i % 7}", i % 4) for i in range(400)]
+    frame = spark.createDataFrame(rows, "_row_order long, c string, d string, e long")
+    asked = [(f"x{i % 3}", "hot" if i % 2 else f"v{i % 50}", f"w{i % 9}" if i % 4 else None, i % 6) for i in range(300)]
+    asked = spark.createDataFrame(asked + asked[:50], "k string, c string, d string, e long")
+    asked = asked.withColumn("m", F.create_map("k", "e")).withColumn("d_old", F.lit(None).cast("int"))
+    encoder = FrequencyEncoder(columns=["c", "d", "e"], broadcastBytes=room)
+    model = encoder.fit(frame.withColumn("_row_order", F.col("_row_order").cast("decimal(38,0)")))
+    context = spark.sparkContext
+    context.setJobGroup(f"transform-{room}", "no job may run")
+    made = model.transform(asked)
+    assert not context.statusTracker().getJobIdsForGroup(f"transform-{room}")
+    context.setJobGroup("tests", "")
+    assert made.columns == ["k", "c", "d", "e", "m", "d_old", "c_frequency", "d_frequency", "e_frequency"]
+    codes = {(r["column"], r["value"]): (r["code"], r["frequency"]) for r in model.table.collect()}
+    expected = []
+    for r in asked.collect():
+        found = [codes.get((c, MISSING if r[c] is None else str(r[c])), (-1.0, 0.0)) for c in "cde"]
+        expected.append(str((r["k"], r["m"], *[f[0] for f in found], *[f[1] for f in found])))
+    found = [str((r["k"], r["m"], *r[1:4], *r[6:9])) for r in made.collect()]
+    assert sorted(found) == sorted(expected)
+
+
 def test_preprocessor(spark, store_sales, store_params):
     cleaned = clean_training(store_sales, store_params)
     rows = training_rows(cleaned, store_params)

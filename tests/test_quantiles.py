@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tillcast.operators.quality import iqr_outliers
 from tillcast.operators.quantiles import exact_quantiles
 from tillcast.operators.ranking import dense_index, row_order
 
@@ -35,6 +36,26 @@ def test_hot_values(spark):
     check(spark, [0.0] * 500 + [1.0] * 500, direct_rows=5)
 
 
+def test_the_source_is_read_once(spark):
+    """However many rounds the search takes, and with the outliers counted at the end."""
+    values = np.random.default_rng(5).lognormal(0, 3, 3000)
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    frame = frame_of(spark, values).mapInArrow(counting, "x double")
+    _, found = exact_quantiles(frame, {"x": F.col("x")}, SHARES, 5, 20)["x"]
+    np.testing.assert_allclose(found, np.quantile(values, SHARES), rtol=1e-12)
+    assert read.value == len(values)
+    low, high = np.quantile(values, (0.25, 0.75))
+    outside = (values < low - 1.5 * (high - low)) | (values > high + 1.5 * (high - low))
+    row = iqr_outliers(frame, ["x"], direct_rows=5).first()
+    assert (row["values"], row["outliers"]) == (3000, outside.sum()) and read.value == 2 * len(values)
+
+
 def test_nothing_to_count(spark):
     assert exact_quantiles(frame_of(spark, [None]), {"x": F.col("x")}, (0.5,)) == {"x": (0, None)}
     assert exact_quantiles(frame_of(spark, [1]), {}, (0.5,)) == {}

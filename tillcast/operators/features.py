@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillcast.functions.columns import calendar_parts, moment, number, quoted, text
 from tillcast.operators.clean import require_column
-from tillcast.operators.lookup import lookup_join
-from tillcast.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from tillcast.operators.lookup import BROADCAST_BYTES, HOT_SHARE, narrow_lookup
+from tillcast.operators.quantiles import DIRECT_ROWS, Projection, exact_quantiles
 from tillcast.operators.ranking import ONE_TASK_ROWS, dense_index
 from tillcast.params import JobParams
 from tillcast.session import settled
@@ -135,21 +135,22 @@ def numeric_statistics(
     """
     if not columns:
         return {}
-    found = frame.agg(
+    held = Projection.of(frame, {c: quoted(c) for c in columns})
+    found = held.rows.agg(
         F.count(F.lit(1)).alias("n"),
         *[
             F.struct(
-                F.count(quoted(c)).alias("count"),
-                F.avg(quoted(c)).alias("mean"),
-                F.var_pop(quoted(c)).alias("variance"),
+                F.count(held[c]).alias("count"),
+                F.avg(held[c]).alias("mean"),
+                F.var_pop(held[c]).alias("variance"),
             ).alias(f"s{i}")
             for i, c in enumerate(columns)
         ],
     ).first()
     known = {c: found[f"s{i}"] for i, c in enumerate(columns) if found[f"s{i}"]["count"]}
     medians = exact_quantiles(
-        frame,
-        {c: quoted(c) for c in known},
+        held,
+        {c: held[c] for c in known},
         (0.5,),
         direct_rows,
         counts={c: k["count"] for c, k in known.items()},
@@ -280,66 +281,93 @@ class FrequencyEncoder(Estimator, _Columns, DefaultParamsReadable, DefaultParams
         Params._dummy(), "orderColumn", "column that orders rows", TypeConverters.toString
     )
 
+    broadcastBytes = Param(
+        Params._dummy(), "broadcastBytes", "bytes of tables that are broadcast", TypeConverters.toInt
+    )
+
     @keyword_only
-    def __init__(self, *, columns=None, orderColumn=ROW_ORDER):
+    def __init__(self, *, columns=None, orderColumn=ROW_ORDER, broadcastBytes=BROADCAST_BYTES):
         super().__init__()
-        self._setDefault(orderColumn=ROW_ORDER)
+        self._setDefault(orderColumn=ROW_ORDER, broadcastBytes=BROADCAST_BYTES)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "FrequencyModel":
         name = self.getOrDefault(self.orderColumn)
         order = quoted(name) if name in dataset.columns else None
         table = category_table(dataset, self.names(), order)
-        return FrequencyModel(columns=self.names()).holding(settled(table))
+        made = FrequencyModel(
+            columns=self.names(), broadcastBytes=self.getOrDefault(self.broadcastBytes)
+        )
+        return made.holding(settled(table)).measured()
 
 
 class FrequencyModel(Model, _Columns, MLWritable, MLReadable):
+    """Category tables of all columns, with the bytes of each as measured when it was fitted.
+
+    Tables that fit together are broadcast, smallest first; the columns beyond that share one join.
+    """
+
+    sizes = Param(Params._dummy(), "sizes", "bytes of each table", TypeConverters.toListFloat)
+    broadcastBytes = FrequencyEncoder.broadcastBytes
+
     @keyword_only
-    def __init__(self, *, columns=None):
+    def __init__(self, *, columns=None, broadcastBytes=BROADCAST_BYTES):
         super().__init__()
+        self._setDefault(broadcastBytes=BROADCAST_BYTES)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
         self.table: DataFrame | None = None
-        self._bytes: dict[str, int] | None = None
 
     def holding(self, table: DataFrame) -> "FrequencyModel":
         self.table = table
         return self
 
+    def measured(self) -> "FrequencyModel":
+        sized = self.table.groupBy("column").agg(
+            F.sum(F.octet_length("value") + 32).alias("bytes")
+        )
+        found = {r["column"]: r["bytes"] for r in sized.collect()}
+        return self._set(sizes=[float(found.get(c, 0)) for c in self.names()])
+
     def copy(self, extra=None) -> "FrequencyModel":
         made = super().copy(extra)
-        made.table, made._bytes = self.table, self._bytes
+        made.table = self.table
         return made
 
     def output_names(self) -> list[str]:
         return [name for c in self.names() for name in (c, f"{c}_frequency")]
 
-    def _measured(self) -> dict[str, int]:
-        if self._bytes is None:
-            sized = self.table.groupBy("column").agg(
-                F.sum(F.octet_length("value") + 32).alias("bytes")
-            )
-            self._bytes = {r["column"]: r["bytes"] for r in sized.collect()}
-        return self._bytes
-
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        sizes = self._measured()
-        for c in self.names():
+        given = dataset.columns
+        values = {c: F.coalesce(quoted(c).cast("string"), F.lit(MISSING)) for c in self.names()}
+        room, large = self.getOrDefault(self.broadcastBytes), []
+        answers = {c: f"_found_{i}" for i, c in enumerate(values)}
+        for c, size in sorted(zip(values, self.getOrDefault(self.sizes)), key=lambda s: s[1]):
+            room -= size
+            if room < 0:
+                large.append(c)
+                continue
             lookup = self.table.where(F.col("column") == c).select(
-                F.col("value").alias("_value"),
-                F.col("code").alias("_code"),
-                F.col("frequency").alias("_frequency"),
+                F.col("value").alias("_value"), F.struct("code", "frequency").alias(answers[c])
+            )
+            keyed = dataset.withColumn("_value", values[c])
+            dataset = keyed.join(F.broadcast(lookup), "_value", "left").drop("_value")
+        if large:
+            named = F.create_map(*[F.lit(x) for c in large for x in (c, answers[c])])
+            table = self.table.where(F.col("column").isin(large)).withColumn(
+                "column", named[F.col("column")]
             )
-            keyed = dataset.withColumn(
-                "_value", F.coalesce(quoted(c).cast("string"), F.lit(MISSING))
+            # At most 1 / HOT_SHARE values of a column can be that frequent.
+            hot = F.col("frequency") >= HOT_SHARE
+            sought = {answers[c]: values[c] for c in large}
+            dataset = narrow_lookup(dataset, sought, table, ["code", "frequency"], hot)
+        coded = {}
+        for c, found in answers.items():
+            coded[c] = F.coalesce(F.col(f"{found}.code"), F.lit(UNSEEN_CODE))
+            coded[f"{c}_frequency"] = F.coalesce(
+                F.col(f"{found}.frequency"), F.lit(UNSEEN_FREQUENCY)
             )
-            joined = lookup_join(keyed, lookup, "_value", sizes.get(c, 0))
-            dataset = joined.withColumns(
-                {
-                    c: F.coalesce("_code", F.lit(UNSEEN_CODE)),
-                    f"{c}_frequency": F.coalesce("_frequency", F.lit(UNSEEN_FREQUENCY)),
-                }
-            ).drop("_value", "_code", "_frequency")
-        return dataset
+        kept = [coded.pop(c).alias(c) if c in coded else quoted(c) for c in given]
+        return dataset.select(*kept, *[value.alias(name) for name, value in coded.items()])
 
     def write(self) -> MLWriter:
         return _FrequencyWriter(self)
@@ -365,7 +393,9 @@ class _FrequencyReader(MLReader):
         model = FrequencyModel()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        return model.holding(self.sparkSession.read.parquet(f"{path}/categories"))
+        model.holding(self.sparkSession.read.parquet(f"{path}/categories"))
+        # A model stored before tables were measured at their fitting is measured now.
+        return model if model.isSet(model.sizes) else model.measured()
 
 
 class FeaturePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):

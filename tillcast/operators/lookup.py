@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillcast.functions.columns import quoted
 from tillcast.params import DimensionParams
@@ -83,6 +85,65 @@ def salted_lookup_join(
     return spread.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], "left").drop("_salt")
 
 
+def narrow_lookup(
+    facts: DataFrame,
+    values: Mapping[str, Column],
+    table: DataFrame,
+    fields: Sequence[str],
+    hot: Column,
+) -> DataFrame:
+    """Look up several columns in one join: the facts plus a struct of ``fields`` for each of ``values``.
+
+    ``table`` has column, value and the fields, each value of a column once. Every fact row becomes
+    one narrow row per column, and only the first of them carries the row itself. Values of the
+    ``hot`` rows of the table, of which there must be few, are found by broadcast; the rest meet the
+    table in one shuffle, over which rows that are done already are spread. A second shuffle puts the
+    rows together again by the hash of their content: equal rows find the same and are counted, so
+    nothing depends on the order in which a lost task's rows come back. No job runs before the result
+    is asked for.
+    """
+    names = list(values)
+    at = F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)])
+    known = table.where(F.col("column").isin(names)).select(
+        at[F.col("column")].alias("_at"),
+        F.col("value").alias("_value"),
+        F.struct(*fields).alias("_fields"),
+        F.coalesce(hot, F.lit(False)).alias("_is_hot"),
+    )
+    often = known.where("_is_hot").select("_at", "_value", F.col("_fields").alias("_often"))
+    seldom = known.where("not _is_hot").select(
+        "_at", F.col("_value").alias("_key"), F.col("_fields").alias("_seldom")
+    )
+    hashed = [
+        F.to_json(F.struct(quoted(f.name))) if _holds_map(f.dataType) else quoted(f.name)
+        for f in facts.schema.fields
+    ]
+    narrow = facts.select(
+        F.struct("*").alias("_row"),
+        F.xxhash64(*hashed).alias("_h"),
+        # A second chain of hashes from another start.
+        F.xxhash64(F.lit("row"), *hashed).alias("_g"),
+        F.posexplode(F.array(*values.values())).alias("_at", "_value"),
+    ).withColumn("_row", F.when(F.col("_at") == 0, F.col("_row")))
+    done = F.col("_often").isNotNull()
+    spread = F.concat(F.lit("\0"), F.hex("_h"))
+    met = (
+        narrow.join(F.broadcast(often), ["_at", "_value"], "left")
+        .withColumn("_key", F.when(done, spread).otherwise(F.col("_value")))
+        .join(seldom, ["_at", "_key"], "left")
+        .withColumn("_found", F.when(done, F.col("_often")).otherwise(F.col("_seldom")))
+    )
+    if len(names) == 1:
+        return met.select("_row.*", F.col("_found").alias(names[0]))
+    rows = met.groupBy("_h", "_g").agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        F.count_if(F.col("_at") == 0).alias("_copies"),
+        *[F.max(F.when(F.col("_at") == i, F.col("_found"))).alias(n) for i, n in enumerate(names)],
+    )
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+    return rows.select(copies, "_row.*", *map(quoted, names)).drop("col")
+
+
 def _holds_map(kind: T.DataType) -> bool:
     """Whether a map, which has no hash, lies anywhere in the type."""
     if isinstance(kind, T.MapType):

@@ -13,7 +13,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillcast.functions.columns import iso_day, moment, number, quoted, share
-from tillcast.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from tillcast.operators.quantiles import DIRECT_ROWS, Projection, exact_quantiles
 from tillcast.params import JobParams
 from tillcast.sources.tables import records
 
@@ -100,13 +100,18 @@ def outlier_rows(
 ) -> DataFrame:
     """Values and interquartile outliers per column, as one row with a map.
 
-    The quartiles are exact and reach the counting pass as two literals per column.
+    The quartiles are exact and reach the counting pass as two literals per column. All passes but the
+    first read the stored numbers, not the frame.
     """
     present = {c: number(frame, c) for c in columns if c in frame.columns}
-    quartiles = exact_quantiles(frame, present, (0.25, 0.75), direct_rows)
+    empty = "map<string,struct<values:bigint,outliers:bigint>>"
+    if not present:
+        return frame.agg(F.lit(None).cast(empty).alias("found"))
+    held = Projection.of(frame, present)
+    quartiles = exact_quantiles(held, present, (0.25, 0.75), direct_rows)
     pairs: list[Column] = []
     for name, (_, found) in quartiles.items():
-        value = present[name]
+        value = held[name]
         if found is None or found[1] == found[0]:
             outside = F.lit(0).cast("long")
         else:
@@ -115,9 +120,8 @@ def outlier_rows(
                 (value < F.lit(found[0] - reach)) | (value > F.lit(found[1] + reach))
             )
         pairs += [F.lit(name), F.struct(F.count(value).alias("values"), outside.alias("outliers"))]
-    empty = "map<string,struct<values:bigint,outliers:bigint>>"
-    made = F.create_map(*pairs) if pairs else F.lit(None)
-    return frame.agg(made.cast(empty).alias("found"))
+    made = F.create_map(*pairs)
+    return held.rows.agg(made.cast(empty).alias("found"))
 
 
 def iqr_outliers(

@@ -1,8 +1,9 @@
 """Exact quantiles of columns of any size, by narrowing to the sought ranks.
 
-A sketch brackets each sought rank, one counting pass proves the bracket, and the search goes
-on inside it until few enough rows are left to be counted by value and sorted in one task.
-Values that repeat a lot are settled by the counts.
+The source is read once: its columns are stored as doubles, and every later pass reads these. A
+sketch brackets each sought rank, one counting pass proves the bracket, and the values inside the
+brackets are stored anew for the next round, until few enough rows are left to be counted by value and
+sorted in one task. Values that repeat a lot are settled by the counts.
 """
 
 from __future__ import annotations
@@ -10,9 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillcast.session import settled
+
 DIRECT_ROWS = 2_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -42,8 +47,25 @@ class _Search:
         return (self.rank - self.below + 0.5) / self.inside
 
 
+@dataclass(frozen=True)
+class Projection:
+    """The columns of a frame as doubles, stored by number, one row for each of the frame's."""
+
+    rows: DataFrame
+    place: dict[str, str]
+
+    @classmethod
+    def of(cls, frame: DataFrame, columns: Mapping[str, Column]) -> Projection:
+        place = {name: f"c{i}" for i, name in enumerate(columns)}
+        made = [value.cast("double").alias(place[name]) for name, value in columns.items()]
+        return cls(settled(frame.select(*made)), place)
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(self.place[name])
+
+
 def exact_quantiles(
-    frame: DataFrame,
+    frame: DataFrame | Projection,
     columns: Mapping[str, Column],
     shares: Sequence[float],
     direct_rows: int = DIRECT_ROWS,
@@ -52,13 +74,14 @@ def exact_quantiles(
 ) -> dict[str, tuple[int, list[float] | None]]:
     """Count of values and linearly interpolated quantiles of each column, nulls left out.
 
-    ``counts`` saves the counting pass if they are known.
+    ``counts`` saves the counting pass if they are known; a projection that holds the columns saves
+    storing them.
     """
     names = list(columns)
     if not names:
         return {}
-    short = {name: f"c{i}" for i, name in enumerate(names)}
-    base = frame.select(*[columns[name].cast("double").alias(short[name]) for name in names])
+    held = frame if isinstance(frame, Projection) else Projection.of(frame, columns)
+    base, short = held.rows, held.place
     if counts is None:
         counted = base.agg(*[F.count(short[name]).alias(short[name]) for name in names]).first()
         counts = {name: counted[short[name]] for name in names}
@@ -112,20 +135,32 @@ def select_ranks(base: DataFrame, searches: list[_Search], direct_rows: int, acc
                 F.count_if(test).alias(f"t{i}_{label}")
                 for i, (s, (low, high)) in enumerate(zip(wide, brackets))
                 for label, test in (
-                    ("lt_low", F.col(s.column) < F.lit(low)),
-                    ("le_low", F.col(s.column) <= F.lit(low)),
-                    ("lt_high", F.col(s.column) < F.lit(high)),
-                    ("le_high", F.col(s.column) <= F.lit(high)),
+                    ("lt_low", s.window() < F.lit(low)),
+                    ("le_low", s.window() <= F.lit(low)),
+                    ("lt_high", s.window() < F.lit(high)),
+                    ("le_high", s.window() <= F.lit(high)),
                 )
             ]
         ).first()
         for i, (s, (low, high)) in enumerate(zip(wide, brackets)):
-            counts = [tallies[f"t{i}_{k}"] for k in ("lt_low", "le_low", "lt_high", "le_high")]
-            _narrow(s, low, high, *counts)
+            labels = ("lt_low", "le_low", "lt_high", "le_high")
+            _narrow(s, low, high, *[s.below + tallies[f"t{i}_{label}"] for label in labels])
+        base = _inside(base, [s for s in searches if s.answer is None])
     _settle(base, [s for s in searches if s.answer is None])
     return [s.answer for s in searches]
 
 
+def _inside(base: DataFrame, searches: list[_Search]) -> DataFrame:
+    """The values in the windows that are still searched, stored; nothing else is read again."""
+    windows: dict[str, list[Column]] = {}
+    for s in searches:
+        windows.setdefault(s.column, []).append(s.window().isNotNull())
+    if not windows:
+        return base
+    kept = [F.when(reduce(or_, tests), F.col(c)).alias(c) for c, tests in windows.items()]
+    return settled(base.select(*kept).where(reduce(or_, [F.col(c).isNotNull() for c in windows])))
+
+
 def _settle(base: DataFrame, searches: list[_Search]) -> None:
     """Find the remaining ranks among the few rows of their windows.
 

@@ -102,32 +102,42 @@ GAPPY_PREDICTED_SQL = PREDICTED_SQL.replace(
 )
 
 
-@query(
-    "frequency_encode",
-    f"""WITH {GAPPY_PREDICTED_SQL},
+FREQUENCY_SQL = f"""WITH {GAPPY_PREDICTED_SQL},
     {", ".join(f"t_{c} AS ({_coded_sql(c)})" for c in CODED)}
     SELECT o_orderkey, {", ".join(
         f"coalesce(CAST(t_{c}.code AS DOUBLE), -1) AS {c}, "
         f"round(coalesce(t_{c}.frequency, 0), 9) AS {c}_frequency" for c in CODED)}
     FROM validation v {" ".join(
         f"LEFT JOIN t_{c} ON t_{c}.value = coalesce(CAST(v.{c} AS VARCHAR), '__MISSING__')"
-        for c in CODED)}""",
-)
-def frequency_encode(spark, folder):
-    """Codes learnt on the initial period, used on the validation period."""
+        for c in CODED)}"""
+
+
+def _encoded(spark, folder, **how):
     unspecified = F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED"))
     initial, validation, _ = (
         part.withColumn("o_orderpriority", unspecified) if i < 2 else part
         for i, part in enumerate(split_fact(spark, folder))
     )
     order = row_order(F.col("o_orderdate"), F.col("o_orderkey").cast("long"))
-    encoder = FrequencyEncoder(columns=list(CODED)).fit(initial.withColumn("_row_order", order))
-    coded = encoder.transform(validation)
-    names = encoder.output_names()
+    encoder = FrequencyEncoder(columns=list(CODED), **how)
+    fitted = encoder.fit(initial.withColumn("_row_order", order))
+    coded, names = fitted.transform(validation), fitted.output_names()
     shown = coded.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), *names)
     return rounded(shown, 9, *[n for n in names if n.endswith("_frequency")])
 
 
+@query("frequency_encode", FREQUENCY_SQL)
+def frequency_encode(spark, folder):
+    """Codes learnt on the initial period, used on the validation period."""
+    return _encoded(spark, folder)
+
+
+@query("frequency_encode_shuffled", FREQUENCY_SQL)
+def frequency_encode_shuffled(spark, folder):
+    """The same by one join for all columns, as tables do that are too large to be broadcast."""
+    return _encoded(spark, folder, broadcastBytes=0)
+
+
 PREPROCESSED = ("c_acctbal", "o_orderdate_month", "c_mktsegment", "c_mktsegment_frequency")
 
 
