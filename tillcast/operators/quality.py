@@ -91,6 +91,40 @@ def cardinality(frame: DataFrame, columns: Sequence[str], approximate: bool = Fa
     return counted.select(F.explode("counts").alias("column", "unique_values"))
 
 
+SKETCHES = "column string, sketch binary, batch_id long"
+#: Two to this many counters of a sketch: a standard error of 1.04 / 2 ** 6, 1.6 per cent, in 4 KB.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(
+    frame: DataFrame, columns: Sequence[str], by: Sequence[str] = (), bits: int = SKETCH_BITS
+) -> DataFrame:
+    """One sketch of the different non-null values per column that is present, and group.
+
+    A sketch has a bounded size, and sketches of parts can be merged, so stored ones of every batch
+    tell how many different values all batches have together, which no stored counts could.
+    """
+    present = [c for c in columns if c in frame.columns]
+    if not present:
+        return frame.select(*map(quoted, by)).limit(0).withColumns(
+            {"column": F.lit(""), "sketch": F.lit(None).cast("binary")}
+        )
+    made = frame.groupBy(*map(quoted, by)).agg(
+        *[F.hll_sketch_agg(quoted(c).cast("string"), bits).alias(f"_s{i}") for i, c in enumerate(present)]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(f"_s{i}").alias("sketch"))
+        for i, c in enumerate(present)
+    ]
+    return made.select(*map(quoted, by), F.inline(F.array(*rows)))
+
+
+def merged_cardinality(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """About how many different values each column has over all its sketches, without the rows."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*map(quoted, by), "column").agg(merged.alias("unique_values"))
+
+
 def outlier_columns(params: JobParams) -> list[str]:
     return list(dict.fromkeys([*params.roles.numeric, params.target_column]))
 

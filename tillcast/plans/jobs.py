@@ -70,6 +70,10 @@ class Workspace:
     def quality(self) -> KeyedTable:
         return self.table("data_quality")
 
+    @property
+    def sketches(self) -> KeyedTable:
+        return self.table("distinct_sketches")
+
     @property
     def metrics(self) -> KeyedTable:
         return self.table("model_metrics", "batch_id", "model_name")

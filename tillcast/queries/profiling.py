@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from tillcast.functions.columns import sorted_json
 from tillcast.operators.periods import calendar
 from tillcast.operators.quality import (
+    SKETCHES,
     batch_metadata,
     cardinality,
     column_profile,
     constant_columns,
+    distinct_sketches,
     duplicate_rows,
     iqr_outliers,
+    merged_cardinality,
     missing_part,
     outlier_columns,
     quality_report,
@@ -34,6 +37,8 @@ from tillcast.queries.data import (
 )
 from tillcast.operators.quantiles import DIRECT_ROWS
 from tillcast.queries.registry import query
+from tillcast.session import work_path
+from tillcast.sources.tables import KeyedTable
 
 FACT_COLUMNS = (
     "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -123,6 +128,33 @@ def category_cardinality(spark, folder):
     return cardinality(gappy(spark, folder), ORDERS.roles.categorical)
 
 
+SKETCHED = ("event_type", "user_id", "event_id")
+
+
+@query(
+    "cardinality_merged",
+    f"""WITH {calendar_sql("events", "ts")}, placed AS (
+        SELECT e.*, coalesce(cal.batch_id, -1) AS batch_id
+        FROM events e JOIN cal ON cal.day = CAST(e.ts AS DATE))
+    {" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS unique_values,
+            count(DISTINCT batch_id) AS batches, TRUE AS within FROM placed""" for c in SKETCHED)}""",
+)
+def cardinality_merged(spark, folder):
+    """Sketches stored per batch and merged, against exact counts: within five per cent, three deviations."""
+    events = table(spark, folder, "events")
+    days = calendar(events, EVENTS).select("day", F.coalesce("batch_id", F.lit(-1)).alias("batch_id"))
+    placed = events.withColumn("day", F.to_date("ts")).join(F.broadcast(days), "day")
+    stored = KeyedTable(spark, work_path(spark, "sketches"))
+    stored.write(distinct_sketches(placed, SKETCHED, ["batch_id"]))
+    sketches = stored.read(SKETCHES)
+    batches = sketches.groupBy("column").agg(F.count_distinct("batch_id").alias("batches"))
+    about = merged_cardinality(sketches).withColumnRenamed("unique_values", "about")
+    within = F.abs(F.col("about") - F.col("unique_values")) <= 0.05 * F.col("unique_values")
+    exact = cardinality(events, SKETCHED).join(about, "column").join(batches, "column")
+    return exact.select("column", "unique_values", "batches", within.alias("within"))
+
+
 def _outlier_sql(source: str, columns) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS "values",

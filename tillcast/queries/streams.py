@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tillcast.models.mean import MeanRegressor
 from tillcast.operators.periods import calendar, stream_batches
 from tillcast.params import ColumnRoles, JobParams
 from tillcast.plans.jobs import Workspace
+from tillcast.plans.report import read_report, write_report
 from tillcast.queries.data import EVENTS, calendar_sql, rounded, table
 from tillcast.queries.registry import query
 from tillcast.session import work_path
@@ -429,3 +431,66 @@ def micro_batches(spark, folder):
     return told.select(epoch, "input_rows", "status").join(
         landed.agg(F.count(F.lit(1)).alias("landed_rows")), "epoch"
     )
+
+
+REPORTED = replace(
+    TIMED,
+    roles=replace(TIMED.roles, categorical=("event_type",), service=("user_id", "props")),
+    model=replace(TIMED.model, stream_batch_days=6),
+)
+
+
+@query(
+    "workspace_report",
+    f"""WITH {STREAM_SQL.replace("// 4", "// 6")},
+    models AS (
+        SELECT b.batch_id, CASE WHEN b.batch_id = 0
+            THEN (SELECT avg(value) FROM placed WHERE period = 'initial')
+            ELSE (SELECT avg(value) FROM placed p WHERE p.day < b.day_min) END AS prediction
+        FROM batches b),
+    scored AS (
+        SELECT p.batch_id, p.day, p.value, m.prediction FROM placed p JOIN models m USING (batch_id)
+        UNION ALL
+        SELECT -1, day, value, (SELECT avg(value) FROM placed WHERE period = 'initial')
+        FROM placed WHERE period = 'validation'),
+    errors AS (
+        SELECT batch_id, count(*) AS rows,
+            sqrt(avg((prediction - value) * (prediction - value))) AS rmse
+        FROM scored GROUP BY batch_id),
+    stream AS (SELECT * FROM scored WHERE batch_id >= 0),
+    parts AS (
+        SELECT 'overview' AS part, 1 AS rows, (SELECT arg_max(rmse, batch_id) FROM errors) AS value
+        UNION ALL SELECT 'metrics', count(*), sum(rmse)
+            FROM (SELECT * FROM errors ORDER BY batch_id DESC LIMIT 5)
+        UNION ALL SELECT 'batches', count(*), sum(rows) FROM (
+            SELECT * FROM errors WHERE batch_id >= 0 ORDER BY batch_id DESC LIMIT 5)
+        UNION ALL SELECT 'quality', count(*), sum(rows) FROM (
+            SELECT * FROM errors WHERE batch_id >= 0 ORDER BY batch_id DESC LIMIT 5)
+        UNION ALL SELECT 'timeline', count(DISTINCT day), sum(prediction) FROM stream
+        UNION ALL SELECT 'series', 4 * count(*), NULL FROM errors
+        UNION ALL SELECT 'residuals', 24, count(*) FROM stream
+        UNION ALL SELECT 'sample', least(count(*), 1000), NULL FROM stream
+        UNION ALL SELECT 'features', 0, NULL
+        UNION ALL SELECT 'categories', 1, (SELECT count(DISTINCT event_type) FROM placed
+            WHERE batch_id IS NOT NULL))
+    SELECT part, CAST(rows AS BIGINT) AS rows, round(CAST(value AS DOUBLE) + 1e-7, 4) AS value FROM parts""",
+)
+def workspace_report(spark, folder):
+    """Rows and a total of every part of the report on what a replay has left."""
+    replay = _replay(spark, folder, REPORTED)
+    replay.update()
+    write_report(replay.workspace, REPORTED)
+    totals = {
+        "overview": "rmse", "metrics": "rmse", "batches": "rows", "quality": "rows",
+        "timeline": "prediction", "series": None, "residuals": "rows", "sample": None,
+        "features": None, "categories": "unique_values",
+    }
+    parts = []
+    for name, column in totals.items():
+        value = F.lit(None) if column is None else F.sum(column)
+        parts.append(
+            read_report(replay.workspace, name).agg(
+                F.count(F.lit(1)).alias("rows"), value.cast("double").alias("value")
+            ).select(F.lit(name).alias("part"), "rows", "value")
+        )
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts), 4, "value")

@@ -39,7 +39,7 @@ from tillcast.operators.periods import (
     without_days,
     window_metadata,
 )
-from tillcast.operators.quality import batch_metadata, quality_report
+from tillcast.operators.quality import batch_metadata, distinct_sketches, quality_report
 from tillcast.params import JobParams
 from tillcast.plans.fitting import EstimatorFor, fit_model, predict, score, training_rows
 from tillcast.plans.jobs import Workspace, metric_rows, pretrain, write_diagnostics
@@ -199,6 +199,8 @@ class Replay:
             def profile() -> None:
                 context = {"batch_id": key, "period_type": F.lit("stream")}
                 workspace.quality.write(quality_report(raw, params, context).coalesce(1))
+                sketches = distinct_sketches(raw, params.roles.categorical)
+                workspace.sketches.write(sketches.withColumn("batch_id", key).coalesce(1))
 
             def clean() -> None:
                 workspace.processed.write(clean_training(raw, params).withColumn("batch_id", key))
