@@ -112,7 +112,7 @@ def brute_force(x, y, asked, k, weights="distance"):
 
 
 @pytest.mark.parametrize("weights", ["distance", "uniform"])
-@pytest.mark.parametrize("sizes", [(10_000, 10_000, 10_000), (40, 15, 10)])
+@pytest.mark.parametrize("sizes", [(10_000, 10_000, 10_000), (40, 15, 10), (30, 15, 10, 3)])
 def test_knn_against_brute_force(spark, weights, sizes):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 3))
@@ -120,16 +120,20 @@ def test_knn_against_brute_force(spark, weights, sizes):
     x[:133] = 0.25
     y = rng.uniform(size=400)
     asked = np.vstack([rng.normal(size=(60, 3)), x[[0, 200]], rng.normal(size=(5, 3)) * 50])
-    cell, block, query = sizes
-    model = KnnRegressor(k=8, weights=weights, cellRows=cell, blockRows=block, queryRows=query)
+    cell, block, query, *regions = sizes
+    more = {"regions": regions[0]} if regions else {}
+    model = KnnRegressor(
+        k=8, weights=weights, cellRows=cell, blockRows=block, queryRows=query, **more
+    )
     fitted = model.fit(rows_of(spark, x, y))
     found = predicted(fitted, rows_of(spark, asked, np.zeros(len(asked))))
     np.testing.assert_allclose(found, brute_force(x, y, asked, 8, weights), rtol=1e-9)
 
 
-def test_knn_with_fewer_rows_than_neighbours(spark):
+@pytest.mark.parametrize("regions", [2, 4096])
+def test_knn_with_fewer_rows_than_neighbours(spark, regions):
     x, y = np.array([[0.0], [1.0], [5.0]]), np.array([1.0, 2.0, 3.0])
-    model = KnnRegressor(k=8, cellRows=1).fit(rows_of(spark, x, y))
+    model = KnnRegressor(k=8, cellRows=1, regions=regions).fit(rows_of(spark, x, y))
     asked = np.array([[0.0], [2.0]])
     found = predicted(model, rows_of(spark, asked, [0, 0]))
     np.testing.assert_allclose(found, brute_force(x, y, asked, 3))
@@ -138,6 +142,17 @@ def test_knn_with_fewer_rows_than_neighbours(spark):
     np.testing.assert_allclose(predicted(KnnModel.load(path), rows_of(spark, asked, [0, 0])), found)
 
 
+def test_cells_grow_with_the_rows(spark):
+    """Past the regions, every region has a tree of its own; no cell keeps far more than its share."""
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(1200, 2)), rng.uniform(size=1200)
+    for rows in (300, 1200):
+        model = KnnRegressor(k=3, cellRows=20, regions=4).fit(rows_of(spark, x[:rows], y[:rows]))
+        sizes = [r["rows"] for r in model.bounds.collect()]
+        assert len(sizes) == model.getOrDefault(model.cells) >= rows / 25 and max(sizes) <= 40
+        assert sum(sizes) == rows and model.trees.count() == 4
+
+
 def test_cells_cover_space():
     rng = np.random.default_rng(7)
     points = rng.normal(size=(1000, 2))

@@ -1,9 +1,12 @@
 """Exact k-nearest-neighbour regression as block joins.
 
-Fitting cuts feature space into cells by median splits taken from a small sample and stores
-the rows by cell. A query is first matched with its own cell, which bounds how far its
-neighbours can be; it then visits only the other cells whose bounding box is that near. Cells
-and queries are both cut into blocks of bounded size, so a cell of identical rows or of many
+Fitting cuts feature space into cells on two levels and stores the rows by cell. The first level has a
+bounded number of regions, by median splits of a small sample on the driver. Where there are more rows
+than these can hold, every region is cut further by a tree of its own, grown in a task from a bounded
+sample of its rows; trees, cells and their bounding boxes are tables, so cells grow with the rows. A
+query is first matched with its own cell, which bounds how far its neighbours can be; it then visits
+only the other cells whose bounding box is that near, which a join finds inside the regions that are.
+Cells and queries are both cut into blocks of bounded size, so a cell of identical rows or of many
 queries becomes more tasks, not a larger one.
 """
 
@@ -11,6 +14,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -29,17 +33,18 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillcast.session import settled
-from tillcast.sources.tables import records
+from tillcast.sources.files import path_exists
 
 SAMPLE_ROWS = 20_000
-MAX_CELLS = 4096
+REGIONS = 4096
 CELL_ROWS = 2_000
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 50_000
 MATRIX_CELLS = 4_000_000
+SUB_BITS = 20  # a cell's number has its region's in front of its own
 
 
 def split_space(sample: np.ndarray, cells: int) -> dict:
@@ -155,12 +160,75 @@ def weighted_mean(hits: DataFrame, weights: str = "distance") -> DataFrame:
     )
 
 
+def box_distance(x: Column, low: Column, high: Column) -> Column:
+    """How far a point is from a box, zero inside."""
+    below = F.zip_with(low, x, lambda a, b: a - b)
+    above = F.zip_with(x, high, lambda a, b: a - b)
+    gaps = F.zip_with(below, above, lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap))
+
+
+def region_of(tree: str) -> Callable[[Column | str], Column]:
+    @F.pandas_udf("int")
+    def region(x: pd.Series) -> pd.Series:
+        return pd.Series(cell_of(np.stack(x.to_numpy()), _geometry(tree)))
+
+    return region
+
+
+def region_trees(rows: DataFrame, sizes: DataFrame, cell_rows: int) -> DataFrame:
+    """(region, tree): the cells of each region, from at most about ``SAMPLE_ROWS`` of its rows.
+
+    ``sizes`` has one row for each region.
+    """
+    wanted = F.least(F.ceil(F.col("rows") / cell_rows), F.lit(1 << SUB_BITS))
+    share = F.lit(SAMPLE_ROWS * 1_000_000.0) / F.col("rows")
+    drawn = F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < share
+    sample = rows.join(F.broadcast(sizes), "region").where(drawn)
+
+    def grow(sample: pd.DataFrame) -> pd.DataFrame:
+        tree = split_space(np.stack(sample["x"].to_numpy()), int(sample["wanted"].iloc[0]))
+        return pd.DataFrame({"region": sample["region"].iloc[:1], "tree": [json.dumps(tree)]})
+
+    sample = sample.select("region", "x", wanted.cast("int").alias("wanted"))
+    return sample.groupBy("region").applyInPandas(grow, "region int, tree string")
+
+
+def celled(points: DataFrame, trees: DataFrame | None, number: str, block_rows: int) -> DataFrame:
+    """Points with their region and x, and their cell.
+
+    Blocks of a region's points, dealt by ``number``, each meet the region's tree in a task.
+    """
+    first = F.shiftleft(F.col("region").cast("long"), SUB_BITS)
+    if trees is None:
+        return points.withColumn("cell", first)
+    counts = points.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    # One row for each region.
+    counts = F.broadcast(settled(counts))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    dealt = points.join(counts, "region").withColumn("block", F.pmod(number, "blocks")).drop("blocks")
+    grown = trees.join(counts, "region").select("region", "tree", every)
+    made = dealt.drop("block").withColumn("cell", first)
+    names = made.columns
+
+    def place(points: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        points["cell"] = points["region"].astype("int64") * (1 << SUB_BITS)
+        if len(points) and len(tree):
+            geometry = {n: np.asarray(v) for n, v in json.loads(tree["tree"].iloc[0]).items()}
+            points["cell"] += cell_of(np.stack(points["x"].to_numpy()), geometry)
+        return points[names]
+
+    keys = ["region", "block"]
+    return dealt.groupBy(*keys).cogroup(grown.groupBy(*keys)).applyInPandas(place, made.schema)
+
+
 class _KnnParams(Params):
     k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
     weights = Param(Params._dummy(), "weights", "distance or uniform", TypeConverters.toString)
     cellRows = Param(Params._dummy(), "cellRows", "rows per cell", TypeConverters.toInt)
     blockRows = Param(Params._dummy(), "blockRows", "rows per block", TypeConverters.toInt)
     queryRows = Param(Params._dummy(), "queryRows", "queries per block", TypeConverters.toInt)
+    regions = Param(Params._dummy(), "regions", "cells of the first level", TypeConverters.toInt)
 
     def _defaults(self) -> None:
         self._setDefault(
@@ -169,6 +237,7 @@ class _KnnParams(Params):
             cellRows=CELL_ROWS,
             blockRows=BLOCK_ROWS,
             queryRows=QUERY_ROWS,
+            regions=REGIONS,
         )
 
 
@@ -182,6 +251,7 @@ class KnnRegressor(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsWr
         cellRows=CELL_ROWS,
         blockRows=BLOCK_ROWS,
         queryRows=QUERY_ROWS,
+        regions=REGIONS,
     ):
         super().__init__()
         self._defaults()
@@ -203,57 +273,63 @@ class KnnRegressor(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsWr
         # Only the cell borders come from the sample; every row is kept.
         taken = rows.select("x") if share == 1.0 else rows.select("x").sample(share, seed=7)
         sample = [r["x"] for r in taken.collect()] or [rows.first()["x"]]
-        cells = min(MAX_CELLS, math.ceil(total / self.getOrDefault(self.cellRows)))
-        tree = split_space(np.array(sample, dtype=float), cells)
-        text = json.dumps(tree)
-
-        @F.pandas_udf("int")
-        def cell(x: pd.Series) -> pd.Series:
-            return pd.Series(cell_of(np.stack(x.to_numpy()), _geometry(text)))
-
-        placed = rows.select("row", cell("x").alias("cell"), "x", "label")
-        width = len(sample[0])
-        sizes = (
-            placed.groupBy("cell")
-            .agg(
+        cell_rows = self.getOrDefault(self.cellRows)
+        cells, regions = math.ceil(total / cell_rows), self.getOrDefault(self.regions)
+        text = json.dumps(split_space(np.array(sample, dtype=float), min(regions, cells)))
+        placed = rows.select("row", region_of(text)("x").alias("region"), "x", "label")
+        trees = None
+        if cells > regions:
+            placed = settled(placed)
+            sizes = settled(placed.groupBy("region").agg(F.count(F.lit(1)).alias("rows")))
+            trees = settled(region_trees(placed, sizes, cell_rows))
+        placed = settled(celled(placed, trees, "row", self.getOrDefault(self.blockRows)))
+        width = range(len(sample[0]))
+        boxes = settled(
+            placed.groupBy("region", "cell").agg(
                 F.count(F.lit(1)).alias("rows"),
-                F.array(*[F.min(F.col("x")[j]) for j in range(width)]).alias("low"),
-                F.array(*[F.max(F.col("x")[j]) for j in range(width)]).alias("high"),
+                F.array(*[F.min(F.col("x")[j]) for j in width]).alias("low"),
+                F.array(*[F.max(F.col("x")[j]) for j in width]).alias("high"),
             )
-            .orderBy("cell")
+        )
+        # One row for each region, of which there are a bounded number.
+        around = (
+            boxes.groupBy("region")
+            .agg(
+                F.array(*[F.min(F.col("low")[j]) for j in width]).alias("low"),
+                F.array(*[F.max(F.col("high")[j]) for j in width]).alias("high"),
+            )
+            .orderBy("region")
             .collect()
         )
-        boxes = {
-            "cell": [r["cell"] for r in sizes],
-            "rows": [r["rows"] for r in sizes],
-            "low": [r["low"] for r in sizes],
-            "high": [r["high"] for r in sizes],
-        }
+        bounds = {name: [r[name] for r in around] for name in ("region", "low", "high")}
         kept = {p.name: v for p, v in self.extractParamMap().items()}
-        model = KnnModel(tree=text, boxes=json.dumps(boxes))
+        model = KnnModel(tree=text, boxes=json.dumps(bounds), cells=boxes.count())
         model._set(**kept)
-        return model.holding(settled(placed))
+        return model.holding(placed, boxes, trees)
 
 
 class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
-    tree = Param(Params._dummy(), "tree", "cell borders", TypeConverters.toString)
-    boxes = Param(Params._dummy(), "boxes", "cell bounding boxes", TypeConverters.toString)
+    tree = Param(Params._dummy(), "tree", "borders of regions", TypeConverters.toString)
+    boxes = Param(Params._dummy(), "boxes", "bounding boxes of regions", TypeConverters.toString)
+    cells = Param(Params._dummy(), "cells", "cells of both levels", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, tree=None, boxes=None):
+    def __init__(self, *, tree=None, boxes=None, cells=None):
         super().__init__()
         self._defaults()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
         self.rows: DataFrame | None = None
+        self.bounds: DataFrame | None = None
+        self.trees: DataFrame | None = None
 
-    def holding(self, rows: DataFrame) -> "KnnModel":
-        self.rows = rows
+    def holding(
+        self, rows: DataFrame, bounds: DataFrame, trees: DataFrame | None
+    ) -> "KnnModel":
+        self.rows, self.bounds, self.trees = rows, bounds, trees
         return self
 
     def copy(self, extra=None) -> "KnnModel":
-        made = super().copy(extra)
-        made.rows = self.rows
-        return made
+        return super().copy(extra).holding(self.rows, self.bounds, self.trees)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         # Stored, so that the numbers given to the queries stay theirs.
@@ -275,66 +351,67 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
         k = self.getOrDefault(self.k)
         tree, boxes = self.getOrDefault(self.tree), self.getOrDefault(self.boxes)
 
-        @F.pandas_udf("int")
-        def cell(x: pd.Series) -> pd.Series:
-            return pd.Series(cell_of(np.stack(x.to_numpy()), _geometry(tree)))
-
         @F.pandas_udf("array<int>")
-        def other_cells(x: pd.Series, home: pd.Series, reach: pd.Series) -> pd.Series:
+        def regions_within(x: pd.Series, reach: pd.Series) -> pd.Series:
             box = _geometry(boxes)
-            cells, points = box["cell"].astype(np.int32), np.stack(x.to_numpy())
-            # Rounding must not lose a cell that touches the limit.
-            limits = reach.to_numpy() * (1 + 1e-9)
-            step = max(1, MATRIX_CELLS // len(cells))
+            regions, points = box["region"].astype(np.int32), np.stack(x.to_numpy())
+            limits = reach.to_numpy()
+            step = max(1, MATRIX_CELLS // len(regions))
             out = []
             for start in range(0, len(points), step):
                 some = slice(start, start + step)
                 near = box_distances(points[some], box["low"], box["high"]) <= limits[some, None]
-                near &= cells[None, :] != home.to_numpy()[some, None]
-                out.extend(cells[line] for line in near)
+                out.extend(regions[line] for line in near)
             return pd.Series(out)
 
-        homed = queries.withColumn("cell", cell("x"))
+        homed = queries.withColumn("region", region_of(tree)("x"))
+        if self.trees is not None:
+            homed = settled(homed)
+        homed = celled(homed, self.trees, "query", self.getOrDefault(self.queryRows))
+        homed = homed.select("query", "x", "cell")
+        if self.trees is not None:
+            homed = settled(homed)
         own = settled(nearest(self._search(homed), k).select("query", "distance", "label"))
-        if len(json.loads(boxes)["cell"]) == 1:
+        if self.getOrDefault(self.cells) == 1:
             return own
         reach = own.groupBy("query").agg(
             F.when(F.count(F.lit(1)) >= k, F.max("distance"))
             .otherwise(F.lit(float("inf")))
             .alias("reach")
         )
-        bounded = homed.join(reach, "query", "left")
-        limit = F.coalesce("reach", F.lit(float("inf")))
-        wider = settled(
-            bounded.select(
-                "query", "x", F.explode(other_cells("x", "cell", limit)).alias("cell")
-            )
+        # Rounding must not lose a cell that touches the limit.
+        limit = F.coalesce("reach", F.lit(float("inf"))) * (1 + 1e-9)
+        bounded = homed.join(reach, "query", "left").withColumn("limit", limit)
+        near = bounded.select(
+            "query", "x", F.col("cell").alias("home"), "limit",
+            F.explode(regions_within("x", "limit")).alias("region"),
+        )
+        reached = box_distance(F.col("x"), F.col("low"), F.col("high")) <= F.col("limit")
+        wider = near.join(self.bounds.drop("rows"), "region").where(
+            (F.col("cell") != F.col("home")) & reached
         )
-        return own.unionByName(self._search(wider))
+        return own.unionByName(self._search(settled(wider.select("query", "x", "cell"))))
 
     def _search(self, asked: DataFrame) -> DataFrame:
         """Hits of the queries in the cells they name, block by block."""
         k = self.getOrDefault(self.k)
-        box = json.loads(self.getOrDefault(self.boxes))
-        block_rows = self.getOrDefault(self.blockRows)
-        query_rows = self.getOrDefault(self.queryRows)
-        # One entry per cell, of which there are at most MAX_CELLS.
-        counts = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
-        plan = [
-            (cell, math.ceil(rows / block_rows), math.ceil(counts[cell] / query_rows))
-            for cell, rows in zip(box["cell"], box["rows"])
-            if cell in counts
-        ]
-        spark = asked.sparkSession
-        if not plan:
-            return records(spark, [], "query long, distance double, label double")
-        table = pd.DataFrame(plan, columns=["cell", "row_blocks", "query_blocks"]).astype("int32")
-        blocks = F.broadcast(spark.createDataFrame(table))
-
-        def every(count: str):
+        counts = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
+
+        def cut(rows: str, size: int, name: str) -> Column:
+            return F.ceil(F.col(rows) / size).cast("int").alias(name)
+
+        blocks = settled(
+            self.bounds.join(counts, "cell").select(
+                "cell",
+                cut("rows", self.getOrDefault(self.blockRows), "row_blocks"),
+                cut("asked", self.getOrDefault(self.queryRows), "query_blocks"),
+            )
+        )
+
+        def every(count: str) -> Column:
             return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-        def spread(number: str, count: str):
+        def spread(number: str, count: str) -> Column:
             return F.pmod(number, count).cast("int")
 
         rows = (
@@ -382,7 +459,11 @@ class _KnnWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
-        self.instance.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        parts = {"rows": self.instance.rows, "bounds": self.instance.bounds}
+        if self.instance.trees is not None:
+            parts["trees"] = self.instance.trees
+        for name, part in parts.items():
+            part.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 class _KnnReader(MLReader):
@@ -391,4 +472,8 @@ class _KnnReader(MLReader):
         model = KnnModel()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        return model.holding(self.sparkSession.read.parquet(f"{path}/rows"))
+        read = self.sparkSession.read
+        trees = None
+        if path_exists(self.sparkSession, f"{path}/trees"):
+            trees = read.parquet(f"{path}/trees")
+        return model.holding(read.parquet(f"{path}/rows"), read.parquet(f"{path}/bounds"), trees)

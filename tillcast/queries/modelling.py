@@ -238,6 +238,12 @@ def knn_blocks(spark, folder):
     return knn(spark, folder, cellRows=300, blockRows=100, queryRows=50)
 
 
+@query("knn_regions", KNN_SQL)
+def knn_regions(spark, folder):
+    """The same with few regions, so that each is cut further by a tree of its own."""
+    return knn(spark, folder, cellRows=100, blockRows=80, queryRows=40, regions=4)
+
+
 @query("knn", KNN_SQL)
 def knn(spark, folder, **sizes):
     """Eight nearest initial orders by balance and day."""
