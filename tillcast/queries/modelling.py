@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tillcast.models.factory import estimator_for, top_features
+from tillcast.models.factory import estimator_for, make_estimator, top_features
 from tillcast.models.knn import KnnRegressor
 from tillcast.models.linear import GradientRegressor, RidgeRegressor
-from tillcast.models.mean import ConstantModel
+from tillcast.models.mean import ConstantModel, MeanRegressor
 from tillcast.operators.features import (
     FeaturePreprocessor,
     FrequencyEncoder,
@@ -21,7 +23,8 @@ from tillcast.operators.features import (
 from tillcast.operators.metrics import regression_metrics
 from tillcast.operators.ranking import row_order
 from tillcast.plans.fitting import fit_model, fit_preprocessor, predict, training_rows
-from tillcast.plans.jobs import evaluate, pretrain, score_rows
+from tillcast.params import ColumnRoles
+from tillcast.plans.jobs import Workspace, evaluate, load_source, pretrain, score_file, score_rows
 from tillcast.queries.data import (
     ORDERS,
     PREDICTED_SQL,
@@ -33,6 +36,7 @@ from tillcast.queries.data import (
     split_fact,
 )
 from tillcast.queries.registry import query
+from tillcast.session import work_path
 
 SIZED = ("l_discount", "l_tax", "p_size", "p_retailprice")
 SIZED_SQL = """sized_lines AS (
@@ -274,6 +278,54 @@ def batch_score(spark, folder):
     return score_rows(given, model, ORDERS, customers(spark, folder), "orders.parquet")
 
 
+# Files of orders and, beside them, of customers; the day of an order is all a model learns from.
+FILED = replace(
+    ORDERS,
+    roles=ColumnRoles(
+        datetime=("o_orderdate",), ids=("o_orderkey",),
+        service=("o_custkey", "o_orderstatus", "o_orderpriority", "note",
+            "c_nationkey", "c_acctbal", "c_mktsegment"),
+    ),
+    dimension=replace(ORDERS.dimension, file_name="customer.csv"),
+)
+
+
+@query(
+    "csv_round_trip",
+    f"""WITH {PREDICTED_SQL}
+    SELECT o_orderkey, nullif(o_orderpriority, '4-NOT SPECIFIED') AS o_orderpriority,
+        'said "' || o_orderstatus || '",' || chr(10) || ' twice' AS note, o_totalprice, c_mktsegment,
+        round((SELECT avg(o_totalprice) FROM initial) + 1e-7, 4) AS predict
+    FROM fact""",
+)
+def csv_round_trip(spark, folder):
+    """Two CSV files of orders loaded with the customers beside them, and scored into a file of their own."""
+    root = work_path(spark, "files")
+    said = F.concat(F.lit('said "'), "o_orderstatus", F.lit('",\n twice'))
+    unspecified = F.col("o_orderpriority") == "4-NOT SPECIFIED"
+    given = orders(spark, folder).withColumns(
+        {"note": said, "o_orderpriority": F.when(unspecified, "NA").otherwise(F.col("o_orderpriority"))}
+    )
+    files = {"open.csv": F.col("o_orderstatus") == "O", "other.csv": F.col("o_orderstatus") != "O"}
+
+    def write(frame, name):
+        # Doubled quotes, as CSV has them.
+        frame.write.options(header=True, quote='"', escape='"').csv(f"{root}/{name}")
+        return f"{root}/{name}"
+
+    paths = [write(given.where(of), name) for name, of in files.items()]
+    write(customers(spark, folder), FILED.dimension.file_name)
+    source = load_source(spark, paths, FILED)
+    workspace = Workspace(spark, work_path(spark, "scoring"))
+    pretrain(source, FILED, workspace, lambda name: MeanRegressor())
+    unpriced = write(given.drop("o_totalprice"), "unpriced.csv")
+    scored = spark.read.parquet(score_file(spark, unpriced, FILED, workspace))
+    key = F.col("o_orderkey").cast("long").alias("o_orderkey")
+    facts = source.select(key, F.col("o_totalprice").cast("double").alias("o_totalprice"), "c_mktsegment")
+    made = scored.select(key, "o_orderpriority", "note", "predict").join(facts, "o_orderkey")
+    return rounded(made, 4, "predict")
+
+
 def _shown(predictions):
     return rounded(regression_metrics(predictions, with_pearson=True), 4, "rmse", "mae")
 
@@ -284,6 +336,62 @@ def _fitted_metrics(spark, folder, name):
     return _shown(predict(model, validation, ORDERS)).withColumn("model_name", F.lit(name))
 
 
+def _best_split_sql(rows: str) -> str:
+    """Of each node the feature and value after which a split leaves the least squared error."""
+    return f"""SELECT node, arg_max(f, explained) AS f, arg_max(v, explained) AS v FROM (
+        SELECT node, f, v, below_sum * below_sum / below + (total - below_sum) * (total - below_sum)
+            / nullif(n - below, 0) AS explained
+        FROM (
+            SELECT node, f, v, sum(count(*)) OVER upto AS below, sum(sum(y)) OVER upto AS below_sum,
+                sum(count(*)) OVER every AS n, sum(sum(y)) OVER every AS total
+            FROM (
+                SELECT node, 0 AS f, m AS v, y FROM {rows}
+                UNION ALL SELECT node, 1, nation, y FROM {rows})
+            GROUP BY node, f, v
+            WINDOW upto AS (PARTITION BY node, f ORDER BY v), every AS (PARTITION BY node, f))
+        WHERE below >= 10 AND n - below >= 10)
+    GROUP BY node"""
+
+
+@query(
+    "decision_tree_splits",
+    f"""WITH {PREDICTED_SQL},
+    known AS (
+        SELECT 1 AS node, month(o_orderdate) AS m, c_nationkey AS nation, o_totalprice AS y FROM initial),
+    root AS ({_best_split_sql("known")}),
+    halves AS (
+        SELECT CASE WHEN CASE WHEN r.f = 0 THEN k.m ELSE k.nation END <= r.v THEN 2 ELSE 3 END AS node,
+            k.m, k.nation, k.y
+        FROM known k, root r),
+    second AS ({_best_split_sql("halves")}),
+    leaves AS (
+        SELECT h.node, CASE WHEN s.f = 0 THEN h.m ELSE h.nation END <= s.v AS below, avg(h.y) AS prediction
+        FROM halves h LEFT JOIN second s ON s.node = h.node GROUP BY ALL),
+    asked AS (
+        SELECT v.o_orderkey, month(v.o_orderdate) AS m, v.c_nationkey AS nation,
+            CASE WHEN CASE WHEN r.f = 0 THEN month(v.o_orderdate) ELSE v.c_nationkey END <= r.v
+                THEN 2 ELSE 3 END AS node
+        FROM validation v, root r)
+    SELECT a.o_orderkey, round(l.prediction + 1e-7, 4) AS prediction
+    FROM asked a LEFT JOIN second s ON s.node = a.node
+    JOIN leaves l ON l.node = a.node
+        AND l.below IS NOT DISTINCT FROM (CASE WHEN s.f = 0 THEN a.m ELSE a.nation END <= s.v)""",
+)
+def decision_tree_splits(spark, folder):
+    """A tree of depth two on month and nation, whose every possible split SQL searches by itself."""
+    initial, validation, _ = split_fact(spark, folder)
+    vector = VectorAssembler(inputCols=["m", "c_nationkey"], outputCol="features")
+
+    def prepared(part):
+        month = F.month(F.to_date("o_orderdate"))
+        return vector.transform(part.withColumns({"m": month, "label": F.col("o_totalprice").cast("double")}))
+
+    tree = make_estimator("decision_tree", {"max_depth": 2, "min_samples_leaf": 10}, seed=1)
+    made = tree.fit(prepared(initial)).transform(prepared(validation))
+    shown = made.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "prediction")
+    return rounded(shown, 4, "prediction")
+
+
 @query("decision_tree")
 def decision_tree(spark, folder):
     return _fitted_metrics(spark, folder, "decision_tree_regression")
