@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, on five words from 80 per cent on."""
-    small_batches(spark)
+    small_batches(spark, 300)  # signatures take some hundred bytes a shingle, and workers hold a tokenizer
     return neardup.representatives(docs, neardup.NearDup(words=5, percent=80))
 
 
