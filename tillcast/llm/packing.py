@@ -20,6 +20,7 @@ ids are held at once; an empty table gives an empty result. Extra columns aren't
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -145,7 +146,8 @@ class WordMemory:
 
 @lru_cache(maxsize=1)
 def memory_of(spec: str) -> WordMemory:
-    """One for all tasks of a Python worker."""
+    """One for all tasks of a Python worker; as there is a worker for each core, it needs no threads."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordMemory(Tokenizer.from_str(spec))
 
 
