@@ -1,6 +1,7 @@
 """The driver's queries, each beside the SQL that must give the same rows."""
 
 from tillcast.queries import (  # noqa: F401  (each module registers its queries)
+    candidates,
     cleaning,
     evaluation,
     histories,
