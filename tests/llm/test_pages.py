@@ -1,6 +1,7 @@
 """Extraction on pages with known main text, and the parts it is made of."""
 
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -108,3 +109,20 @@ def test_only_hidden_elements_are_dropped():
     formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>TeX</annotation></math>"
     assert said(f"<p>let {formula} hold</p>") == "let x=1 hold"
     assert said("<p>see <video src=a>a film</video> and <object>a picture</object></p>") == "see a film and a picture"
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<div>" * 200_000 + "deep", "<b>" * 180_000 + "</i>" * 120_000, "<i><div>" + "<b>" * 160_000 + "</i>" * 120_000,
+     "<li><ul>" + "<div>" * 70_000 + "<li></li>" * 70_000],
+    ids=["nested", "stray ends", "ends of outer elements", "items far from their list"],
+)
+def test_a_megabyte_of_tags_takes_seconds(html):
+    started = time.process_time()
+    assert dom.parse(html)[0].tag == "html"
+    assert time.process_time() - started < 30  # hours, if each tag looked at all open ones
+
+
+def test_a_page_starts_anew_with_its_body():
+    nodes = dom.parse("<div hidden><b>unseen</b><body>seen<p>too</p>")
+    assert [n.text for n in nodes if not n.tag] == ["seen", "too"]

@@ -111,19 +111,71 @@ class Node:
     text: str = ""
 
 
+class Open:
+    """Open elements, each with the block it is in; what is asked of them is counted as they come and go.
+
+    Every question takes a time that doesn't depend on how many are open. The root is in no count.
+    """
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("html", 0)]
+        self.places: dict[str, list[int]] = {}  # by name, where it is open
+        self.inline: list[dict[str, int]] = [{}]  # by open block, the inline elements open right in it
+        self.silent = 0  # open elements inside which text is no text
+        self.links = 0
+
+    def push(self, name: str, block: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, block))
+        plain = name.lstrip("!")
+        if plain in INLINE:
+            self.inline[-1][plain] = self.inline[-1].get(plain, 0) + 1
+        else:
+            self.inline.append({})
+        self.silent += name in SILENT or name.startswith("!")
+        self.links += name == "a"
+
+    def pop(self) -> str:
+        name, _ = self.stack.pop()
+        self.places[name].pop()
+        plain = name.lstrip("!")
+        if plain in INLINE:
+            self.inline[-1][plain] -= 1
+        else:
+            self.inline.pop()
+        self.silent -= name in SILENT or name.startswith("!")
+        self.links -= name == "a"
+        return name
+
+    def cut(self, size: int) -> None:
+        while len(self.stack) > size:
+            self.pop()
+
+    def last(self, names) -> int:
+        """Where the innermost element of these names is, 0 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def close(self, ended: frozenset, beyond: frozenset, run):
+        """End the innermost open element of ``ended`` unless one of ``beyond`` lies between."""
+        found = self.last(ended)
+        if found > self.last(beyond - ended):
+            self.cut(found)
+            return None
+        return run
+
+
 def parse(html: str) -> list[Node]:
     """The blocks and runs of a page in document order, parents before children; the root is first."""
     nodes = [Node("html", -1, 0)]
-    stack: list[tuple[str, int]] = [("html", 0)]  # open elements and the block they are in
+    opened = Open()
+    stack = opened.stack
     run: Node | None = None
-    silent = 0  # open elements inside which text is no text
-    links = 0
     at, end = 0, len(html)
     while at < end:
         mark = html.find("<", at)
         found = MARKUP.match(html, mark) if mark >= 0 else None
         stop = mark if found else (end if mark < 0 else mark + 1)
-        if stop > at and not silent:
+        if stop > at and not opened.silent:
             piece = unescape(html[at:stop]) if "&" in html[at:stop] else html[at:stop]
             if run is None and not piece.isspace():
                 block = stack[-1][1]
@@ -131,7 +183,7 @@ def parse(html: str) -> list[Node]:
                 nodes.append(run)
             if run is not None:
                 run.parts.append(piece)
-                if links:
+                if opened.links:
                     run.linked += len(piece)
         at = stop
         if not found:
@@ -144,18 +196,16 @@ def parse(html: str) -> list[Node]:
         closing = found[1] or found[4]
         attributes = found[3] if found[2] else found[6]
         if closing:
-            if not any(name.lstrip("!") == tag for name, _ in stack[1:]):
+            if not opened.last((tag, "!" + tag)):
                 if tag == "p" or tag not in INLINE:
                     run = None
                 elif tag == "br" and run is not None:
                     run.parts.append(" ")
                 continue
-            if tag in INLINE and not _reaches(stack, tag):
-                continue
+            if tag in INLINE and not opened.inline[-1].get(tag):
+                continue  # an inline end tag doesn't leave the block
             while True:
-                name, _ = stack.pop()
-                silent -= name in SILENT or name.startswith("!")
-                links -= name == "a"
+                name = opened.pop()
                 if name not in INLINE:
                     run = None
                 if name.lstrip("!") == tag:
@@ -172,8 +222,7 @@ def parse(html: str) -> list[Node]:
         if tag in ("html", "body"):
             if tag == "body":
                 nodes[0].names += " " + _names(attributes)
-                silent -= sum(name in SILENT for name, _ in stack)
-                del stack[1:]
+                opened.cut(1)
                 run = None
             continue
         if tag in RAW:
@@ -181,29 +230,25 @@ def parse(html: str) -> list[Node]:
             at = close.end() if close else end
             continue
         if tag in ENDS_P:
-            run = _close(stack, frozenset(["p"]), CONTAINERS, run)
+            run = opened.close(frozenset(["p"]), CONTAINERS, run)
         if tag in ENDS:
-            run = _close(stack, *ENDS[tag], run)
+            run = opened.close(*ENDS[tag], run)
         if tag[0] == "h" and tag in KINDS[5] + " h1" and stack[-1][0] in HEADINGS:
-            stack.pop()
+            opened.pop()
             run = None
-        links = sum(name == "a" for name, _ in stack)
-        silent = sum(name in SILENT or name.startswith("!") for name, _ in stack)
         if attributes.rstrip().endswith("/") and tag in SILENT:
             continue
         if _hidden(attributes):
             tag = "!" + tag
         block = stack[-1][1]
         if tag in INLINE or tag.startswith("!") or tag in SILENT:
-            stack.append((tag, block))
-            silent += tag in SILENT or tag.startswith("!")
-            links += tag == "a"
+            opened.push(tag, block)
             if tag not in INLINE and tag.lstrip("!") not in INLINE:
                 run = None
             continue
         run = None
         nodes.append(Node(tag, block, nodes[block].depth + 1, _names(attributes)))
-        stack.append((tag, len(nodes) - 1))
+        opened.push(tag, len(nodes) - 1)
     for node in nodes:
         if not node.tag:
             node.text = " ".join("".join(node.parts).split())
@@ -214,28 +259,6 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("article aside main section div td th table form body html nav header footer".split())
 
 
-def _reaches(stack, tag: str) -> bool:
-    """Whether an inline end tag finds its start without leaving a block."""
-    for name, _ in reversed(stack):
-        if name.lstrip("!") == tag:
-            return True
-        if name.lstrip("!") not in INLINE:
-            return False
-    return False
-
-
-def _close(stack, ended: frozenset, beyond: frozenset, run):
-    """End the innermost open element of ``ended`` unless one of ``beyond`` lies between."""
-    for i in range(len(stack) - 1, 0, -1):
-        name = stack[i][0]
-        if name in ended:
-            del stack[i:]
-            return None
-        if name in beyond:
-            break
-    return run
-
-
 def _hidden(attributes: str) -> bool:
     """Whether an attribute says so: ``hidden``, ``aria-hidden`` or the style, by its own value."""
     for name, *values in ATTRIBUTE.findall(attributes):
