@@ -1,9 +1,18 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 
 from tillcast.models.factory import importances, make_estimator, signature, top_features
-from tillcast.models.knn import KnnModel, KnnRegressor, cell_of, split_space
+from tillcast.models.knn import (
+    KnnModel,
+    KnnRegressor,
+    box_distances,
+    cell_of,
+    cells_within,
+    region_by_region,
+    split_space,
+)
 from tillcast.models.linear import (
     UPDATE_EPOCHS,
     GradientModel,
@@ -153,6 +162,39 @@ def test_cells_grow_with_the_rows(spark):
         assert sum(sizes) == rows and model.trees.count() == 4
 
 
+def test_trees_of_regions_are_copied_by_rows_met(spark, monkeypatch):
+    """Small blocks don't mean a copy of the tree for each, nor a task, nor pairs of queries and cells."""
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(size=(600, 2)), rng.uniform(size=600)
+    model = KnnRegressor(k=3, cellRows=10, blockRows=4, queryRows=4, regions=2).fit(rows_of(spark, x, y))
+    points = spark.createDataFrame(
+        [(i, 0, x[i].tolist()) for i in range(100)], "query long, region int, x array<double>"
+    )
+    met = region_by_region(
+        points, model.trees, "query", 4,
+        lambda some, tree: pd.DataFrame({"points": [len(some)], "trees": [len(tree)]}),
+        "points long, trees long",
+    )
+    assert sorted(map(tuple, met.collect())) == [(100, 1)]
+    monkeypatch.setattr("tillcast.models.knn.MEETING_ROWS", 30)
+    asked = rng.normal(size=(100, 2))
+    found = predicted(model, rows_of(spark, asked, np.zeros(100)))
+    np.testing.assert_allclose(found, brute_force(x, y, asked, 3), rtol=1e-9)
+
+
+def test_reached_cells_are_those_whose_boxes_are_near():
+    rng = np.random.default_rng(10)
+    rows, asked = rng.normal(size=(2000, 3)), rng.normal(size=(50, 3))
+    tree = {k: np.asarray(v) for k, v in split_space(rows, 64).items()}
+    cells = cell_of(rows, tree)
+    low = np.array([rows[cells == c].min(axis=0) for c in range(64)])
+    high = np.array([rows[cells == c].max(axis=0) for c in range(64)])
+    reach = np.append(rng.uniform(size=49), np.inf)
+    found = set(zip(*map(list, cells_within(asked, reach, tree, low, high))))
+    every = np.argwhere(box_distances(asked, low, high) <= reach[:, None])
+    assert found == set(map(tuple, every)) and len(every) < 49 * 40 + 64
+
+
 def test_cells_cover_space():
     rng = np.random.default_rng(7)
     points = rng.normal(size=(1000, 2))

@@ -5,9 +5,9 @@ bounded number of regions, by median splits of a small sample on the driver. Whe
 than these can hold, every region is cut further by a tree of its own, grown in a task from a bounded
 sample of its rows; trees, cells and their bounding boxes are tables, so cells grow with the rows. A
 query is first matched with its own cell, which bounds how far its neighbours can be; it then visits
-only the other cells whose bounding box is that near, which a join finds inside the regions that are.
+only the other cells whose bounding box is that near, to which the trees of the regions that are lead.
 Cells and queries are both cut into blocks of bounded size, so a cell of identical rows or of many
-queries becomes more tasks, not a larger one.
+queries becomes more blocks, not a larger one. A task is given many blocks at a time.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from pyspark.ml.util import (
     MLWriter,
 )
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tillcast.session import settled
 from tillcast.sources.files import path_exists
@@ -44,7 +45,10 @@ CELL_ROWS = 2_000
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 50_000
 MATRIX_CELLS = 4_000_000
+# Points that meet a copy of their region's tree, and points of the blocks that are matched at a time.
+MEETING_ROWS = 100_000
 SUB_BITS = 20  # a cell's number has its region's in front of its own
+BLOCK = ["cell", "row_block", "query_block"]
 
 
 def split_space(sample: np.ndarray, cells: int) -> dict:
@@ -77,9 +81,13 @@ def split_space(sample: np.ndarray, cells: int) -> dict:
     return tree
 
 
+def as_arrays(text: str) -> dict[str, np.ndarray]:
+    return {name: np.asarray(values) for name, values in json.loads(text).items()}
+
+
 @lru_cache(maxsize=4)
 def _geometry(text: str) -> dict[str, np.ndarray]:
-    return {name: np.asarray(values) for name, values in json.loads(text).items()}
+    return as_arrays(text)
 
 
 def cell_of(points: np.ndarray, tree: dict[str, np.ndarray]) -> np.ndarray:
@@ -111,31 +119,83 @@ def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return np.sqrt(total)
 
 
-def block_neighbours(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest rows of a block for each query; equal distances go by label."""
-    rows = rows.sort_values("label")
-    points, labels = np.stack(rows["x"].to_numpy()), rows["label"].to_numpy()
+def cells_within(
+    points: np.ndarray,
+    reach: np.ndarray,
+    tree: dict[str, np.ndarray],
+    low: np.ndarray,
+    high: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of points, and the numbers of the cells whose boxes are within their reach."""
+    at, node = np.arange(len(points)), np.zeros(len(points), dtype=int)
+    places, cells = [at[:0]], [at[:0]]
+    while len(at):
+        cell = tree["cell"][node]
+        done = np.flatnonzero(cell >= 0)
+        for start in range(0, len(done), MATRIX_CELLS):
+            some = done[start : start + MATRIX_CELLS]
+            point, box = points[at[some]], cell[some]
+            gaps = np.maximum(np.maximum(low[box] - point, point - high[box]), 0.0)
+            near = np.sqrt((gaps**2).sum(axis=1)) <= reach[at[some]]
+            places.append(at[some][near])
+            cells.append(box[near])
+        at, node = at[cell < 0], node[cell < 0]
+        # Rows up to the threshold are on the left, so a point is at least that far from either side.
+        gap = points[at, tree["dimension"][node]] - tree["threshold"][node]
+        left, right = gap <= reach[at], -gap <= reach[at]
+        at, node = (
+            np.concatenate([at[left], at[right]]),
+            np.concatenate([tree["left"][node[left]], tree["right"][node[right]]]),
+        )
+    return np.concatenate(places), np.concatenate(cells)
+
+
+def block_neighbours(
+    asked: np.ndarray, points: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and places of the k nearest points for each query; equal distances go by place."""
     wanted = min(k, len(points))
     step = max(1, MATRIX_CELLS // len(points))
-    asked, ids = np.stack(queries["x"].to_numpy()), queries["query"].to_numpy()
     distances, places = [], []
     for start in range(0, len(asked), step):
         squares = squared_distances(asked[start : start + step], points)
         near = np.argpartition(squares, wanted - 1, axis=1)[:, :wanted]
-        limits = np.take_along_axis(squares, near, axis=1).max(axis=1)
-        # Where several rows lie at the limit, those with the lowest labels are taken.
-        for i in np.flatnonzero((squares <= limits[:, None]).sum(axis=1) > wanted):
-            within = np.flatnonzero(squares[i] <= limits[i])
-            near[i] = within[np.argsort(squares[i, within], kind="stable")][:wanted]
-        distances.append(np.sqrt(np.take_along_axis(squares, near, axis=1)).ravel())
-        places.append(near.ravel())
-    return pd.DataFrame(
-        {
-            "query": np.repeat(ids, wanted),
-            "distance": np.concatenate(distances),
-            "label": labels[np.concatenate(places)],
-        }
-    )
+        limits = np.take_along_axis(squares, near, axis=1).max(axis=1)[:, None]
+        # Where several points lie at the limit, the first ones are taken.
+        tied = np.flatnonzero((squares <= limits).sum(axis=1) > wanted)
+        if len(tied):
+            below, level = squares[tied] < limits[tied], squares[tied] == limits[tied]
+            room = wanted - below.sum(axis=1)[:, None]
+            taken = below | (level & (level.cumsum(axis=1) <= room))
+            near[tied] = np.nonzero(taken)[1].reshape(-1, wanted)
+        distances.append(np.sqrt(np.take_along_axis(squares, near, axis=1)))
+        places.append(near)
+    return np.concatenate(distances), np.concatenate(places)
+
+
+def neighbours(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest rows for each query, block by block; equal distances go by label."""
+    hits = {"query": [np.empty(0, "int64")], "distance": [np.empty(0)], "label": [np.empty(0)]}
+    both = pd.concat([queries[BLOCK], rows[BLOCK]])
+    number = both.groupby(BLOCK).ngroup().to_numpy()
+    of_query, of_row = number[: len(queries)], number[len(queries) :]
+    query_order = np.argsort(of_query, kind="stable")
+    row_order = np.lexsort((rows["label"].to_numpy(), of_row))
+    blocks = np.intersect1d(of_query, of_row)
+    if len(blocks):
+        asked, points = (np.stack(side["x"].to_numpy()) for side in (queries, rows))
+        asked, ids = asked[query_order], queries["query"].to_numpy()[query_order]
+        points, labels = points[row_order], rows["label"].to_numpy()[row_order]
+        query_ends, row_ends = (
+            zip(*(np.searchsorted(side, blocks, at) for at in ("left", "right")))
+            for side in (of_query[query_order], of_row[row_order])
+        )
+        for (first, last), (start, end) in zip(query_ends, row_ends):
+            distances, places = block_neighbours(asked[first:last], points[start:end], k)
+            hits["query"].append(np.repeat(ids[first:last], places.shape[1]))
+            hits["distance"].append(distances.ravel())
+            hits["label"].append(labels[start:end][places.ravel()])
+    return pd.DataFrame({name: np.concatenate(parts) for name, parts in hits.items()})
 
 
 def nearest(hits: DataFrame, k: int) -> DataFrame:
@@ -160,14 +220,6 @@ def weighted_mean(hits: DataFrame, weights: str = "distance") -> DataFrame:
     )
 
 
-def box_distance(x: Column, low: Column, high: Column) -> Column:
-    """How far a point is from a box, zero inside."""
-    below = F.zip_with(low, x, lambda a, b: a - b)
-    above = F.zip_with(x, high, lambda a, b: a - b)
-    gaps = F.zip_with(below, above, lambda a, b: F.greatest(a, b, F.lit(0.0)))
-    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap))
-
-
 def region_of(tree: str) -> Callable[[Column | str], Column]:
     @F.pandas_udf("int")
     def region(x: pd.Series) -> pd.Series:
@@ -194,32 +246,74 @@ def region_trees(rows: DataFrame, sizes: DataFrame, cell_rows: int) -> DataFrame
     return sample.groupBy("region").applyInPandas(grow, "region int, tree string")
 
 
-def celled(points: DataFrame, trees: DataFrame | None, number: str, block_rows: int) -> DataFrame:
-    """Points with their region and x, and their cell.
+def region_by_region(
+    points: DataFrame,
+    regions: DataFrame,
+    number: str,
+    block_rows: int,
+    work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str | StructType,
+) -> DataFrame:
+    """Blocks of a region's points, dealt by ``number``, each meet the region's row in a task.
 
-    Blocks of a region's points, dealt by ``number``, each meet the region's tree in a task.
+    Each block has a copy of that row, so blocks don't become small beside it.
     """
-    first = F.shiftleft(F.col("region").cast("long"), SUB_BITS)
-    if trees is None:
-        return points.withColumn("cell", first)
-    counts = points.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    rows = max(block_rows, MEETING_ROWS)
+    counts = points.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / rows).alias("blocks"))
     # One row for each region.
     counts = F.broadcast(settled(counts))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     dealt = points.join(counts, "region").withColumn("block", F.pmod(number, "blocks")).drop("blocks")
-    grown = trees.join(counts, "region").select("region", "tree", every)
-    made = dealt.drop("block").withColumn("cell", first)
+    copied = regions.join(counts, "region").select(*regions.columns, every)
+    keys = ["region", "block"]
+    return dealt.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInPandas(work, schema)
+
+
+def celled(points: DataFrame, trees: DataFrame | None, number: str, block_rows: int) -> DataFrame:
+    """Points with their region and x, and their cell."""
+    first = F.shiftleft(F.col("region").cast("long"), SUB_BITS)
+    made = points.withColumn("cell", first)
+    if trees is None:
+        return made
     names = made.columns
 
     def place(points: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
         points["cell"] = points["region"].astype("int64") * (1 << SUB_BITS)
         if len(points) and len(tree):
-            geometry = {n: np.asarray(v) for n, v in json.loads(tree["tree"].iloc[0]).items()}
-            points["cell"] += cell_of(np.stack(points["x"].to_numpy()), geometry)
+            points["cell"] += cell_of(np.stack(points["x"].to_numpy()), as_arrays(tree["tree"].iloc[0]))
         return points[names]
 
-    keys = ["region", "block"]
-    return dealt.groupBy(*keys).cogroup(grown.groupBy(*keys)).applyInPandas(place, made.schema)
+    return region_by_region(points, trees, number, block_rows, place, made.schema)
+
+
+def reached(
+    points: DataFrame, trees: DataFrame, bounds: DataFrame, number: str, block_rows: int
+) -> DataFrame:
+    """Every cell of their region, but their own, that points reach with their limit."""
+    boxes = F.struct("cell", "low", "high")
+    # A region has at most as many cells as rows in its sample.
+    regions = trees.join(bounds.groupBy("region").agg(F.collect_list(boxes).alias("boxes")), "region")
+
+    def reach(points: pd.DataFrame, region: pd.DataFrame) -> pd.DataFrame:
+        if points.empty or region.empty:
+            return pd.DataFrame({"query": np.empty(0, "int64"), "x": [], "cell": np.empty(0, "int64")})
+        tree, found = as_arrays(region["tree"].iloc[0]), list(region["boxes"].iloc[0])
+        x = np.stack(points["x"].to_numpy())
+        cells = int(tree["cell"].max()) + 1
+        # Cells without a row are never reached.
+        low, high = np.full((cells, x.shape[1]), np.inf), np.full((cells, x.shape[1]), -np.inf)
+        own = np.array([box["cell"] for box in found]) - (int(region["region"].iloc[0]) << SUB_BITS)
+        low[own], high[own] = [box["low"] for box in found], [box["high"] for box in found]
+        used = np.zeros(cells, dtype=bool)
+        used[own] = True
+        place, cell = cells_within(x, points["limit"].to_numpy(), tree, low, high)
+        number = cell + (int(region["region"].iloc[0]) << SUB_BITS)
+        other = used[cell] & (number != points["home"].to_numpy()[place])
+        made = points[["query", "x"]].iloc[place[other]].reset_index(drop=True)
+        return made.assign(cell=number[other])
+
+    schema = "query long, x array<double>, cell long"
+    return region_by_region(points, regions, number, block_rows, reach, schema)
 
 
 class _KnnParams(Params):
@@ -386,10 +480,13 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
             "query", "x", F.col("cell").alias("home"), "limit",
             F.explode(regions_within("x", "limit")).alias("region"),
         )
-        reached = box_distance(F.col("x"), F.col("low"), F.col("high")) <= F.col("limit")
-        wider = near.join(self.bounds.drop("rows"), "region").where(
-            (F.col("cell") != F.col("home")) & reached
-        )
+        if self.trees is None:
+            # Every region is one cell.
+            cell = F.shiftleft(F.col("region").cast("long"), SUB_BITS).alias("cell")
+            wider = near.select("query", "x", "home", cell).where(F.col("cell") != F.col("home"))
+        else:
+            rows = self.getOrDefault(self.queryRows)
+            wider = reached(settled(near), self.trees, self.bounds, "query", rows)
         return own.unionByName(self._search(settled(wider.select("query", "x", "cell"))))
 
     def _search(self, asked: DataFrame) -> DataFrame:
@@ -405,8 +502,14 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
                 "cell",
                 cut("rows", self.getOrDefault(self.blockRows), "row_blocks"),
                 cut("asked", self.getOrDefault(self.queryRows), "query_blocks"),
+                "rows",
+                "asked",
             )
         )
+        met = F.col("rows") * F.col("query_blocks") + F.col("asked") * F.col("row_blocks")
+        meetings = math.ceil((blocks.agg(F.sum(met)).first()[0] or 0) / MEETING_ROWS) or 1
+        blocks = blocks.drop("rows", "asked")
+        meeting = F.pmod(F.xxhash64(*BLOCK), F.lit(meetings)).alias("meeting")
 
         def every(count: str) -> Column:
             return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
@@ -424,23 +527,14 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
             .withColumn("query_block", spread("query", "query_blocks"))
             .withColumn("row_block", every("row_blocks"))
         )
-        keys = ["cell", "row_block", "query_block"]
 
         def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if left.empty or right.empty:
-                return pd.DataFrame(
-                    {
-                        "query": np.empty(0, "int64"),
-                        "distance": np.empty(0),
-                        "label": np.empty(0),
-                    }
-                )
-            return block_neighbours(left, right, k)
+            return neighbours(left, right, k)
 
         return (
-            queries.select(*keys, "query", "x")
-            .groupBy(*keys)
-            .cogroup(rows.select(*keys, "x", "label").groupBy(*keys))
+            queries.select(meeting, *BLOCK, "query", "x")
+            .groupBy("meeting")
+            .cogroup(rows.select(meeting, *BLOCK, "x", "label").groupBy("meeting"))
             .applyInPandas(match, "query long, distance double, label double")
         )
 
