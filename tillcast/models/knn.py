@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -110,13 +110,14 @@ def squared_distances(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
-def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """How far each point is from each box, zero inside."""
-    total = np.zeros((len(points), len(low)))
-    for j in range(points.shape[1]):
-        at = points[:, j, None]
-        total += np.maximum(np.maximum(low[None, :, j] - at, at - high[None, :, j]), 0.0) ** 2
-    return np.sqrt(total)
+def numbered_boxes(
+    tree: dict[str, np.ndarray], cells: Sequence[int], low: Sequence, high: Sequence
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the boxes by cell number, infinite and the wrong way round where a cell has no rows."""
+    shape = int(tree["cell"].max()) + 1, len(low[0])
+    lows, highs = np.full(shape, np.inf), np.full(shape, -np.inf)
+    lows[cells], highs[cells] = np.stack(low), np.stack(high)
+    return lows, highs
 
 
 def cells_within(
@@ -126,7 +127,10 @@ def cells_within(
     low: np.ndarray,
     high: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Places of points, and the numbers of the cells whose boxes are within their reach."""
+    """Places of points, and the numbers of the cells whose boxes are within their reach.
+
+    A box whose start is beyond its end has no rows and is never reached.
+    """
     at, node = np.arange(len(points)), np.zeros(len(points), dtype=int)
     places, cells = [at[:0]], [at[:0]]
     while len(at):
@@ -137,6 +141,7 @@ def cells_within(
             point, box = points[at[some]], cell[some]
             gaps = np.maximum(np.maximum(low[box] - point, point - high[box]), 0.0)
             near = np.sqrt((gaps**2).sum(axis=1)) <= reach[at[some]]
+            near &= low[box, 0] <= high[box, 0]
             places.append(at[some][near])
             cells.append(box[near])
         at, node = at[cell < 0], node[cell < 0]
@@ -298,19 +303,14 @@ def reached(
         if points.empty or region.empty:
             return pd.DataFrame({"query": np.empty(0, "int64"), "x": [], "cell": np.empty(0, "int64")})
         tree, found = as_arrays(region["tree"].iloc[0]), list(region["boxes"].iloc[0])
+        first = int(region["region"].iloc[0]) << SUB_BITS
+        own = np.array([box["cell"] for box in found]) - first
+        low, high = numbered_boxes(tree, own, [b["low"] for b in found], [b["high"] for b in found])
         x = np.stack(points["x"].to_numpy())
-        cells = int(tree["cell"].max()) + 1
-        # Cells without a row are never reached.
-        low, high = np.full((cells, x.shape[1]), np.inf), np.full((cells, x.shape[1]), -np.inf)
-        own = np.array([box["cell"] for box in found]) - (int(region["region"].iloc[0]) << SUB_BITS)
-        low[own], high[own] = [box["low"] for box in found], [box["high"] for box in found]
-        used = np.zeros(cells, dtype=bool)
-        used[own] = True
         place, cell = cells_within(x, points["limit"].to_numpy(), tree, low, high)
-        number = cell + (int(region["region"].iloc[0]) << SUB_BITS)
-        other = used[cell] & (number != points["home"].to_numpy()[place])
+        other = cell + first != points["home"].to_numpy()[place]
         made = points[["query", "x"]].iloc[place[other]].reset_index(drop=True)
-        return made.assign(cell=number[other])
+        return made.assign(cell=cell[other] + first)
 
     schema = "query long, x array<double>, cell long"
     return region_by_region(points, regions, number, block_rows, reach, schema)
@@ -447,15 +447,17 @@ class KnnModel(Model, _KnnParams, MLWritable, MLReadable):
 
         @F.pandas_udf("array<int>")
         def regions_within(x: pd.Series, reach: pd.Series) -> pd.Series:
-            box = _geometry(boxes)
-            regions, points = box["region"].astype(np.int32), np.stack(x.to_numpy())
-            limits = reach.to_numpy()
-            step = max(1, MATRIX_CELLS // len(regions))
+            known, box = _geometry(tree), _geometry(boxes)
+            low, high = numbered_boxes(known, box["region"], box["low"], box["high"])
+            points, limits = np.stack(x.to_numpy()), reach.to_numpy()
+            step = max(1, MATRIX_CELLS // len(low))
             out = []
             for start in range(0, len(points), step):
                 some = slice(start, start + step)
-                near = box_distances(points[some], box["low"], box["high"]) <= limits[some, None]
-                out.extend(regions[line] for line in near)
+                place, region = cells_within(points[some], limits[some], known, low, high)
+                order = np.argsort(place, kind="stable")
+                ends = np.searchsorted(place[order], np.arange(1, len(points[some])))
+                out.extend(np.split(region[order].astype(np.int32), ends))
             return pd.Series(out)
 
         homed = queries.withColumn("region", region_of(tree)("x"))
