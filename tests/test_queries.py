@@ -63,6 +63,12 @@ def test_query_equals_sql(spark, database, name):
     assert {c: KINDS[kind] for c, kind in frame.dtypes} == kinds
 
 
+def test_loaded_files_are_parsed_once(spark):
+    """What is read from CSV is joined and read on from a table, not parsed for every job."""
+    files = QUERIES["csv_round_trip"](spark, DATA).inputFiles()
+    assert files and not [f for f in files if f.endswith(".csv")]
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 2
     assert QUERIES.keys() <= contract.queries().keys()

@@ -36,7 +36,7 @@ from tillcast.queries.data import (
     split_fact,
 )
 from tillcast.queries.registry import query
-from tillcast.session import work_path
+from tillcast.session import settled, work_path
 
 SIZED = ("l_discount", "l_tax", "p_size", "p_retailprice")
 SIZED_SQL = """sized_lines AS (
@@ -315,7 +315,8 @@ def csv_round_trip(spark, folder):
 
     paths = [write(given.where(of), name) for name, of in files.items()]
     write(customers(spark, folder), FILED.dimension.file_name)
-    source = load_source(spark, paths, FILED)
+    # Read by many jobs: the files are parsed and the customers joined once.
+    source = settled(load_source(spark, paths, FILED))
     workspace = Workspace(spark, work_path(spark, "scoring"))
     pretrain(source, FILED, workspace, lambda name: MeanRegressor())
     unpriced = write(given.drop("o_totalprice"), "unpriced.csv")
