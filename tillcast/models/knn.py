@@ -46,7 +46,7 @@ BLOCK_ROWS = 20_000
 QUERY_ROWS = 50_000
 MATRIX_CELLS = 4_000_000
 # Points that meet a copy of their region's tree, and points of the blocks that are matched at a time.
-MEETING_ROWS = 100_000
+MEETING_ROWS = 30_000
 SUB_BITS = 20  # a cell's number has its region's in front of its own
 BLOCK = ["cell", "row_block", "query_block"]
 
