@@ -217,6 +217,18 @@ def test_trees_beat_the_mean(linear, name, given):
     assert importances(model, ["a", "b", "c"])[0][0] == "a"
 
 
+def test_a_forest_in_less_memory_is_the_same(linear):
+    _, _, frame = linear
+    estimator = make_estimator("random_forest", {"n_estimators": 4, "min_samples_leaf": 2}, seed=1)
+    # Four tasks of an executor hold that much each.
+    assert estimator.getMaxMemoryInMB() <= 256
+    found = [
+        predicted(estimator.copy({estimator.maxMemoryInMB: mb}).fit(frame), frame) for mb in (1, 1024)
+    ]
+    np.testing.assert_allclose(found[0], found[1], rtol=1e-12)
+    np.testing.assert_allclose(predicted(estimator.fit(frame), frame), found[1], rtol=1e-12)
+
+
 def test_factory(spark, linear):
     _, _, frame = linear
     with pytest.raises(ValueError):

@@ -32,7 +32,10 @@ KNOWN = {
         "bootstrap",
     },
 }
+# Statistics of nodes that each task holds in a pass. A forest always has nodes to fill them, in all
+# tasks of an executor at once; less means more passes, not another model.
 TREE_MEMORY_MB = 1024
+FOREST_MEMORY_MB = 256
 
 
 def make_estimator(name: str, hyperparameters: Mapping[str, Any], seed: int) -> Estimator:
@@ -71,7 +74,7 @@ def make_estimator(name: str, hyperparameters: Mapping[str, Any], seed: int) ->
         numTrees=int(given.get("n_estimators", 100)),
         featureSubsetStrategy="all",
         bootstrap=bool(given.get("bootstrap", True)),
-        **tree,
+        **{**tree, "maxMemoryInMB": FOREST_MEMORY_MB},
     )
 
 
