@@ -99,7 +99,7 @@ def fit_on_vectors(
     make: EstimatorFor | None = None,
 ) -> PipelineModel:
     estimator = (make or estimators(params))(name)
-    return PipelineModel([*preprocessor.stages, estimator.fit(vectors.select(FEATURES, LABEL))])
+    return PipelineModel([*preprocessor.stages, estimator.fit(vectors)])
 
 
 def predict(
