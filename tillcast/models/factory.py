@@ -7,12 +7,11 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.ml import Estimator
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillcast.models.knn import KnnRegressor
 from tillcast.models.linear import GradientModel, GradientRegressor, RidgeRegressor
-from tillcast.models.trees import TaskTreeRegressor
+from tillcast.models.trees import TaskForestRegressor, TaskTreeRegressor
 from tillcast.params import ModelParams, canonical_model_name
 from tillcast.sources.tables import records
 
@@ -71,7 +70,7 @@ def make_estimator(name: str, hyperparameters: Mapping[str, Any], seed: int) ->
     }
     if known == "decision_tree_regression":
         return TaskTreeRegressor(**tree)
-    return RandomForestRegressor(
+    return TaskForestRegressor(
         numTrees=int(given.get("n_estimators", 100)),
         featureSubsetStrategy="all",
         bootstrap=bool(given.get("bootstrap", True)),
