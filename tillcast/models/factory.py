@@ -32,8 +32,8 @@ KNOWN = {
         "bootstrap",
     },
 }
-# Statistics of nodes that each task holds in a pass. A forest always has nodes to fill them, in all
-# tasks of an executor at once; less means more passes, not another model.
+# The library's bound on statistics of nodes that each task holds in a pass, kept with the models. Growing in
+# tasks holds less by itself.
 TREE_MEMORY_MB = 1024
 FOREST_MEMORY_MB = 256
 
