@@ -84,3 +84,21 @@ def test_row_order(spark):
     )
     made = frame.orderBy(row_order(F.col("at"), F.col("k"))).collect()
     assert [r["place"] for r in made] == [0, 1, 2, 3]
+
+
+def test_columns_of_few_values_need_no_sketch(spark, monkeypatch):
+    """They are counted by value, however many rows there are; other columns' ranks share one sketch."""
+    sketched, sketch = [], F.percentile_approx
+
+    def noted(*arguments):
+        sketched.append(arguments)
+        return sketch(*arguments)
+
+    monkeypatch.setattr(F, "percentile_approx", noted)
+    few = [float(i % 7) for i in range(500)]
+    frame = spark.createDataFrame([(v, float(i)) for i, v in enumerate(few)], "few double, many double")
+    found = exact_quantiles(frame, {"few": F.col("few")}, SHARES, 100, 20)["few"]
+    np.testing.assert_allclose(found[1], np.quantile(few, SHARES))
+    assert not sketched
+    found = exact_quantiles(frame, {"many": F.col("many")}, (0.5,), 400, 20)["many"]
+    assert found == (500, [249.5]) and len(sketched) == 1

@@ -3,7 +3,8 @@
 The source is read once: its columns are stored as doubles, and every later pass reads these. A
 sketch brackets each sought rank, one counting pass proves the bracket, and the values inside the
 brackets are stored anew for the next round, until few enough rows are left to be counted by value and
-sorted in one task. Values that repeat a lot are settled by the counts.
+sorted in one task. Values that repeat a lot are settled by the counts, and so at once are columns of few
+values.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from tillcast.session import settled
 
 DIRECT_ROWS = 2_000_000
 SKETCH_ACCURACY = 10_000
+#: Columns that seem to have no more values are counted by value, whatever their rows.
+FEW_VALUES = 10_000
 
 
 @dataclass
@@ -115,21 +118,38 @@ def _ranks(count: int, share: float) -> tuple[int, int]:
 
 def select_ranks(base: DataFrame, searches: list[_Search], direct_rows: int, accuracy: int):
     margin = 2.0 / accuracy
+    few = min(FEW_VALUES, direct_rows)
+    _settle(base, _with_few_values(base, [s for s in searches if s.inside > direct_rows], few))
     while True:
         wide = [s for s in searches if s.answer is None and s.inside > direct_rows]
         if not wide:
             break
+        # Ranks that are sought in one window share its sketch.
+        windows: dict[tuple, list[int]] = {}
+        for i, s in enumerate(wide):
+            windows.setdefault((s.column, s.low, s.high), []).append(i)
         guesses = base.agg(
             *[
                 F.percentile_approx(
-                    s.window(),
-                    [max(0.0, s.place() - margin), min(1.0, s.place() + margin)],
+                    wide[members[0]].window(),
+                    [
+                        share
+                        for i in members
+                        for share in (
+                            max(0.0, wide[i].place() - margin),
+                            min(1.0, wide[i].place() + margin),
+                        )
+                    ],
                     accuracy,
-                ).alias(f"g{i}")
-                for i, s in enumerate(wide)
+                ).alias(f"g{members[0]}")
+                for members in windows.values()
             ]
         ).first()
-        brackets = [(guesses[f"g{i}"][0], guesses[f"g{i}"][1]) for i in range(len(wide))]
+        brackets = [(None, None)] * len(wide)
+        for members in windows.values():
+            found = guesses[f"g{members[0]}"]
+            for n, i in enumerate(members):
+                brackets[i] = (found[2 * n], found[2 * n + 1])
         tallies = base.agg(
             *[
                 F.count_if(test).alias(f"t{i}_{label}")
@@ -150,6 +170,15 @@ def select_ranks(base: DataFrame, searches: list[_Search], direct_rows: int, acc
     return [s.answer for s in searches]
 
 
+def _with_few_values(base: DataFrame, searches: list[_Search], few: int) -> list[_Search]:
+    """Those in columns of few values; an estimate is enough, as it only chooses the way."""
+    columns = sorted({s.column for s in searches})
+    if not columns:
+        return []
+    found = base.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    return [s for s in searches if found[s.column] <= few]
+
+
 def _inside(base: DataFrame, searches: list[_Search]) -> DataFrame:
     """The values in the windows that are still searched, stored; nothing else is read again."""
     windows: dict[str, list[Column]] = {}

@@ -95,10 +95,11 @@ class Replay:
         return 0 if last is None else last + 1
 
     def _store(self, rows: DataFrame, epoch: int) -> None:
-        rows = rows.persist()
         self.landed.write(rows.withColumn(EPOCH, F.lit(epoch).cast("long")))
-        self.calendar.land(rows, epoch)
-        rows.unpersist()
+        # The days are read from what was stored, of which only the time column is read.
+        schema = StructType([*rows.schema.fields]).add(EPOCH, LongType())
+        stored = self.landed.read(schema).where(F.col(EPOCH) == epoch).drop(EPOCH)
+        self.calendar.land(stored, epoch)
 
     def _stream(self, step: Callable[[DataFrame, int], None], trigger: dict) -> StreamingQuery:
         query = (
