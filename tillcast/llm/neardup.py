@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tillcast.llm import shingles as sh
 from tillcast.llm.common import small_enough, unused
 from tillcast.llm.components import components
-from tillcast.session import settled
+from tillcast.session import released, settled
 
 
 @dataclass(frozen=True)
@@ -108,10 +108,12 @@ def _set_maker(method: NearDup):
 
 
 def set_batch(sets: list[np.ndarray]) -> pa.RecordBatch:
+    offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+    shingles = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([sh.digest(s) for s in sets], pa.binary()),
-            pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(shingles)),
         ],
         names=["digest", "shingles"],
     )
@@ -220,6 +222,7 @@ def links_between(classes: DataFrame, sets_of: SetsOf, method: NearDup) -> DataF
     )
     sets = settled(sets_of(star.select("a").union(star.select("b"))))
     near = settled(_verified(star, sets, method))
+    released(sets)
     rest = _rest(posted, components(near), sets_of, method)
     return near.unionByName(rest)
 
@@ -270,7 +273,9 @@ def _rest(posted: DataFrame, root: DataFrame, sets_of: SetsOf, method: NearDup)
     same = a["shingle"] == b["shingle"]
     pairs = a.join(b, same & other & _sizes_allow(method) & enough)
     pairs = settled(pairs.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct())
-    return settled(_verified(pairs, sets, method))
+    found = settled(_verified(pairs, sets, method))
+    released(sets)
+    return found
 
 
 EARLY = ("class", "root", "size", "place")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -40,25 +41,34 @@ def words_of(text: bytes) -> list[bytes]:
 def shingled(texts: list[list[bytes]], k: int, hashes: WordHashes) -> list[np.ndarray]:
     """For each text, given as its words, the sorted distinct shingle hashes."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    ends = np.cumsum(sizes)
-    words = np.fromiter(
-        (hashes[word] for text in texts for word in text), np.uint64, int(sizes.sum())
-    )
+    words = map(hashes.__getitem__, chain.from_iterable(texts))
+    return sets_of(np.fromiter(words, np.uint64, int(sizes.sum())), np.cumsum(sizes) - sizes, sizes, k)
+
+
+def sets_of(words: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, k: int) -> list[np.ndarray]:
+    """The same for texts given as the first and the number of their words, by the words' hashes."""
     rolled = np.zeros(max(len(words) - k + 1, 0), np.uint64)
     for i in range(k):
         rolled = mixed(rolled + GOLDEN + words[i : i + len(rolled)])
-    sets = []
-    for size, end in zip(sizes.tolist(), ends.tolist()):
+    ends = np.cumsum(np.where(sizes < k, np.minimum(sizes, 1), sizes - k + 1))
+    every = np.empty(ends[-1] if len(ends) else 0, np.uint64)
+    kept = np.ones(len(every) + 1, bool)
+    at = 0
+    for first, size, end in zip(firsts.tolist(), sizes.tolist(), ends.tolist()):
         if size >= k:
-            sets.append(np.unique(rolled[end - size : end - k + 1]))
+            every[at:end] = rolled[first : first + end - at]
+            every[at:end].sort()
         elif size:
             whole = np.array([size], np.uint64)
-            for word in words[end - size : end]:
+            for word in words[first : first + size]:
                 whole = mixed(whole + word)
-            sets.append(whole)
-        else:
-            sets.append(np.empty(0, np.uint64))
-    return sets
+            every[at:end] = whole
+        at = end
+    kept[1:-1] = every[1:] != every[:-1]
+    kept[ends] = True  # a set's first is the next one's, if it is empty
+    bounds = np.concatenate([[0], np.cumsum(kept[:-1])])[np.concatenate([[0], ends])].tolist()
+    every = every[kept[:-1]]
+    return [every[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def digest(shingles: np.ndarray) -> bytes:
